@@ -61,7 +61,7 @@ def main():
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
