@@ -70,17 +70,16 @@ def version_in_force(
     version_key = version_key or key
     day = F.to_date(F.col(event_col))
     facts_b = facts.withColumn("_ev", day).withColumn("_bucket", F.trunc("_ev", "MM"))
-    last = facts_b.agg(F.max("_bucket").alias("_last"))  # one row: safe to broadcast
+    last = facts_b.select(F.max("_bucket")).scalar()  # scalar subquery, evaluated once
     v = versions.select(
         F.col(version_key).alias("_vkey"),
         F.col(VALID_FROM).alias("_vfrom"),
         F.col(VALID_TO).alias("_vto"),
         *[F.col(c).alias(prefix + c) for c in take],
-    ).crossJoin(F.broadcast(last))
+    )
     start = F.trunc("_vfrom", "MM")
-    stop = F.coalesce(F.trunc(F.date_sub("_vto", 1), "MM"), F.greatest(F.col("_last"), start))
+    stop = F.coalesce(F.trunc(F.date_sub("_vto", 1), "MM"), F.greatest(last, start))
     v = v.withColumn("_bucket", F.explode(F.sequence(start, F.greatest(stop, start), F.expr("INTERVAL 1 MONTH"))))
-    v = v.drop("_last")
     cond = (
         (facts_b[key] == v["_vkey"])
         & (facts_b["_bucket"] == v["_bucket"])

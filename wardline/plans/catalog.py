@@ -26,7 +26,7 @@ class Query:
 
 _REGISTRY: dict[str, Query] = {}
 
-PLAN_MODULES = ("quality_plans", "history")
+PLAN_MODULES = ("quality_plans", "history", "dimensions")
 
 
 def query(name: str, sql: str | None = None, ops: tuple[str, ...] | list[str] = (), bench: bool = False):

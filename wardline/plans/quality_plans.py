@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wardline.functions.conversions import days_between, ratio
 from wardline.operators import quality as Q
 from wardline.operators.history import version_in_force
+from wardline.operators.sets import measures_row
 from wardline.plans import derived, landing, sqlgen
 from wardline.plans.catalog import query
 from wardline.plans.landing import with_sql
@@ -296,12 +297,18 @@ def dq11_reconciliation(spark, sf_dir):
     t = Tables(spark, sf_dir)
     rows = []
     for name, (chk, gate, accepted, rejected) in load_outcome(t).items():
-        manifest = chk.agg(F.count(F.lit(1)).alias("n_manifest"))
-        source = accepted.agg(F.count(F.lit(1)).alias("n_source"))
-        quarantine = rejected.agg(F.count(F.lit(1)).alias("n_quarantine"))
-        blocked = gate.agg(F.coalesce(F.sum(F.when(F.col("state") == "blocked", F.col("n_read"))), F.lit(0)).cast("long").alias("n_blocked"))
+        blocked = F.coalesce(F.sum(F.when(F.col("state") == "blocked", F.col("n_read"))), F.lit(0)).cast("long")
         rows.append(
-            manifest.crossJoin(source).crossJoin(quarantine).crossJoin(blocked).withColumn("table_name", F.lit(name))
+            measures_row(
+                spark,
+                {
+                    "table_name": F.lit(name),
+                    "n_manifest": chk.select(F.count(F.lit(1))).scalar(),
+                    "n_source": accepted.select(F.count(F.lit(1))).scalar(),
+                    "n_quarantine": rejected.select(F.count(F.lit(1))).scalar(),
+                    "n_blocked": gate.select(blocked).scalar(),
+                },
+            )
         )
     out = rows[0]
     for r in rows[1:]:
