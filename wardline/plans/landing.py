@@ -163,5 +163,10 @@ events_landing AS (
 
 
 def with_sql(*ctes: str) -> str:
-    """Join CTE bodies into one WITH prefix."""
-    return "WITH " + ",\n".join(c.strip() for c in ctes)
+    """Join CTE bodies into one WITH prefix (a CTE listed twice is kept once)."""
+    seen: list[str] = []
+    for c in ctes:
+        c = c.strip()
+        if c not in seen:
+            seen.append(c)
+    return "WITH " + ",\n".join(seen)
