@@ -50,6 +50,15 @@ def norm(v):
     return v
 
 
+def spark_type(dt_) -> str:
+    n = dt_.simpleString().upper()
+    return {
+        "INT": "INTEGER", "BIGINT": "BIGINT", "DOUBLE": "DOUBLE", "STRING": "VARCHAR", "DATE": "DATE",
+        "BOOLEAN": "BOOLEAN", "TIMESTAMP": "TIMESTAMP", "TIMESTAMP_NTZ": "TIMESTAMP", "FLOAT": "FLOAT",
+        "SMALLINT": "SMALLINT", "TINYINT": "TINYINT",
+    }.get(n, n)
+
+
 def rows_of(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in records]
@@ -93,6 +102,11 @@ def main():
             print(f"DUCK-ERR {name}: {str(e)[:400]}")
             bad += 1
             continue
+        stypes = {f.name: spark_type(f.dataType) for f in df.schema.fields}
+        dtypes = {d[0]: str(d[1]).upper() for d in cur.description}
+        tdiff = {c: (stypes.get(c), dtypes.get(c)) for c in stypes if c in dtypes and stypes[c] != dtypes[c]}
+        if tdiff:
+            print(f"TYPES    {name}: {tdiff}")
         if sorted(scols) != sorted(dcols):
             print(f"COLS     {name}: spark={sorted(scols)} duck={sorted(dcols)}")
             bad += 1

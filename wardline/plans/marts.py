@@ -163,8 +163,8 @@ visit AS (
   SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, o.o_orderpriority,
          CASE WHEN EXISTS (SELECT 1 FROM lineitem_typed l WHERE l.l_orderkey = o.o_orderkey)
               THEN o.o_orderkey END AS resolved_appointment,
-         datediff('day', o.o_orderdate, (SELECT min(l_shipdate) FROM lineitem_typed l WHERE l.l_orderkey = o.o_orderkey))
-           AS days_to_first_line
+         CAST(datediff('day', o.o_orderdate, (SELECT min(l_shipdate) FROM lineitem_typed l WHERE l.l_orderkey = o.o_orderkey))
+           AS INTEGER) AS days_to_first_line
   FROM orders_typed o
 )"""
 
