@@ -26,7 +26,7 @@ class Query:
 
 _REGISTRY: dict[str, Query] = {}
 
-PLAN_MODULES = ("quality_plans", "history", "dimensions", "marts", "indicators", "linkage_plans", "sets_and_samples")
+PLAN_MODULES = ("quality_plans", "history", "dimensions", "marts", "indicators", "linkage_plans", "sets_and_samples", "checks")
 
 
 def query(name: str, sql: str | None = None, ops: tuple[str, ...] | list[str] = (), bench: bool = False):
