@@ -26,7 +26,7 @@ class Query:
 
 _REGISTRY: dict[str, Query] = {}
 
-PLAN_MODULES = ("quality_plans", "history", "dimensions", "marts", "indicators", "linkage_plans", "sets_and_samples", "checks")
+PLAN_MODULES = ("quality_plans", "history", "dimensions", "marts", "indicators", "linkage_plans", "sets_and_samples", "checks", "loading")
 
 
 def query(name: str, sql: str | None = None, ops: tuple[str, ...] | list[str] = (), bench: bool = False):
@@ -45,7 +45,9 @@ def load_all() -> dict[str, Query]:
     """Import every plan module (registration happens at import) and return the registry."""
     import importlib
 
-    for module in PLAN_MODULES:
-        importlib.import_module(f"wardline.plans.{module}")
+    modules = [importlib.import_module(f"wardline.plans.{m}") for m in PLAN_MODULES]
+    for mod in modules:
+        if hasattr(mod, "finalize"):
+            mod.finalize(_REGISTRY)
 
     return dict(_REGISTRY)
