@@ -19,6 +19,17 @@ from pyspark.sql.functions import pandas_udf
 
 _PUNCT = str.maketrans({c: " " for c in string.punctuation})
 
+# Ship these helpers with the tasks (by value): executors then need no copy of
+# this package on their Python path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
 
 def normalise_v1(value: str | None) -> str | None:
     """Lower case, accents removed (NFKD, combining marks dropped), ASCII

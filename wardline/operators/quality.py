@@ -77,68 +77,62 @@ def with_row_reasons(df: DataFrame, spec: TableSpec, path_date_col: str | None =
     return df.withColumn(REASONS, F.array_compact(F.array(*exprs)))
 
 
-def with_uniqueness(
-    df: DataFrame,
-    key: tuple[str, ...] | list[str],
-    scope: list[str],
-    reasons_col: str = REASONS,
-) -> DataFrame:
-    """DQ-7: inside each ``scope`` (one partition file), the 2nd+ row of a key is rejected.
+def uniqueness_flags(df: DataFrame, key: tuple[str, ...] | list[str], scope: list[str]) -> DataFrame:
+    """DQ-7: flag, inside each ``scope`` (one partition file), the 2nd+ row of a key.
 
     "First" is the smallest row content (all columns, byte order) because a
     distributed scan has no file order; exact copies are interchangeable, so
     exactly one copy of the smallest row is kept. Rows with an empty key part
-    get ``empty_key`` and take no part in the check.
+    are flagged ``_empty`` and take no part in the check.
 
-    Skew: no window over the key. Key multiplicities are aggregated (map-side
-    combined), only keys seen twice go through the content step, and that
-    step is two aggregates plus a join whose small side has one row per key,
-    so AQE can split a hot key's rows over many tasks.
+    One scan of ``df``: rows are first aggregated by full content (identical
+    copies collapse map-side into a count), each key's smallest content is an
+    aggregate over that (map-side combined), and the join back has one row per
+    key on its small side, so AQE can split a hot key. No window over a key.
     """
     key = list(key)
-    content = [c for c in df.columns if c != reasons_col]
-    key_name = ",".join(key)
+    content = list(df.columns)
     empty = reduce(lambda a, b: a | b, [F.col(k) == F.lit("") for k in key])
-    empty_reason = F.lit(f"empty_key:{key_name}")
-    dup_reason = F.concat(F.lit(f"duplicate:{key_name}:"), F.concat_ws("|", *[F.col(k) for k in key]))
-
-    keyed = df.filter(~empty)
-    repeated = keyed.groupBy(*scope, *key).agg(F.count(F.lit(1)).alias("_key_rows")).filter("_key_rows > 1").drop(
-        "_key_rows"
+    copies = df.groupBy(*content).agg(F.count(F.lit(1)).alias("_n")).withColumn("_empty", empty)
+    per_key = (
+        copies.filter(~F.col("_empty"))
+        .groupBy(*scope, *key)
+        .agg(F.min(F.struct(*content)).alias("_first"), F.sum("_n").alias("_key_rows"))
     )
-    marked = keyed.join(repeated.withColumn("_rep", F.lit(True)), on=[*scope, *key], how="left")
-    single = marked.filter(F.col("_rep").isNull()).drop("_rep")
-
-    multi = marked.filter(F.col("_rep")).drop("_rep")
-    copies = multi.groupBy(*content, reasons_col).agg(F.count(F.lit(1)).alias("_n"))
-    first = copies.groupBy(*scope, *key).agg(F.min(F.struct(*content)).alias("_first"))
-    resolved = copies.join(first, on=[*scope, *key], how="inner")
+    j = copies.join(per_key, on=[*scope, *key], how="left")
     is_first = F.struct(*content) == F.col("_first")
-    n_dup = F.when(is_first, F.col("_n") - 1).otherwise(F.col("_n"))
-    # one entry per copy: kept copies carry no extra reason, the others carry `duplicate`
-    expanded = resolved.select(
-        *content,
-        reasons_col,
-        F.explode(
-            F.concat(
-                F.array_repeat(F.lit(False), (F.col("_n") - n_dup).cast("int")),
-                F.array_repeat(F.lit(True), n_dup.cast("int")),
-            )
-        ).alias("_is_dup"),
+    n_dup = (
+        F.when(F.col("_empty") | (F.col("_key_rows") <= 1), F.lit(0))
+        .when(is_first, F.col("_n") - 1)
+        .otherwise(F.col("_n"))
     )
-    multi_out = expanded.select(
-        *content,
-        F.when(F.col("_is_dup"), F.concat(F.col(reasons_col), F.array(dup_reason)))
-        .otherwise(F.col(reasons_col))
-        .alias(reasons_col),
+    flags = F.concat(
+        F.array_repeat(F.lit(False), (F.col("_n") - n_dup).cast("int")),
+        F.array_repeat(F.lit(True), n_dup.cast("int")),
     )
-    empties = df.filter(empty).withColumn(reasons_col, F.concat(F.col(reasons_col), F.array(empty_reason)))
-    return single.unionByName(multi_out).unionByName(empties)
+    return j.select(*content, "_empty", F.explode(flags).alias("_dup"))
+
+
+def with_uniqueness_reasons(flagged: DataFrame, key, reasons_col: str = REASONS) -> DataFrame:
+    key = list(key)
+    key_name = ",".join(key)
+    extra = F.array_compact(
+        F.array(
+            F.when(F.col("_empty"), F.lit(f"empty_key:{key_name}")),
+            F.when(F.col("_dup"), F.concat(F.lit(f"duplicate:{key_name}:"), F.concat_ws("|", *[F.col(k) for k in key]))),
+        )
+    )
+    return flagged.withColumn(reasons_col, F.concat(F.col(reasons_col), extra)).drop("_empty", "_dup")
 
 
 def check_rows(df: DataFrame, spec: TableSpec, path_date_col: str = "path_date") -> DataFrame:
-    """All row checks of one landing table; scope of uniqueness = the partition file."""
-    return with_uniqueness(with_row_reasons(df, spec, path_date_col), spec.key, [path_date_col])
+    """All row checks of one landing table; scope of uniqueness = the partition file.
+
+    Uniqueness is decided on the raw text first; the per-column reasons are then
+    computed once per row (a narrow projection) and the uniqueness reason goes last.
+    """
+    flagged = uniqueness_flags(df, spec.key, [path_date_col])
+    return with_uniqueness_reasons(with_row_reasons(flagged, spec, path_date_col), spec.key)
 
 
 def file_gate(
