@@ -36,7 +36,9 @@ def _money(c) -> F.Column:
     return c.cast("decimal(18,2)").cast("string")
 
 
-def lineitem_landing(t: Tables) -> DataFrame:
+def lineitem_landing(t: Tables, with_identity: bool = False) -> DataFrame:
+    """Landing text of the shipment lines; ``with_identity`` appends ``row_id`` (raw
+    order, part, supplier and ship day), used to confront reasons with the truth."""
     ship = F.to_date("l_shipdate")
     okey, line, pkey, skey = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     qty = _txt(F.col("l_quantity").cast("int"))
@@ -64,8 +66,9 @@ def lineitem_landing(t: Tables) -> DataFrame:
             "date_extraction"
         ),
         F.add_months(month, 1).alias("path_date"),
+        F.concat_ws("|", _txt(okey), _txt(pkey), _txt(skey), F.date_format(ship, "yyyy-MM-dd")).alias("row_id"),
     )
-    return out.select(*LINEITEM_LANDING.names, "path_date")
+    return out.select(*LINEITEM_LANDING.names, "path_date", *(["row_id"] if with_identity else []))
 
 
 LINEITEM_LANDING_SQL = """
@@ -93,6 +96,12 @@ lineitem_landing AS (
   FROM lineitem
 )"""
 
+# the same extract with the raw row identity appended (tie-break of last resort)
+LINEITEM_LANDING_ID_SQL = LINEITEM_LANDING_SQL.replace("lineitem_landing AS (", "lineitem_landing_id AS (").replace(
+    "AS path_date\n  FROM lineitem",
+    "AS path_date,\n    l_orderkey || '|' || l_partkey || '|' || l_suppkey || '|' || strftime(l_shipdate, '%Y-%m-%d') AS row_id\n  FROM lineitem",
+)
+
 
 def orders_landing(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate")

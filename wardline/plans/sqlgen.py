@@ -51,11 +51,11 @@ def reason_exprs(spec: TableSpec, path_col: str | None = "path_date") -> list[st
     return out
 
 
-def uniqueness_expr(spec: TableSpec, path_col: str = "path_date") -> str:
+def uniqueness_expr(spec: TableSpec, path_col: str = "path_date", extra: tuple[str, ...] = ()) -> str:
     keys = list(spec.key)
     kname = ",".join(keys)
     empty = " OR ".join(f"{k} = ''" for k in keys)
-    content = ", ".join([*spec.names, path_col])
+    content = ", ".join([*spec.names, path_col, *extra])
     display = " || '|' || ".join(keys)
     return (
         f"CASE WHEN {empty} THEN 'empty_key:{kname}' "
@@ -64,9 +64,9 @@ def uniqueness_expr(spec: TableSpec, path_col: str = "path_date") -> str:
     )
 
 
-def checked_cte(spec: TableSpec, source: str, name: str, path_col: str = "path_date") -> str:
+def checked_cte(spec: TableSpec, source: str, name: str, path_col: str = "path_date", extra: tuple[str, ...] = ()) -> str:
     """CTE ``name`` = source rows + ``reasons`` (';'-joined text, '' when none)."""
-    parts = reason_exprs(spec, path_col) + [uniqueness_expr(spec, path_col)]
+    parts = reason_exprs(spec, path_col) + [uniqueness_expr(spec, path_col, extra)]
     return f"""
 {name} AS (
   SELECT *, concat_ws(';', {', '.join(parts)}) AS reasons
