@@ -121,7 +121,7 @@ SELECT (SELECT round(corr(med, rate), 6) FROM per) AS corr_between_groups,
        (SELECT round(corr(a.lead_days - p.mean_lead, CASE WHEN a.absent THEN 1.0 ELSE 0.0 END), 6)
           FROM appt a JOIN per p ON a.o_orderpriority = p.o_orderpriority) AS corr_within_centred,
        (SELECT round(corr(lead_days, CASE WHEN absent THEN 1.0 ELSE 0.0 END), 6) FROM appt) AS corr_raw""",
-    ops=("IN-11", "IN-13", "AG-6", "JN-16", "WN-6"),
+    ops=("IN-11", "IN-13", "AG-6", "JN-16", "WN-5", "WN-6", "JN-14"),
 )
 def in11_lead_absence_correlations(spark, sf_dir):
     """Between-group correlation of medians, within-group centred and raw correlation.
