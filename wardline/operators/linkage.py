@@ -201,8 +201,9 @@ def pattern_counts(gamma_pairs: DataFrame, comparisons: Sequence[Comparison], we
 def estimate_u(
     pop_prof: DataFrame,
     comparisons: Sequence[Comparison],
-    buckets: int = 64,
+    buckets: int | None = None,
     seed: int = 42,
+    rows_per_bucket: int = 200_000,
 ) -> dict[str, dict[int, float]]:
     """LK-8: u from non-matching-by-chance pairs.
 
@@ -212,6 +213,8 @@ def estimate_u(
     cross product and no single-partition window.
     """
     cols = compared_columns(comparisons)
+    if buckets is None:  # each window partition stays bounded as the population grows
+        buckets = max(64, -(-pop_prof.count() // rows_per_bucket))
     h = F.xxhash64(F.col("pid"), F.lit(seed))
     staged = pop_prof.select("pid", "n", *cols, F.pmod(h, F.lit(buckets)).alias("_b"), h.alias("_h"))
     from pyspark.sql import Window
