@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -39,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     group each would run every narrow, CPU-heavy step (text rendering, parsing,
     checks) in as many tasks as files. When a table has fewer files than the
     cluster has task slots and is big enough to matter, it is spread round-robin
-    over the slots once. A large table (many files) is left exactly as read: no
+    over the slots once (hash of the leading column). A large table (many files) is left exactly as read: no
     extra shuffle at scale.
     """
     if name not in TABLES:
@@ -49,7 +50,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     n_files, size = _layout(spark, path)
     slots = spark.sparkContext.defaultParallelism
     if n_files < slots and size >= REBALANCE_MIN_BYTES:
-        df = df.repartition(slots)
+        # hash of the leading (key) column: deterministic under task retries without
+        # the per-partition sort that a round-robin repartition needs for that
+        df = df.repartition(slots, F.col(df.columns[0]))
     return df
 
 
