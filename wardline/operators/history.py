@@ -57,11 +57,12 @@ def version_in_force(
     take: Sequence[str],
     prefix: str = "v_",
     version_key: str | None = None,
+    last_event_day: Column | None = None,
 ) -> DataFrame:
     """JN-3: left join each fact to the version of its key in force on the event day.
 
     Physical plan: each version is exploded over the calendar months it covers
-    (open versions up to the last event month, a one-row aggregate) and joined on
+    (open versions up to the last event month, a scalar) and joined on
     (key, month) with the half-open range as a residual. A fact then meets at most
     the <= 31 versions of its key in its month instead of all versions of the
     key, and AQE's skew join splits a hot key's facts; the plan stays one
@@ -70,7 +71,12 @@ def version_in_force(
     version_key = version_key or key
     day = F.to_date(F.col(event_col))
     facts_b = facts.withColumn("_ev", day).withColumn("_bucket", F.trunc("_ev", "MM"))
-    last = facts_b.select(F.max("_bucket")).scalar()  # scalar subquery, evaluated once
+    # open versions are exploded up to the last event month; any bound at or after it
+    # is correct, so a caller can pass a cheap one (e.g. a max over the raw column)
+    if last_event_day is None:
+        last = facts_b.select(F.max("_bucket")).scalar()  # scalar subquery, evaluated once
+    else:
+        last = F.trunc(last_event_day, "MM")
     v = versions.select(
         F.col(version_key).alias("_vkey"),
         F.col(VALID_FROM).alias("_vfrom"),
@@ -100,9 +106,10 @@ def as_of_with_fallback(
     event_col: str,
     take: Sequence[str],
     prefix: str = "v_",
+    last_event_day: Column | None = None,
 ) -> DataFrame:
     """JN-4: the last version on or before the event day, else the key's first version."""
-    resolved = version_in_force(facts, versions, key, event_col, take, prefix)
+    resolved = version_in_force(facts, versions, key, event_col, take, prefix, last_event_day=last_event_day)
     first = versions.groupBy(F.col(key).alias("_fkey")).agg(
         F.min_by(F.struct(F.col(VALID_FROM), *[F.col(c) for c in take]), F.col(VALID_FROM)).alias("_first")
     )

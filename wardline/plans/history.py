@@ -49,7 +49,7 @@ FROM line_events e LEFT JOIN versions v
 )
 def jn3_version_in_force(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return version_in_force(_line_events(t), derived.customer_versions(t), "o_custkey", "l_shipdate", ["o_orderpriority"])
+    return version_in_force(_line_events(t), derived.customer_versions(t), "o_custkey", "l_shipdate", ["o_orderpriority"], last_event_day=derived.last_ship_day(t))
 
 
 @query(
@@ -72,7 +72,7 @@ FROM asof_r a LEFT JOIN firsts f ON a.o_custkey = f.o_custkey""",
 )
 def jn4_asof_with_fallback(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return as_of_with_fallback(_line_events(t), derived.customer_versions(t), "o_custkey", "l_shipdate", ["o_orderpriority"])
+    return as_of_with_fallback(_line_events(t), derived.customer_versions(t), "o_custkey", "l_shipdate", ["o_orderpriority"], last_event_day=derived.last_ship_day(t))
 
 
 CHANGE_RULES = [("status", ["o_orderstatus"]), ("priority", ["o_orderpriority"]), ("amount", ["o_totalprice"])]
@@ -182,7 +182,7 @@ def dq20_version_accounting(spark, sf_dir):
     event precedes its first version (or has no date)."""
     t = Tables(spark, sf_dir)
     versions = derived.customer_versions(t)
-    resolved = version_in_force(_line_events(t), versions, "o_custkey", "l_shipdate", [])
+    resolved = version_in_force(_line_events(t), versions, "o_custkey", "l_shipdate", [], last_event_day=derived.last_ship_day(t))
     firsts = versions.groupBy(F.col("o_custkey").alias("_k")).agg(F.min("valid_from").alias("first_from"))
     j = resolved.join(firsts, resolved["o_custkey"] == firsts["_k"], "left")
     unresolved = F.col("v_valid_from").isNull()

@@ -56,7 +56,7 @@ def invoice_facts(t: Tables) -> DataFrame:
         _money(disc).alias("patient_share"),
         distinct_from("o_totalprice", _money(amount)).alias("is_discrepant"),
     )
-    return version_in_force(inv, derived.customer_versions(t), "o_custkey", "o_orderdate", [])
+    return version_in_force(inv, derived.customer_versions(t), "o_custkey", "o_orderdate", [], last_event_day=derived.last_order_day(t))
 
 
 INVOICE_SQL = """
@@ -134,7 +134,7 @@ def fct6_receipts(spark, sf_dir):
     )
     od = derived.typed_orders(t).select(F.col("o_orderkey").alias("_ok"), "o_custkey", "o_orderdate")
     j = rc.join(od, rc["l_orderkey"] == od["_ok"], "left").drop("_ok")
-    out = version_in_force(j, derived.customer_versions(t), "o_custkey", "o_orderdate", [])
+    out = version_in_force(j, derived.customer_versions(t), "o_custkey", "o_orderdate", [], last_event_day=derived.last_order_day(t))
     return out.drop("o_orderdate")
 
 

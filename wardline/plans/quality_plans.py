@@ -33,7 +33,7 @@ def lead_time_facts(t: Tables) -> DataFrame:
     facts = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner").drop("o_orderkey")
     facts = facts.withColumn("lead_days", days_between("l_shipdate", "o_orderdate"))
     facts = facts.withColumn("same_day", F.col("lead_days") == 0)
-    return version_in_force(facts, derived.customer_versions(t), "o_custkey", "l_shipdate", take=["o_orderstatus"])
+    return version_in_force(facts, derived.customer_versions(t), "o_custkey", "l_shipdate", take=["o_orderstatus"], last_event_day=derived.last_ship_day(t))
 
 
 LEAD_FACTS_SQL = """
