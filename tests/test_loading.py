@@ -72,3 +72,13 @@ def test_header_permuted_or_truncated_is_refused(spark):
     rep = {r["path_date"]: r["state"] for r in load(spark, root, target, SPEC).collect()}
     assert rep == {D1: "loaded", D2: "invalid_header"}
     assert read_source(spark, target, SPEC).filter(F.col("path_date") == D2).count() == 0
+
+
+def test_rfc_quotes_and_line_breaks_survive(spark):
+    root, target = files.fresh_dir(spark, "t-land"), files.fresh_dir(spark, "t-target")
+    rows = good(D1, 25) + [('q"1', "1.00", D1.strftime("%m/%d/%Y"), D1), ("line\nbreak", "2.00", D1.strftime("%m/%d/%Y"), D1)]
+    write_landing(frame(spark, rows), root, SPEC)
+    rep = load(spark, root, target, SPEC).first()
+    assert rep["state"] == "loaded" and rep["n_read"] == 27 and rep["n_rejected"] == 0
+    keys = {r["k"] for r in read_source(spark, target, SPEC).collect()}
+    assert 'q"1' in keys and "line\nbreak" in keys

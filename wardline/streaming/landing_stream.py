@@ -38,6 +38,8 @@ def stream_load(
     src = (
         spark.readStream.schema(schema)
         .option("header", False)
+        .option("escape", '"')
+        .option("multiLine", True)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(f"{landing_root}/{spec.name}/*")
         .select(F.regexp_extract(F.col("_metadata.file_path"), f"{PART_COL}=([0-9-]+)", 1).alias("_date"))
