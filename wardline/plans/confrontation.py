@@ -344,3 +344,40 @@ def in46_flow_series(spark, sf_dir):
     m2 = t.events.groupBy(decimal_year("ts").alias("x")).agg(F.count(F.lit(1)).alias("n")).withColumn("series", F.lit("monthly_emergency"))
     h = t.events.groupBy(F.hour("ts").cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n")).withColumn("series", F.lit("hourly_emergency"))
     return m1.unionByName(m2).unionByName(h)
+
+
+# ---------------------------------------------------------------- DQ-15 attribution
+
+ATTRIBUTION_SQL = (
+    with_sql(
+        landing.LINEITEM_LANDING_ID_SQL,
+        sqlgen.checked_cte(LINEITEM_LANDING, "lineitem_landing_id", "chk", extra=("row_id",)),
+    )
+    + """,
+low AS (SELECT reasons, CAST(try_strptime(l_shipdate, '%m/%d/%Y') AS DATE) AS ship,
+               (SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem) AS first_day
+        FROM chk WHERE reasons LIKE '%low_bound:l_shipdate:%')
+SELECT CASE WHEN reasons LIKE '%duplicate:%' THEN 'also_duplicate'
+            WHEN date_trunc('month', ship) = date_trunc('month', first_day) THEN 'first_month_of_data'
+            ELSE 'unexplained' END AS origin,
+       COUNT(*) AS n_rows
+FROM low GROUP BY 1"""
+)
+
+
+@query("dq15_low_bound_attribution", sql=ATTRIBUTION_SQL, ops=("DQ-15",))
+def dq15_low_bound_attribution(spark, sf_dir):
+    """Rows rejected for a too-early ship date attributed to an origin: also a repeated
+    key, the first month of the data (before the declared bound), or unexplained."""
+    t = Tables(spark, sf_dir)
+    checked = Q.check_rows(landing.lineitem_landing(t, with_identity=True), LINEITEM_LANDING, "path_date")
+    text = F.array_join(Q.REASONS, ";")
+    low = checked.filter(text.contains("low_bound:l_shipdate:"))
+    first_day = t.lineitem.select(F.min(F.to_date("l_shipdate"))).scalar()
+    ship = F.to_date(F.try_to_timestamp(F.col("l_shipdate"), F.lit("MM/dd/yyyy")))
+    origin = (
+        F.when(text.contains("duplicate:"), "also_duplicate")
+        .when(F.trunc(ship, "MM") == F.trunc(first_day, "MM"), "first_month_of_data")
+        .otherwise("unexplained")
+    )
+    return low.groupBy(origin.alias("origin")).agg(F.count(F.lit(1)).alias("n_rows"))
