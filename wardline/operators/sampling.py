@@ -8,23 +8,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_rank(df: DataFrame, key: str, bucket_width: int = 4096) -> DataFrame:
-    """1-based rank of a unique integer ``key`` in ascending order, without a
-    single-partition window.
+def global_rank(df: DataFrame, key: str, rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """1-based rank of a unique numeric ``key`` in ascending order, without a
+    single-partition window over the rows.
 
-    Keys are bucketed by value (``key // bucket_width``): a bucket holds at most
-    ``bucket_width`` distinct keys, so the per-bucket window is bounded; bucket
-    offsets are prefix sums over the per-bucket counts, a table with one row per
-    non-empty bucket.
+    Split points are approximate quantiles of the key (their number grows with the
+    row count, about ``rows_per_bucket`` keys per bucket whatever the key density),
+    a JVM binary search assigns each row its bucket, ranks are row numbers inside a
+    bucket, and bucket offsets are prefix sums over the per-bucket counts (one row
+    per bucket). Exact: quantiles only decide where buckets split, not the ranks.
     """
-    b = F.floor(F.col(key) / F.lit(bucket_width)).cast("long")
-    staged = df.withColumn("_bucket", b)
+    from pyspark.ml.feature import Bucketizer
+
+    n = df.select(F.count(F.lit(1))).first()[0]
+    n_buckets = max(1, -(-n // rows_per_bucket))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    cuts = sorted(set(df.approxQuantile(key, probs, 1.0 / (10 * n_buckets)))) if probs else []
+    splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
+    if len(splits) < 3:  # one bucket
+        staged = df.withColumn("_bucket", F.lit(0.0))
+    else:  # doubles hold integer keys exactly below 2^53; beyond, ties only share a bucket
+        staged = Bucketizer(splits=splits, inputCol="_kd", outputCol="_bucket", handleInvalid="keep").transform(
+            df.withColumn("_kd", F.col(key).cast("double"))
+        ).drop("_kd")
     counts = staged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_bucket", (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))).alias("_off")
     ).fillna(0, ["_off"])
     local = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    ranked = staged.withColumn("_local", local).join(offsets, "_bucket")
+    ranked = staged.withColumn("_local", local).join(F.broadcast(offsets), "_bucket")
     return ranked.withColumn("rank", (F.col("_off") + F.col("_local")).cast("long")).drop("_bucket", "_local", "_off")
 
 
