@@ -381,3 +381,42 @@ def dq15_low_bound_attribution(spark, sf_dir):
         .otherwise("unexplained")
     )
     return low.groupBy(origin.alias("origin")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---------------------------------------------------------------- FN-16/17 on whole texts
+
+NORM_V1_SQL = r"trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[!-/:-@\[-`{-~]', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+_DOC_NORM = f"CASE WHEN trim(text) = '' THEN text ELSE {NORM_V1_SQL} END"
+
+
+@query(
+    "fn16_normalise_documents",
+    sql=f"SELECT doc_id, md5({_DOC_NORM}) AS norm_md5, CAST(length({_DOC_NORM}) AS INTEGER) AS norm_chars FROM documents",
+    ops=("FN-16",),
+)
+def fn16_normalise_documents(spark, sf_dir):
+    """v1 normalisation of every whole document (accents, case, punctuation, spaces);
+    the digest lets two engines compare the full normalised texts."""
+    from wardline.functions.similarity import v1
+
+    d = Tables(spark, sf_dir).documents
+    n = v1("text")
+    return d.select("doc_id", F.md5(n).alias("norm_md5"), F.length(n).alias("norm_chars"))
+
+
+@query(
+    "fn17_sorted_tokens_conversations",
+    sql=f"""
+SELECT conv_id, turn,
+       md5(CASE WHEN trim(text) = '' THEN text ELSE array_to_string(list_sort(string_split({NORM_V1_SQL}, ' ')), ' ') END) AS norm_md5
+FROM conversations""",
+    ops=("FN-17",),
+)
+def fn17_sorted_tokens_conversations(spark, sf_dir):
+    """v2 normalisation (v1, then tokens sorted) of every conversation turn."""
+    from wardline.functions.similarity import v2
+
+    c = Tables(spark, sf_dir).conversations
+    return c.select("conv_id", "turn", F.md5(v2("text")).alias("norm_md5"))
