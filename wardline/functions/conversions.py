@@ -30,8 +30,9 @@ def text_to_date(c: ColumnOrName, fmt: str = DATE_FORMAT) -> Column:
 
 
 def text_to_timestamp(c: ColumnOrName, fmt: str = TIMESTAMP_FORMAT) -> Column:
-    """FN-2: 12-hour clock with AM/PM; NULL when blank or malformed."""
-    return F.try_to_timestamp(blank_to_null(c), F.lit(fmt))
+    """FN-2: 12-hour clock with AM/PM; NULL when blank or malformed. The result is a
+    wall-clock instant without zone (TIMESTAMP_NTZ), as written in the extract."""
+    return F.try_to_timestamp(blank_to_null(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def text_to_decimal(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:

@@ -371,7 +371,7 @@ def in19_monthly_admissions(spark, sf_dir):
 def _reference_instant(t: Tables):
     """SS-3 / JN-17: end (23:59:59) of the last event day, never the clock."""
     last_day = derived.typed_events(t).select(F.max(F.to_date("ts"))).scalar()
-    return F.to_timestamp(F.concat(F.date_format(last_day, "yyyy-MM-dd"), F.lit(" 23:59:59")))
+    return F.to_timestamp_ntz(F.concat(F.date_format(last_day, "yyyy-MM-dd"), F.lit(" 23:59:59")))
 
 
 @query(

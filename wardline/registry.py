@@ -28,7 +28,7 @@ TYPED = {
     "code": T.StringType(),
     "text": T.StringType(),
     "date": T.DateType(),
-    "timestamp": T.TimestampType(),
+    "timestamp": T.TimestampNTZType(),  # wall-clock instants without zone
     "decimal": T.DecimalType(18, 2),
     "integer": T.IntegerType(),
     "boolean": T.BooleanType(),
