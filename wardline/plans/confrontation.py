@@ -155,9 +155,26 @@ def dq26_dimension_completeness(spark, sf_dir):
 # ---------------------------------------------------------------- DQ-43 sample rows exist
 
 
+def _dq43_sql() -> str:
+    from wardline.plans.sets_and_samples import NOTICE, SAMPLE_SIZE
+
+    return f"""
+WITH r AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS rk, COUNT(*) OVER () AS total FROM customer),
+s AS (
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM r
+  WHERE (rk - 1) % greatest(total // {SAMPLE_SIZE}, 1) = 0 AND (rk - 1) // greatest(total // {SAMPLE_SIZE}, 1) < {SAMPLE_SIZE}
+  UNION
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < 0
+)
+SELECT (SELECT COUNT(*) FROM s) AS n_sampled,
+       (SELECT COUNT(*) FROM s WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)) AS n_missing_key,
+       (SELECT COUNT(*) FROM (SELECT * FROM s EXCEPT ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer))
+         AS n_differing_rows"""
+
+
 @query(
     "dq43_sample_rows_exist",
-    sql=None,
+    sql=_dq43_sql(),
     ops=("DQ-43",),
 )
 def dq43_sample_rows_exist(spark, sf_dir):
