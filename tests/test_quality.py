@@ -116,3 +116,16 @@ def test_reasons_parse_back(spark):
     q = Q.quarantine_rows(checked.filter(F.size(Q.REASONS) > 0))
     parsed = sorted(tuple(r) for r in Q.explode_reasons(q).collect())
     assert parsed == [("boolean_domain", "flag", "z"), ("low_bound", "arrived", "01/01/1999 10:00:00 AM")]
+
+
+def test_many_identical_copies_are_chunked(spark):
+    from wardline.operators.quality import uniqueness_flags
+
+    df = rows(spark, {}).withColumn("n_visit", F.lit("K"))
+    many = df
+    for _ in range(5):
+        many = many.unionByName(many)  # 32 identical rows
+    many = many.unionByName(rows(spark, {"n_line": "2"}).withColumn("n_visit", F.lit("K")))
+    flags = uniqueness_flags(many, SPEC.key, ["path_date"], chunk=5).groupBy("n_line", "_dup").count().collect()
+    got = {(r["n_line"], r["_dup"]): r["count"] for r in flags}
+    assert got == {("1", False): 1, ("1", True): 31, ("2", False): 1}

@@ -77,7 +77,9 @@ def with_row_reasons(df: DataFrame, spec: TableSpec, path_date_col: str | None =
     return df.withColumn(REASONS, F.array_compact(F.array(*exprs)))
 
 
-def uniqueness_flags(df: DataFrame, key: tuple[str, ...] | list[str], scope: list[str]) -> DataFrame:
+def uniqueness_flags(
+    df: DataFrame, key: tuple[str, ...] | list[str], scope: list[str], chunk: int = 4096
+) -> DataFrame:
     """DQ-7: flag, inside each ``scope`` (one partition file), the 2nd+ row of a key.
 
     "First" is the smallest row content (all columns, byte order) because a
@@ -106,11 +108,21 @@ def uniqueness_flags(df: DataFrame, key: tuple[str, ...] | list[str], scope: lis
         .when(is_first, F.col("_n") - 1)
         .otherwise(F.col("_n"))
     )
-    flags = F.concat(
-        F.array_repeat(F.lit(False), (F.col("_n") - n_dup).cast("int")),
-        F.array_repeat(F.lit(True), n_dup.cast("int")),
+    j = j.select(*content, "_empty", "_n", (F.col("_n") - n_dup).alias("_keep"), n_dup.alias("_dupn"))
+
+    def expand(keep: Column, dup: Column) -> Column:
+        return F.explode(
+            F.concat(F.array_repeat(F.lit(False), keep.cast("int")), F.array_repeat(F.lit(True), dup.cast("int")))
+        ).alias("_dup")
+
+    # copies of a row are restored by a two-level explode (chunk ids, then at most
+    # `chunk` copies each): memory stays bounded however often one row is repeated
+    chunks = j.select(
+        *content, "_empty", "_n", "_keep", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / chunk).cast("int") - 1)).alias("_c")
     )
-    return j.select(*content, "_empty", F.explode(flags).alias("_dup"))
+    in_chunk = F.least(F.lit(chunk), F.col("_n") - F.col("_c") * chunk)
+    keep_c = F.when(F.col("_c") == 0, F.col("_keep")).otherwise(F.lit(0))
+    return chunks.select(*content, "_empty", expand(keep_c, in_chunk - keep_c))
 
 
 def with_uniqueness_reasons(flagged: DataFrame, key, reasons_col: str = REASONS) -> DataFrame:
