@@ -68,3 +68,13 @@ def test_query_matches_oracle(spark, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert rows(df.columns, df.collect()) == rows(dcols, cur.fetchall())
+
+
+def test_every_injected_defect_is_caught(spark):
+    """Truth confrontation: each defect the landing rules inject is flagged with the
+    expected reason, and nothing else carries those reasons."""
+    out = _entry().queries()["dq14_truth_vs_quarantine"](spark, SF).collect()
+    injected = [r for r in out if r["n_truth"] > 0]
+    assert injected, "the fixture should contain injected defects"
+    for r in injected:
+        assert r["n_missing"] == 0 and r["n_extra"] == 0, r
