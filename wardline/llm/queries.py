@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import mixing, sharding
+from wardline.llm import line_dedup, mixing, pii, sharding
 from wardline.llm.common import read
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base kinds and identifiers discovered from their contexts."""
+    return pii.pii_report(read(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to target weights: size, source size, target and words taken."""
     return mixing.mixing_report(read(spark, sf_dir, "documents"))
@@ -22,6 +27,11 @@ def op4_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(read(spark, sf_dir, "documents"), 8)
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op3_mix_sources, op4_stratified_shards)}
+def op6_repeated_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without later copies of runs of lines that repeat in the corpus."""
+    return line_dedup.line_report(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op3_mix_sources, op4_stratified_shards, op6_repeated_line_runs)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.REPORT_SQL}
