@@ -1,11 +1,11 @@
 """Connected components of an edge DataFrame (LK-12).
 
-Min-label propagation: every node starts with its own id as label, and each
-round gives every node the smallest label among itself and its neighbours.
-Each round is two joins and an aggregate; lineage is cut with ``checkpoint()``
-(written to the cluster's ``spark.checkpoint.dir``), so a lost executor only
-recomputes the current round. The loop stops when no label changes; the
-driver only receives one count per round.
+Alternating large-star and small-star contractions: every node is re-linked to the
+smallest node of its neighbourhood, once for its larger and once for its smaller
+neighbours. The number of rounds grows with the logarithm of the longest chain; the loop
+ends when a round changes no edge and has no other limit. Each round's edges are cut with
+``checkpoint()`` (the cluster's ``spark.checkpoint.dir``), so a lost executor repeats one
+round at most; the driver receives one count and one checksum per round.
 """
 
 from __future__ import annotations
@@ -16,39 +16,35 @@ from pyspark.sql import functions as F
 from wardline.session import checkpoint_dir
 
 
-def connected_components(
-    nodes: DataFrame,
-    edges: DataFrame,
-    node_col: str = "node",
-    src: str = "src",
-    dst: str = "dst",
-    max_rounds: int = 100,
-    checkpoint_every: int = 1,
-) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Larger neighbours of a node are linked to the smallest node around it."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours are linked to the smallest of them."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, node_col: str = "node", src: str = "src", dst: str = "dst") -> DataFrame:
     """Return (node, component) with component = smallest node id of the component.
 
     ``nodes`` must contain every node (isolated ones are kept as singletons);
     ``edges`` are undirected. Node ids must be orderable (numbers or strings).
     """
-    spark = nodes.sparkSession
-    checkpoint_dir(spark)
-    e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a") != F.col("b"))
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = both.checkpoint()
-    labels = nodes.select(F.col(node_col).alias("node")).distinct().withColumn("label", F.col("node"))
-    labels = labels.checkpoint()
-    for i in range(max_rounds):
-        # smallest label seen over each node's neighbours
-        incoming = both.join(labels.select(F.col("node").alias("a"), F.col("label").alias("nl")), "a").groupBy(
-            F.col("b").alias("node")
-        ).agg(F.min("nl").alias("cand"))
-        new = labels.join(incoming, "node", "left").select(
-            "node", F.least(F.col("label"), F.coalesce(F.col("cand"), F.col("label"))).alias("label"), F.col("label").alias("old")
-        )
-        if (i + 1) % checkpoint_every == 0:
-            new = new.checkpoint()
-        changed = new.filter(F.col("label") != F.col("old")).limit(1).count()
-        labels = new.select("node", "label")
-        if changed == 0:
+    checkpoint_dir(nodes.sparkSession)
+    ends = F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v")
+    stars = edges.where(F.col(src) != F.col(dst)).select(*ends).distinct().checkpoint()
+    state = None
+    while True:
+        now = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if tuple(now) == state or now[0] == 0:
             break
-    return labels.select(F.col("node").alias(node_col), F.col("label").alias("component"))
+        state = tuple(now)
+        stars = _small_star(_large_star(stars)).checkpoint()
+    found = stars.select(F.col("u").alias(node_col), F.col("v").alias("component"))
+    return nodes.select(node_col).distinct().join(found, node_col, "left").select(node_col, F.coalesce("component", F.col(node_col)).alias("component"))
