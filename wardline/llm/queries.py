@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import line_dedup, mixing, pii, sharding
+from wardline.llm import line_dedup, mixing, order_minhash, pii, sharding
 from wardline.llm.common import read
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,11 @@ def op1_find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(read(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: class_id is the smallest doc_id of the group."""
+    return order_minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to target weights: size, source size, target and words taken."""
     return mixing.mixing_report(read(spark, sf_dir, "documents"))
@@ -32,6 +37,6 @@ def op6_repeated_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op3_mix_sources, op4_stratified_shards, op6_repeated_line_runs)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op6_repeated_line_runs)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.REPORT_SQL}
