@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import line_dedup, mixing, order_minhash, pii, sharding
+from wardline.llm import line_dedup, mixing, multi_index, order_minhash, pii, pstable, sharding
 from wardline.llm.common import read
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,22 @@ def op4_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(read(spark, sf_dir, "documents"), 8)
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors found for every vector whose id is divisible by 100."""
+    found = multi_index.search_embeddings(read(spark, sf_dir, "embeddings"), 10, 100)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op6_repeated_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of runs of lines that repeat in the corpus."""
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op6_repeated_line_runs)}
+def op9_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with their links (cosine of 0.9 or more) and components."""
+    return pstable.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op9_near_duplicate_vectors)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.REPORT_SQL}
