@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import line_dedup, mixing, multi_index, order_minhash, pii, pstable, sharding
+from wardline.llm import line_dedup, mixing, multi_index, order_minhash, pii, piece_sampling, pstable, sharding
 from wardline.llm.common import read
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op9_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pstable.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op9_near_duplicate_vectors)}
+def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as sampled pieces and back: digests of the ids and of the decoded text."""
+    return piece_sampling.encoding_report(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op9_near_duplicate_vectors, op10_sampled_pieces)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.REPORT_SQL}
