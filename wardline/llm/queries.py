@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import line_dedup, mixing, multi_index, order_minhash, pii, piece_sampling, pstable, sharding
+from wardline.llm import line_dedup, mixing, multi_index, order_minhash, pii, piece_sampling, pstable, sharding, toxicity
 from wardline.llm.common import read
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op6_repeated_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chained probabilities of low quality and toxicity for every document."""
+    return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors with their links (cosine of 0.9 or more) and components."""
     return pstable.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
@@ -53,6 +58,6 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.encoding_report(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op9_near_duplicate_vectors, op10_sampled_pieces)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op7_toxicity, op9_near_duplicate_vectors, op10_sampled_pieces)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.REPORT_SQL}
