@@ -23,6 +23,8 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows in one batch to a Python worker: bounds its memory where rows hold whole texts
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
 }
 
@@ -61,6 +63,13 @@ def apply_runtime_conf(spark: SparkSession) -> None:
                 spark.conf.set(key, value)
             except Exception:  # static conf on some deployments
                 pass
+    # Python workers import this package by name, wherever the driver was started
+    environment = spark.sparkContext.environment
+    if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), ROOT]))
+
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
