@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.session import checkpoint_dir
+from wardline.session import checkpoint_dir, scratch_table_path
 
 # ---- fixed values: the word pattern (everything between ASCII white space) ----
 WORD = r"[^\x20\x09-\x0D]+"
@@ -23,6 +25,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, under a name of its own, and read it back."""
+    path = f"{scratch_table_path(df.sparkSession, name)}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import line_dedup, mixing, multi_index, order_minhash, pii, piece_sampling, pstable, sharding, toxicity
+from wardline.llm import line_dedup, mixing, multi_index, ngram_bloom, order_minhash, pii, piece_sampling, pstable, sharding, toxicity
 from wardline.llm.common import read
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text under the smoothed pair model, and under the word model."""
+    return ngram_bloom.score_texts(read(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors with their links (cosine of 0.9 or more) and components."""
     return pstable.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
@@ -58,6 +63,6 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.encoding_report(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op7_toxicity, op9_near_duplicate_vectors, op10_sampled_pieces)}
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op7_toxicity, op8_language_model, op9_near_duplicate_vectors, op10_sampled_pieces)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.REPORT_SQL}
