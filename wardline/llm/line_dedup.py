@@ -75,10 +75,10 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = cut(_positions(docs))
     classes = lines.groupBy("a", "b").agg(F.min(F.struct("d", "i")).alias("r0"), F.max(F.struct("d", "i")).alias("last"))
     classes = cut(classes.where(F.col("r0") < F.col("last")).select("a", "b", "r0"))
-    # stretches of repeated lines; a run lies within one
+    # stretches of repeated lines; a run lies within one (rows repeated as a whole count once)
     in_doc = Window.partitionBy("d").orderBy("i")
-    repeated = lines.join(classes, ["a", "b"]).select("d", "i", "w", "r0", (F.col("i") - F.row_number().over(in_doc)).alias("g"))
-    stretch = repeated.groupBy("d", "g").agg(F.array_sort(F.collect_list(F.struct("i", "w", "r0"))).alias("x"), F.sum("w").alias("words"))
+    repeated = lines.join(classes, ["a", "b"]).select("d", "i", "w", "r0", (F.col("i") - F.dense_rank().over(in_doc)).alias("g"))
+    stretch = repeated.groupBy("d", "g").agg(F.array_sort(F.collect_set(F.struct("i", "w", "r0"))).alias("x"), F.sum("w").alias("words"))
     stretch = cut(stretch.where(F.col("words") >= min_words).select("d", "g", "x", _windows(F.col("x"), min_words).alias("windows")))
     longest = stretch.select(F.max(F.array_max(F.transform("windows", lambda v: v["n"])))).first()[0] or 1
     levels = longest.bit_length() - 1
