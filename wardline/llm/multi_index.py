@@ -143,7 +143,8 @@ class MultiIndex:
         """(query_id, vec_id, score) of the k nearest found, for ``queries`` (vec_id, embedding)."""
         books, counts, half, enough = self.books, self.counts, self.half, wanted(self.n)
         asked = cut(queries.distinct().select(F.col("vec_id").alias("query_id"), "embedding"))
-        distinct = asked.groupBy("embedding").agg(F.min("query_id").alias("q"))
+        parts = max(1, -(-asked.count() // QUERY_BLOCK))
+        distinct = asked.groupBy("embedding").agg(F.min("query_id").alias("q")).repartition(max(parts, asked.sparkSession.sparkContext.defaultParallelism), "q")
 
         def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             one, two = books.value
@@ -159,7 +160,7 @@ class MultiIndex:
                 yield pd.DataFrame(rows, columns=["q", "embedding", "i", "js"])
 
         visits = distinct.mapInPandas(walk, f"q long, embedding {self.kind}, i int, js array<int>")
-        part = F.pmod(F.xxhash64("q"), F.lit(max(1, -(-asked.count() // QUERY_BLOCK))))
+        part = F.pmod(F.xxhash64("q"), F.lit(parts))
         visits = visits.join(self.blocks, "i").select("q", "embedding", "i", "js", F.explode(F.sequence(F.col("block"), F.col("block") + F.col("salts") - 1)).alias("block"), part.alias("part"))
         visits = cut(visits)
         entries = self.entries.join(self.blocks, "i").withColumn("block", (F.col("block") + F.pmod(F.xxhash64("embedding"), F.col("salts"))).cast("int")).drop("salts")
