@@ -1,14 +1,13 @@
-"""String similarity and normalisation helpers (FN-16, FN-17, FN-19, FN-20).
+"""String similarity and normalisation (FN-16, FN-17, FN-19, FN-20).
 
-Spark has no Jaro-Winkler, no transposition-aware edit distance and no Unicode
-NFKD normalisation, so these are small per-value Python helpers run through
-Arrow-batched ``pandas_udf``s. They are only ever applied to blocked candidate
-pairs or to one column of a population, never to a cartesian product.
+Normalisation is built-in expressions. Spark has no Jaro-Winkler and no
+transposition-aware edit distance, so these are small per-value Python helpers run
+through Arrow-batched ``pandas_udf``s, only ever on the distinct values of blocked
+candidate pairs.
 """
 
 from __future__ import annotations
 
-import string
 import unicodedata
 
 import pandas as pd
@@ -17,8 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-_PUNCT = str.maketrans({c: " " for c in string.punctuation})
-
 # Ship these helpers with the tasks (by value): executors then need no copy of
 # this package on their Python path.
 try:
@@ -31,23 +28,6 @@ except Exception:  # pragma: no cover - older cloudpickle
     pass
 
 
-def normalise_v1(value: str | None) -> str | None:
-    """Lower case, accents removed (NFKD, combining marks dropped), ASCII
-    punctuation to space, whitespace collapsed and trimmed. Blank stays blank."""
-    if value is None or value.strip() == "":
-        return value
-    text = unicodedata.normalize("NFKD", value.lower())
-    text = "".join(c for c in text if not unicodedata.combining(c))
-    return " ".join(text.translate(_PUNCT).split())
-
-
-def normalise_v2(value: str | None) -> str | None:
-    """v1, then the space-separated tokens sorted."""
-    if value is None or value.strip() == "":
-        return value
-    return " ".join(sorted(normalise_v1(value).split(" ")))
-
-
 def jaro(s1: str, s2: str) -> float:
     if s1 == s2:
         return 1.0
@@ -125,16 +105,6 @@ def damerau_levenshtein(a: str, b: str) -> int:
     return d[n + 1][m + 1]
 
 
-@pandas_udf(T.StringType())
-def _v1_udf(s: pd.Series) -> pd.Series:
-    return s.map(normalise_v1, na_action="ignore")
-
-
-@pandas_udf(T.StringType())
-def _v2_udf(s: pd.Series) -> pd.Series:
-    return s.map(normalise_v2, na_action="ignore")
-
-
 @pandas_udf(T.DoubleType())
 def _jw_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
@@ -145,14 +115,32 @@ def _dl_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else damerau_levenshtein(x, y) for x, y in zip(a, b)], dtype="Int32")
 
 
+def _accents() -> tuple[str, str]:
+    """Latin letters with accents and their base letters, from the Unicode decompositions."""
+    letters = [chr(c) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))]
+    bases = [(c, unicodedata.normalize("NFKD", c)[0]) for c in letters]
+    plain = [(c, b) for c, b in bases if b != c and b.isascii()]
+    return "".join(c for c, _ in plain), "".join(b for _, b in plain)
+
+
+_ACCENTED, _PLAIN = _accents()
+_MARKS = r"\p{M}+"  # combining marks written on their own
+_SIGNS = r"[\p{Punct}&&\p{ASCII}]"
+_SPACES = r"(?U)[\s\x1c-\x1f]+"
+
+
 def v1(c: Column | str) -> Column:
-    """FN-16 on a column."""
-    return _v1_udf(F.col(c) if isinstance(c, str) else c)
+    """FN-16: lower case, accents off, ASCII punctuation and runs of white space to one
+    space, ends trimmed. A blank stays as it is, NULL stays NULL."""
+    raw = F.col(c) if isinstance(c, str) else c
+    bare = F.regexp_replace(F.translate(F.lower(raw), _ACCENTED, _PLAIN), _MARKS, "")
+    tidy = F.trim(F.regexp_replace(F.regexp_replace(bare, _SIGNS, " "), _SPACES, " "))
+    return F.when(F.regexp_replace(raw, _SPACES, "") == "", raw).otherwise(tidy)
 
 
 def v2(c: Column | str) -> Column:
-    """FN-17 on a column."""
-    return _v2_udf(F.col(c) if isinstance(c, str) else c)
+    """FN-17: v1 with its words sorted."""
+    return F.array_join(F.array_sort(F.split(v1(c), " ")), " ")
 
 
 def jaro_winkler_col(a: Column, b: Column) -> Column:
