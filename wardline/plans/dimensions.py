@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from wardline.functions.conversions import iso_weekday, is_weekend
 from wardline.operators.sets import code_set, measures_row, two_way_difference
 from wardline.plans.catalog import query
-from wardline.sources.calendar import calendar_days, calendar_sql_values
+from wardline.sources.calendar import MOVABLE, calendar_days, calendar_sql
 from wardline.sources.tables import Tables
 
-CALENDAR_YEARS = (1990, 2030)  # the rule table is exploded over this span, joins trim it
+KNOWN_YEARS = [y for y, *_ in MOVABLE]  # years whose movable observances the rules know
 
 # ---- fixed values: documented code labels (label register) ------------------
 LABELS = [
@@ -35,13 +35,18 @@ CODE_COLUMNS = {
 }
 
 
+def data_years(bounds: DataFrame) -> DataFrame:
+    """Every year from the first to the last data day (``lo``, ``hi``)."""
+    return bounds.select(F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("year"))
+
+
 def date_dimension(t: Tables) -> DataFrame:
     """DIM-2: one row per day between the first and last data day (orders, events)."""
     spark = t.spark
     days = t.orders.select(F.to_date("o_orderdate").alias("d")).unionByName(t.events.select(F.to_date("ts").alias("d")))
     bounds = days.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))  # one row
     spine = bounds.select(F.explode(F.sequence("lo", "hi")).alias("day"))
-    cal = calendar_days(spark, *CALENDAR_YEARS)
+    cal = calendar_days(spark, data_years(bounds))
     holidays = (
         cal.filter(F.col("category") != "ramadan")
         .groupBy("day")
@@ -49,13 +54,10 @@ def date_dimension(t: Tables) -> DataFrame:
     )
     ramadan = cal.filter(F.col("category") == "ramadan")
     starts = ramadan.groupBy(F.year("day").alias("_y")).agg(F.min("day").alias("_start"))
-    ramadan = ramadan.join(F.broadcast(starts), F.year("day") == F.col("_y")).select(
+    ramadan = ramadan.join(starts, F.year("day") == F.col("_y")).select(
         F.col("day").alias("_rday"), (F.datediff("day", "_start") + 1).alias("ramadan_day")
     )
-    # holiday and Ramadan days are bounded by the days of the rule span: broadcast
-    out = spine.join(F.broadcast(holidays), "day", "left").join(
-        F.broadcast(ramadan), F.col("day") == F.col("_rday"), "left"
-    )
+    out = spine.join(holidays, "day", "left").join(ramadan, F.col("day") == F.col("_rday"), "left")
     return out.select(
         "day",
         "holiday_labels",
@@ -66,7 +68,8 @@ def date_dimension(t: Tables) -> DataFrame:
         iso_weekday("day").alias("iso_weekday"),
         is_weekend("day").alias("is_weekend"),
         F.col("holiday_labels").isNotNull().alias("is_holiday"),
-        F.col("_rday").isNotNull().alias("is_ramadan"),
+        # unknown (NULL) in a year without a movable rule
+        F.when(F.year("day").isin(KNOWN_YEARS), F.col("_rday").isNotNull()).alias("is_ramadan"),
         "ramadan_day",
     )
 
@@ -78,7 +81,7 @@ bounds AS (
   FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(ts AS DATE) FROM events)
 ),
 spine AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM bounds),
-cal AS (SELECT * FROM {calendar_sql_values(*CALENDAR_YEARS)}),
+cal AS (SELECT * FROM {calendar_sql("(SELECT year(lo) FROM bounds)", "(SELECT year(hi) FROM bounds)")}),
 hol AS (SELECT day, string_agg(label, ',' ORDER BY label) AS holiday_labels
         FROM cal WHERE category <> 'ramadan' GROUP BY day),
 ram AS (SELECT day, CAST(datediff('day', min(day) OVER (PARTITION BY year(day)), day) + 1 AS INTEGER) AS ramadan_day
@@ -88,7 +91,8 @@ dim_date AS (
          CAST(year(s.day) AS INTEGER) AS year, CAST(quarter(s.day) AS INTEGER) AS quarter,
          CAST(month(s.day) AS INTEGER) AS month, CAST(day(s.day) AS INTEGER) AS day_of_month,
          CAST(isodow(s.day) AS INTEGER) AS iso_weekday, isodow(s.day) IN (6, 7) AS is_weekend,
-         h.day IS NOT NULL AS is_holiday, r.day IS NOT NULL AS is_ramadan, r.ramadan_day
+         h.day IS NOT NULL AS is_holiday,
+         CASE WHEN year(s.day) IN ({', '.join(map(str, KNOWN_YEARS))}) THEN r.day IS NOT NULL END AS is_ramadan, r.ramadan_day
   FROM spine s LEFT JOIN hol h ON s.day = h.day LEFT JOIN ram r ON s.day = r.day
 )"""
 
@@ -121,12 +125,12 @@ def dq27_calendar_checks(spark, sf_dir):
     dim = date_dimension(t)
     span = dim.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     seed_hol = (
-        calendar_days(spark, *CALENDAR_YEARS)
+        calendar_days(spark, data_years(span))
         .filter(F.col("category") != "ramadan")
         .select("day")
         .distinct()
     )
-    seed_in_span = seed_hol.join(F.broadcast(span), F.col("day").between(F.col("lo"), F.col("hi"))).select("day")
+    seed_in_span = seed_hol.join(span, F.col("day").between(F.col("lo"), F.col("hi"))).select("day")
     flagged = dim.filter("is_holiday").select("day")
     event_days = (
         t.orders.select(F.to_date("o_orderdate").alias("day"))

@@ -4,7 +4,8 @@ The source system delivers daily all-text extracts. Here the driver tables are
 rendered into that form by Spark: dates become ``MM/dd/yyyy`` text, instants
 12-hour text, amounts decimal text, and defects are introduced by fixed rules on
 the rows' own keys so that every check has something to find. Each builder has
-a DuckDB twin (``*_SQL``) used by the oracle; both must stay in step.
+a DuckDB twin (``*_SQL``) used by the oracle; both must stay in step. Tables are dealt
+out evenly first (rebalance, which Spark sizes and splits): rendering is CPU work.
 
 Defect rules (fixed values):
   lineitem: empty line number when l_orderkey % 997 = 3; quantity suffixed 'u'
@@ -44,7 +45,7 @@ def lineitem_landing(t: Tables, with_identity: bool = False) -> DataFrame:
     qty = _txt(F.col("l_quantity").cast("int"))
     price = _money(F.col("l_extendedprice"))
     month = F.trunc(ship, "MM")
-    out = t.lineitem.select(
+    out = t.lineitem.hint("rebalance").select(
         _txt(okey).alias("l_orderkey"),
         F.when(okey % 997 == 3, F.lit("")).otherwise(_txt(line)).alias("l_linenumber"),
         _txt(pkey).alias("l_partkey"),
@@ -108,7 +109,7 @@ def orders_landing(t: Tables) -> DataFrame:
     okey, ckey = F.col("o_orderkey"), F.col("o_custkey")
     total = _money(F.col("o_totalprice"))
     month = F.trunc(day, "MM")
-    out = t.orders.select(
+    out = t.orders.hint("rebalance").select(
         _txt(okey).alias("o_orderkey"),
         _txt(ckey).alias("o_custkey"),
         "o_orderstatus",
@@ -145,7 +146,7 @@ orders_landing AS (
 def events_landing(t: Tables) -> DataFrame:
     eid = F.col("event_id")
     nxt = F.date_add(F.to_date("ts"), 1)
-    out = t.events.select(
+    out = t.events.hint("rebalance").select(
         _txt(eid).alias("event_id"),
         F.when(eid % 211 == 0, F.lit("")).otherwise(F.date_format("ts", "MM/dd/yyyy hh:mm:ss a")).alias("ts"),
         _txt(F.col("user_id")).alias("user_id"),

@@ -46,8 +46,8 @@ CALENDAR_SCHEMA = T.StructType(
 )
 
 
-def calendar_days(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Calendar seed rows (day, category, label) for the given years.
+def calendar_days(spark: SparkSession, years: DataFrame) -> DataFrame:
+    """Calendar seed rows (day, category, label) for ``years`` (a column ``year``).
 
     category in ('fixed_holiday', 'movable_holiday', 'ramadan'); fixed rules are
     exploded over the years, movable ones over their spans.
@@ -56,10 +56,9 @@ def calendar_days(spark: SparkSession, first_year: int, last_year: int) -> DataF
         [(m, d, f"fixed_{label}", first) for m, d, label, first in FIXED_HOLIDAYS],
         "month int, dom int, label string, first_year int",
     )
-    years = F.sequence(F.lit(first_year), F.lit(last_year))
+    every = F.col("first_year").isNull() | (F.col("year") >= F.col("first_year"))
     fixed_days = (
-        fixed.withColumn("year", F.explode(years))
-        .filter(F.col("first_year").isNull() | (F.col("year") >= F.col("first_year")))
+        years.join(fixed, every)  # a few rules for each year of the data
         .select(
             F.make_date("year", "month", "dom").alias("day"),
             F.lit("fixed_holiday").alias("category"),
@@ -72,7 +71,7 @@ def calendar_days(spark: SparkSession, first_year: int, last_year: int) -> DataF
             for y, a, b, c, d in MOVABLE
         ],
         "year int, ramadan_start date, ramadan_end date, fitr date, adha date",
-    ).filter(F.col("year").between(first_year, last_year))
+    ).join(years, "year", "left_semi")
     eid = movable.select(
         F.explode(
             F.array(
@@ -93,23 +92,21 @@ def calendar_days(spark: SparkSession, first_year: int, last_year: int) -> DataF
     return fixed_days.unionByName(eid).unionByName(ramadan)
 
 
-def calendar_sql_values(first_year: int, last_year: int) -> str:
-    """The same seed as a DuckDB VALUES list (oracle side)."""
-    rows = []
-    for y in range(first_year, last_year + 1):
-        for m, d, label, first in FIXED_HOLIDAYS:
-            if first is None or y >= first:
-                rows.append((dt.date(y, m, d), "fixed_holiday", f"fixed_{label}"))
-    for y, a, b, c, d in MOVABLE:
-        if not first_year <= y <= last_year:
-            continue
-        for start, label in ((c, "eid_al_fitr"), (d, "eid_al_adha")):
-            s = dt.date.fromisoformat(start)
-            for k in range(EID_DAYS):
-                rows.append((s + dt.timedelta(days=k), "movable_holiday", label))
-        s, e = dt.date.fromisoformat(a), dt.date.fromisoformat(b)
-        while s <= e:
-            rows.append((s, "ramadan", "ramadan"))
-            s += dt.timedelta(days=1)
-    body = ",\n".join(f"(DATE '{d.isoformat()}', '{c}', '{lbl}')" for d, c, lbl in rows)
-    return f"(VALUES {body}) AS cal(day, category, label)"
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
+
+
+def calendar_sql(lo: str, hi: str) -> str:
+    """The same days in DuckDB SQL, from the rule rows; ``lo`` and ``hi`` are year expressions."""
+    return f"""(
+  WITH fixed(month, dom, label, first_year) AS (VALUES {_values(FIXED_HOLIDAYS)}),
+       movable(year, r_from, r_to, fitr, adha) AS (VALUES {_values(MOVABLE)}),
+       feast AS (SELECT CAST(fitr AS DATE) AS start, 'eid_al_fitr' AS label, year FROM movable
+                 UNION ALL SELECT CAST(adha AS DATE), 'eid_al_adha', year FROM movable)
+  SELECT make_date(y, month, dom) AS day, 'fixed_holiday' AS category, 'fixed_' || label AS label
+  FROM fixed, generate_series({lo}, {hi}) AS g(y) WHERE first_year IS NULL OR y >= first_year
+  UNION ALL
+  SELECT start + CAST(k AS INTEGER), 'movable_holiday', label FROM feast, generate_series(0, {EID_DAYS - 1}) AS g(k) WHERE year BETWEEN {lo} AND {hi}
+  UNION ALL
+  SELECT CAST(unnest(generate_series(CAST(r_from AS DATE), CAST(r_to AS DATE), INTERVAL 1 DAY)) AS DATE), 'ramadan', 'ramadan'
+  FROM movable WHERE year BETWEEN {lo} AND {hi}) AS cal(day, category, label)"""

@@ -6,10 +6,7 @@ pushes filters into the scan, so callers select only what they use.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -19,41 +16,11 @@ TABLES = (
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
 
-_LAYOUT: dict[str, tuple[int, int]] = {}
-REBALANCE_MIN_BYTES = 4 << 20  # below this a single task is cheap enough
-
-
-def _layout(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(file count, total bytes) of a path, from the filesystem listing (cached)."""
-    if path not in _LAYOUT:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        summary = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p)
-        _LAYOUT[path] = (int(summary.getFileCount()), int(summary.getLength()))
-    return _LAYOUT[path]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table.
-
-    Parquet splits by row group; a table stored as very few files of one row
-    group each would run every narrow, CPU-heavy step (text rendering, parsing,
-    checks) in as many tasks as files. When a table has fewer files than the
-    cluster has task slots and is big enough to matter, it is spread round-robin
-    over the slots once (hash of the leading column). A large table (many files) is left exactly as read: no
-    extra shuffle at scale.
-    """
+    """Read one table as it lies; how it is split is the reader's settings (``spark.sql.files.*``)."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    n_files, size = _layout(spark, path)
-    slots = spark.sparkContext.defaultParallelism
-    if n_files < slots and size >= REBALANCE_MIN_BYTES:
-        # hash of the leading (key) column: deterministic under task retries without
-        # the per-partition sort that a round-robin repartition needs for that
-        df = df.repartition(slots, F.col(df.columns[0]))
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:
