@@ -9,7 +9,7 @@ def test_global_rank_matches_sort(spark):
     random.seed(7)
     keys = random.sample(range(1, 1_000_000), 3000)
     df = spark.createDataFrame([(k,) for k in keys], "k long")
-    got = {r["k"]: r["rank"] for r in global_rank(df, "k", rows_per_bucket=300).collect()}
+    got = {r["k"]: r["rank"] for r in global_rank(df, "k").collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 

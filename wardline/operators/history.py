@@ -57,43 +57,24 @@ def version_in_force(
     take: Sequence[str],
     prefix: str = "v_",
     version_key: str | None = None,
-    last_event_day: Column | None = None,
 ) -> DataFrame:
     """JN-3: left join each fact to the version of its key in force on the event day.
 
-    Physical plan: each version is exploded over the calendar months it covers
-    (open versions up to the last event month, a scalar) and joined on
-    (key, month) with the half-open range as a residual. A fact then meets at most
-    the <= 31 versions of its key in its month instead of all versions of the
-    key, and AQE's skew join splits a hot key's facts; the plan stays one
-    shuffle of the facts.
+    An equi join on the key with the half-open range as its residual: one shuffle of the
+    facts, a build side of one row per version whatever the dates in it, and hot keys that
+    Spark's skew join splits. A key's versions are bounded by its days.
     """
     version_key = version_key or key
-    day = F.to_date(F.col(event_col))
-    facts_b = facts.withColumn("_ev", day).withColumn("_bucket", F.trunc("_ev", "MM"))
-    # open versions are exploded up to the last event month; any bound at or after it
-    # is correct, so a caller can pass a cheap one (e.g. a max over the raw column)
-    if last_event_day is None:
-        last = facts_b.select(F.max("_bucket")).scalar()  # scalar subquery, evaluated once
-    else:
-        last = F.trunc(last_event_day, "MM")
+    facts_d = facts.withColumn("_ev", F.to_date(F.col(event_col)))
     v = versions.select(
         F.col(version_key).alias("_vkey"),
         F.col(VALID_FROM).alias("_vfrom"),
         F.col(VALID_TO).alias("_vto"),
         *[F.col(c).alias(prefix + c) for c in take],
     )
-    start = F.trunc("_vfrom", "MM")
-    stop = F.coalesce(F.trunc(F.date_sub("_vto", 1), "MM"), F.greatest(last, start))
-    v = v.withColumn("_bucket", F.explode(F.sequence(start, F.greatest(stop, start), F.expr("INTERVAL 1 MONTH"))))
-    cond = (
-        (facts_b[key] == v["_vkey"])
-        & (facts_b["_bucket"] == v["_bucket"])
-        & _in_force(facts_b["_ev"], v["_vfrom"], v["_vto"])
-    )
-    joined = facts_b.join(v, cond, "left")
+    joined = facts_d.join(v, (facts_d[key] == v["_vkey"]) & _in_force(facts_d["_ev"], v["_vfrom"], v["_vto"]), "left")
     return joined.select(
-        *[facts_b[c] for c in facts.columns],
+        *[facts_d[c] for c in facts.columns],
         F.col("_vfrom").alias(prefix + VALID_FROM),
         *[F.col(prefix + c) for c in take],
     )
@@ -106,10 +87,9 @@ def as_of_with_fallback(
     event_col: str,
     take: Sequence[str],
     prefix: str = "v_",
-    last_event_day: Column | None = None,
 ) -> DataFrame:
     """JN-4: the last version on or before the event day, else the key's first version."""
-    resolved = version_in_force(facts, versions, key, event_col, take, prefix, last_event_day=last_event_day)
+    resolved = version_in_force(facts, versions, key, event_col, take, prefix)
     first = versions.groupBy(F.col(key).alias("_fkey")).agg(
         F.min_by(F.struct(F.col(VALID_FROM), *[F.col(c) for c in take]), F.col(VALID_FROM)).alias("_first")
     )

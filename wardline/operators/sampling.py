@@ -7,37 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.session import checkpoint_dir
 
-def global_rank(df: DataFrame, key: str, rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """1-based rank of a unique numeric ``key`` in ascending order, without a
-    single-partition window over the rows.
 
-    Split points are approximate quantiles of the key (their number grows with the
-    row count, about ``rows_per_bucket`` keys per bucket whatever the key density),
-    a JVM binary search assigns each row its bucket, ranks are row numbers inside a
-    bucket, and bucket offsets are prefix sums over the per-bucket counts (one row
-    per bucket). Exact: quantiles only decide where buckets split, not the ranks.
-    """
-    from pyspark.ml.feature import Bucketizer
+def global_rank(df: DataFrame, key: str) -> DataFrame:
+    """1-based rank of a unique ``key`` in ascending order, without a window over all rows.
 
-    n = df.select(F.count(F.lit(1))).first()[0]
-    n_buckets = max(1, -(-n // rows_per_bucket))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(df.approxQuantile(key, probs, 1.0 / (10 * n_buckets)))) if probs else []
-    splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
-    if len(splits) < 3:  # one bucket
-        staged = df.withColumn("_bucket", F.lit(0.0))
-    else:  # doubles hold integer keys exactly below 2^53; beyond, ties only share a bucket
-        staged = Bucketizer(splits=splits, inputCol="_kd", outputCol="_bucket", handleInvalid="keep").transform(
-            df.withColumn("_kd", F.col(key).cast("double"))
-        ).drop("_kd")
-    counts = staged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_bucket", (F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))).alias("_off")
-    ).fillna(0, ["_off"])
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    ranked = staged.withColumn("_local", local).join(F.broadcast(offsets), "_bucket")
-    return ranked.withColumn("rank", (F.col("_off") + F.col("_local")).cast("long")).drop("_bucket", "_local", "_off")
+    Rows are dealt out by ranges of the key; a row's rank is the number of rows in the
+    ranges before its own plus its number within the range. One path at any size: the
+    ranges are as many as the session's shuffle partitions, and their cut at one moment is
+    kept (checkpoint), so that counts and numbers speak of the same ranges.
+    """
+    checkpoint_dir(df.sparkSession)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    staged = df.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id()).checkpoint()
+    counts = staged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    number = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    ranked = staged.withColumn("_number", number).join(offsets, "_range")
+    return ranked.withColumn("rank", (F.col("_off") + F.col("_number")).cast("long")).drop("_range", "_number", "_off")
 
 
 def systematic_sample(
@@ -51,8 +40,9 @@ def systematic_sample(
     them, plus the ``forced`` keys; each row stamped with a ``notice`` (SNK-14)."""
     total = df.select(F.count(F.lit(1))).scalar()
     step = F.greatest(F.floor(total / F.lit(n)), F.lit(1))
-    ranked = global_rank(df, key)
-    picked = ranked.filter(((F.col("rank") - 1) % step == 0) & ((F.col("rank") - 1) / step < n)).drop("rank")
+    ranked = global_rank(df.select(key), key)
+    chosen = ranked.filter(((F.col("rank") - 1) % step == 0) & ((F.col("rank") - 1) / step < n)).select(key)
+    picked = df.join(chosen, key, "left_semi")
     if forced is not None:
         extra = df.join(forced.select(key).distinct(), key, "left_semi")
         picked = picked.unionByName(extra).distinct()

@@ -62,12 +62,3 @@ LINEITEM_CTES = [landing.LINEITEM_LANDING_SQL, LINEITEM_TYPED_SQL]
 ORDERS_CTES = [landing.ORDERS_LANDING_SQL, ORDERS_TYPED_SQL]
 EVENTS_CTES = [landing.EVENTS_LANDING_SQL, EVENTS_TYPED_SQL]
 VERSION_CTES = ORDERS_CTES + [VERSIONS_SQL]
-
-
-def last_ship_day(t: Tables):
-    """Upper bound of every (typed) ship day: max over the raw column, a one-column scan."""
-    return t.lineitem.select(F.max(F.to_date("l_shipdate"))).scalar()
-
-
-def last_order_day(t: Tables):
-    return t.orders.select(F.max(F.to_date("o_orderdate"))).scalar()
