@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.conversions import text_to_date, text_to_timestamp
+from wardline.functions.conversions import text_to_date, text_to_decimal, text_to_integer, text_to_timestamp
 from wardline.registry import (
     BLOCKING_REJECT_FLOOR,
     BOOLEAN_DOMAIN,
@@ -51,10 +51,12 @@ def column_reason_exprs(spec: TableSpec) -> list[Column]:
                 limit = parsed_extraction if col.kind == "date" else parsed_extraction.cast("timestamp")
                 exprs.append(F.when(ok & (parsed > limit), _reason("after_extraction", col.name, raw)))
         elif col.kind == "decimal":
-            bad = present & raw.try_cast("decimal(38,10)").isNull()
+            # the declared type must hold the value without rounding it
+            exact = raw.try_cast("decimal(38,18)")
+            bad = present & ~F.coalesce(text_to_decimal(raw) == exact, F.lit(False))
             exprs.append(F.when(bad, _reason("type_decimal", col.name, raw)))
         elif col.kind == "integer":
-            bad = present & raw.try_cast("bigint").isNull()
+            bad = present & text_to_integer(raw).isNull()
             exprs.append(F.when(bad, _reason("type_integer", col.name, raw)))
         elif col.kind == "boolean":
             bad = present & ~raw.isin(*BOOLEAN_DOMAIN)
@@ -181,10 +183,9 @@ def file_gate(
 def split_loaded(checked: DataFrame, gate: DataFrame, scope: list[str]) -> tuple[DataFrame, DataFrame]:
     """DQ-8c: accepted and quarantined rows of the files the gate lets through.
 
-    The gate has one row per partition file (bounded by the number of
-    extraction dates listed), so it is broadcast.
+    The gate has one row per extraction date; Spark broadcasts it by its size.
     """
-    loaded = F.broadcast(gate.filter(F.col("state") == "loaded").select(*scope))
+    loaded = gate.filter(F.col("state") == "loaded").select(*scope)
     kept = checked.join(loaded, on=scope, how="left_semi")
     accepted = kept.filter(F.size(REASONS) == 0).drop(REASONS)
     rejected = kept.filter(F.size(REASONS) > 0)

@@ -35,10 +35,10 @@ def reason_exprs(spec: TableSpec, path_col: str | None = "path_date") -> list[st
                 out.append(f"CASE WHEN {n} <> '' AND {p} > {extraction} THEN 'after_extraction:{n}:' || {n} END")
         elif c.kind == "decimal":
             out.append(
-                f"CASE WHEN {n} <> '' AND TRY_CAST({n} AS DECIMAL(38,10)) IS NULL THEN 'type_decimal:{n}:' || {n} END"
+                f"CASE WHEN {n} <> '' AND NOT COALESCE(TRY_CAST({n} AS DECIMAL(18,2)) = TRY_CAST({n} AS DECIMAL(38,18)), FALSE) THEN 'type_decimal:{n}:' || {n} END"
             )
         elif c.kind == "integer":
-            out.append(f"CASE WHEN {n} <> '' AND TRY_CAST({n} AS BIGINT) IS NULL THEN 'type_integer:{n}:' || {n} END")
+            out.append(f"CASE WHEN {n} <> '' AND TRY_CAST({n} AS INTEGER) IS NULL THEN 'type_integer:{n}:' || {n} END")
         elif c.kind == "boolean":
             dom = ", ".join(f"'{v}'" for v in BOOLEAN_DOMAIN)
             out.append(f"CASE WHEN {n} <> '' AND {n} NOT IN ({dom}) THEN 'boolean_domain:{n}:' || {n} END")

@@ -58,6 +58,8 @@ class TableSpec:
     partition_col: str = "date_extraction"
     description: str = ""
     exempt_degenerate: tuple[str, ...] = field(default_factory=tuple)
+    #: quoted fields may hold line breaks; such files cannot be split into tasks
+    multi_line: bool = False
 
     @property
     def names(self) -> list[str]:

@@ -75,12 +75,14 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (a local test run) is a scratch folder created; a cluster always names a
-    shared, durable location there, so lineage cuts survive executor loss.
+    ``spark.checkpoint.dir`` is read from the session; it is shared by all executors, so
+    lineage cuts survive the loss of one. Where it is unset, only a local run (one
+    machine) may use a scratch folder of its own; a cluster job is refused.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="wardline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

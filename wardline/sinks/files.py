@@ -37,17 +37,45 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if s.isDirectory())
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file atomically: write a temporary sibling, then rename."""
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that nobody has written yet; False if it is there already.
+
+    The text goes to a sibling first, which is then renamed: a reader sees the whole file
+    or none. Nothing is ever deleted or replaced.
+    """
     fs, p, jvm = _fs(spark, path)
+    if fs.exists(p):
+        return False
     tmp = jvm.org.apache.hadoop.fs.Path(path + f".tmp-{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"rename to {path} failed")
+    return bool(fs.rename(tmp, p))
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that only one caller can create."""
+    fs, p, jvm = _fs(spark, path)
+    try:
+        fs.create(p, False).close()
+    except Exception as e:  # the gateway wraps the Java exception
+        if "exist" in str(e):
+            return False
+        raise
+    return True
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if s.isFile())
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    """Files under a folder, empty ones included (one call to the file system)."""
+    fs, p, _ = _fs(spark, path)
+    return int(fs.getContentSummary(p).getFileCount())
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:

@@ -15,11 +15,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardline.registry import TableSpec
 from wardline.sinks import files
-from wardline.sinks.landing_io import EXTRA, PART_COL, load, read_source
+from wardline.sinks.landing_io import PART_COL, load, read_source
 
 
 def stream_load(
@@ -34,15 +33,14 @@ def stream_load(
     concatenated load reports of all micro-batches (read back from disk)."""
     checkpoint = checkpoint or files.fresh_dir(spark, f"stream-ckpt-{spec.name}")
     reports = f"{target_root}/_load_reports/{spec.name}"
-    schema = T.StructType([*spec.text_schema().fields, T.StructField(EXTRA, T.StringType())])
+    # the stream only says which dates have new files: it lists them and reads no content
     src = (
-        spark.readStream.schema(schema)
-        .option("header", False)
-        .option("escape", '"')
-        .option("multiLine", True)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(f"{landing_root}/{spec.name}/*")
-        .select(F.regexp_extract(F.col("_metadata.file_path"), f"{PART_COL}=([0-9-]+)", 1).alias("_date"))
+        .load(f"{landing_root}/{spec.name}/*")
+        .select(F.regexp_extract(F.col("path"), f"{PART_COL}=([0-9-]+)", 1).alias("_date"))
     )
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
