@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from wardline.session import checkpoint_dir
 
+#: edges per task: contracted edges get few, so that late rounds do not write thousands of tiny files
+EDGES_PER_TASK = 50_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of a node are linked to the smallest node around it."""
@@ -30,6 +33,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _packed(edges: DataFrame, rows: int) -> DataFrame:
+    return edges.coalesce(max(1, -(-rows // EDGES_PER_TASK)))
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, node_col: str = "node", src: str = "src", dst: str = "dst") -> DataFrame:
     """Return (node, component) with component = smallest node id of the component.
 
@@ -45,6 +52,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node_col: str = "no
         if tuple(now) == state or now[0] == 0:
             break
         state = tuple(now)
-        stars = _small_star(_large_star(stars)).checkpoint()
+        stars = _packed(stars, now[0])
+        stars = _packed(_small_star(_packed(_large_star(stars), now[0])), now[0]).checkpoint()
     found = stars.select(F.col("u").alias(node_col), F.col("v").alias("component"))
     return nodes.select(node_col).distinct().join(found, node_col, "left").select(node_col, F.coalesce("component", F.col(node_col)).alias("component"))
