@@ -17,15 +17,16 @@ A bucket (documents that agree in one sketch) is never expanded into all its pai
 1. every member is compared with the bucket's first member, over all buckets at once;
    links merge members into components;
 2. in buckets that still hold several components, the members outside the first one's
-   component are compared with the first of them;
-3. what is left are pairs of members from different components. They are compared pair
-   by pair; in buckets with more than ``LARGE`` such members (a passage that unlike
-   documents share) pairs must agree in a second sketch as well, which documents alike
-   do (see ``tests/llm``).
-Pairs within one component are not needed: the group is the result.
+   component are compared with one of them, another in each bucket;
+3. what is left are pairs of members from different components. Buckets with up to
+   ``LARGE`` members are compared pair by pair; in larger ones (much text that unlike
+   documents share) blocks of members are compared with each other, in tasks of two
+   blocks that return links only.
+Pairs within one component are not needed: the group is the result. No candidate is
+dropped at any size.
 
 Cases: a null text is no text and is its own group; empty texts are equal texts; texts
-under five words have one k-mer, all their words, and texts without words only group with
+under ``SHORT_WORDS`` words are sketched over pairs of words as well; texts without words only group with
 equal texts; ties are broken by the smallest document (doc_id, then text hash); rows
 repeated with the same id and text are one document, of which one row is kept; an empty
 table gives an empty result; extra columns pass through.
@@ -48,7 +49,11 @@ K = 5
 PICKS = 3
 SKETCHES = 32
 SIMILARITY = 0.8
+SHORT_WORDS = 30
+SHORT_SKETCHES = 16
 LARGE = 32
+BLOCK = 512
+BROADCAST_ROWS = 200_000
 
 _WORD = re.compile(r"\w+")
 _ODD = (np.random.default_rng(20).integers(1, 2**63, 64, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -83,22 +88,32 @@ def labelled_kmers(ids: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]
     return h, _scramble(h + occurrence * _MIX)
 
 
-def order_sketches(ids: np.ndarray, sketches: int = SKETCHES, picks: int = PICKS) -> np.ndarray:
-    """One signed 64-bit value per sketch: the chosen k-mers, in text order."""
-    kmers, labelled = labelled_kmers(ids)
+def order_sketches(ids: np.ndarray) -> np.ndarray:
+    """Signed 64-bit values, one per sketch: its number and the chosen k-mers, in text order.
+
+    A changed word spoils five k-mers, too many of a short text: those have ``SHORT_SKETCHES``
+    further sketches over pairs of words.
+    """
+    out = _sketched(*labelled_kmers(ids, K), 0, SKETCHES, PICKS)
+    if len(ids) < SHORT_WORDS:
+        out = np.concatenate([out, _sketched(*labelled_kmers(ids, 2), SKETCHES, SHORT_SKETCHES, 2)])
+    return out.view(np.int64)
+
+
+def _sketched(kmers: np.ndarray, labelled: np.ndarray, first: int, sketches: int, picks: int) -> np.ndarray:
     picks = min(picks, len(kmers))
-    odd = _multipliers(sketches)
+    odd = _multipliers(first + sketches)[first:]
     out = np.empty(sketches, np.uint64)
     step = max(1, 2_000_000 // len(kmers))  # bounded memory for very long texts
     for a in range(0, sketches, step):
         values = labelled[None, :] * odd[a : a + step, None]
         at = np.sort(np.argpartition(values, picks - 1, axis=1)[:, :picks], axis=1)
         chosen = kmers[at]
-        h = np.full(len(chosen), picks, np.uint64)
+        h = np.arange(first + a, first + a + len(chosen)).astype(np.uint64)
         for j in range(picks):
             h = _scramble(h * _MIX + chosen[:, j])
         out[a : a + step] = h
-    return out.view(np.int64)
+    return out
 
 
 def _multipliers(n: int) -> np.ndarray:
@@ -183,20 +198,25 @@ def _verify_batches(least: float):
     return run
 
 
+def _light(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has ``BROADCAST_ROWS`` rows (of a few numbers) at most; joined by shuffle beyond."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 class _Texts:
     """Candidate texts by class, fetched once for all classes that share a bucket."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, nodes: DataFrame):
-        wanted = classes.join(nodes.distinct(), "key").select(F.col("key").alias("k"), F.col("rep").alias("r"))
+        wanted = _light(cut(classes.join(nodes.distinct(), "node").select("node", F.col("key").alias("k"), F.col("rep").alias("r"))))
         rows = docs.join(wanted, (docs["key"] == wanted["k"]) & docs["doc_id"].eqNullSafe(wanted["r"]))
-        self.df = cut(rows.select("key", "text").dropDuplicates(["key"]))
+        self.df = cut(rows.select("node", "text").dropDuplicates(["node"]))
 
     def verified(self, pairs: DataFrame, least: float) -> DataFrame:
         """The pairs (a, b) that align."""
-        one = self.df.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-        two = self.df.select(F.col("key").alias("b"), F.col("text").alias("tb"))
+        one = self.df.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+        two = self.df.select(F.col("node").alias("b"), F.col("text").alias("tb"))
         full = cut(pairs).join(two, "b").join(one, "a").select("a", "b", "ta", "tb")
-        return cut(full.mapInPandas(_verify_batches(least), "a string, b string"))
+        return cut(full.mapInPandas(_verify_batches(least), "a long, b long"))
 
 
 def _fits(x: str, y: str, least: float):
@@ -204,72 +224,145 @@ def _fits(x: str, y: str, least: float):
 
 
 def text_classes(docs: DataFrame) -> DataFrame:
-    """Equal texts as one row: (key, rep, n, sk, copies); key is the text's digest."""
+    """Equal texts as one row: (node, key, rep, n, sk); key is the text's digest, node a number for it."""
     rows = docs.where(F.col("key").isNotNull()).select("doc_id", "key", "text")
-    sketched = cut(rows.mapInPandas(_sketch_batches, "doc_id long, key string, n long, sk array<long>"))
-    return cut(sketched.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk"), F.count(F.lit(1)).alias("copies")))
+    sketched = rows.mapInPandas(_sketch_batches, "doc_id long, key string, n int, sk array<long>")
+    classes = cut(sketched.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk")))
+    # numbered behind the cut: the same rows get the same numbers whenever they are read again
+    return classes.withColumn("node", F.monotonically_increasing_id())
 
 
 def find_links(docs: DataFrame, classes: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Verified pairs (a, b) of text classes, enough to connect all classes alike."""
-    drawn = classes.select("key", "n", F.posexplode("sk").alias("j", "v"))
-    shared = drawn.groupBy("j", "v").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    shared = cut(shared.where(F.col("first") < F.col("last")).select("j", "v", "first"))
-    members = cut(drawn.join(shared, ["j", "v"]))
-    texts = _Texts(docs, classes, members.select("key"))
-    sizes = members.select(F.col("key").alias("first"), F.col("n").alias("n_first")).distinct()
-
-    def compared_with_first(rows: DataFrame) -> DataFrame:
-        pairs = rows.where(F.col("key") != F.col("first")).select(F.col("first"), F.col("key").alias("b"), "n").distinct()
-        pairs = pairs.join(sizes, "first").where(_fits("n", "n_first", least))
-        return texts.verified(pairs.select(F.col("first").alias("a"), "b"), least)
+    drawn = classes.select("node", F.posexplode("sk").alias("slot", "bucket"))
+    shared = drawn.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    shared = cut(shared.where(F.col("first") < F.col("last")).select("bucket", "first"))
+    members = cut(drawn.join(shared, "bucket"))
+    nodes = cut(members.select("node").distinct())
+    texts = _Texts(docs, classes, nodes)
+    words_in = cut(classes.select("node", "n").join(nodes, "node"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The distinct pairs (a, b) whose lengths leave the similarity possible, verified."""
+        one = words_in.select(F.col("node").alias("a"), F.col("n").alias("na"))
+        two = words_in.select(F.col("node").alias("b"), F.col("n").alias("nb"))
+        fitting = pairs.where(F.col("a") != F.col("b")).distinct().join(one, "a").join(two, "b").where(_fits("na", "nb", least))
+        return texts.verified(fitting.select("a", "b"), least)
 
     def components(links: DataFrame) -> DataFrame:
-        found = connected_components(members.select("key").distinct(), links, "key", "a", "b")
-        return cut(found.withColumnRenamed("component", "part"))
-
-    links = compared_with_first(members)
-    part = components(links)
-    # members outside the component of their bucket's first member
-    first_part = part.select(F.col("key").alias("first"), F.col("part").alias("first_part"))
-    outside = cut(members.join(part, "key").join(first_part, "first").where(F.col("part") != F.col("first_part")).drop("first", "first_part", "part"))
-    second = cut(outside.groupBy("j", "v").agg(F.min("key").alias("first"), F.max("key").alias("last")).where(F.col("first") < F.col("last")).drop("last"))
-    links = cut(links.unionByName(compared_with_first(outside.join(second, ["j", "v"]))))
-    part = components(links)
-    # the rest: pairs across components, of which one is outside the first member's component
-    placed = members.join(part, "key")
-    outer = cut(outside.join(part, "key").withColumnRenamed("part", "outer_part"))
-    crowd = outer.groupBy("j", "v").agg(F.countDistinct("outer_part").alias("crowd"))
-    ahead = crowd.join(cut(placed.groupBy("j", "v").agg(F.min("part").alias("p"), F.max("part").alias("q"))), ["j", "v"]).where(F.col("p") < F.col("q"))
-    ahead = cut(ahead.select("j", "v", "crowd"))
-    inner = cut(placed.join(ahead, ["j", "v"]).where(F.col("key") != F.col("first")).select("j", "v", "crowd", "key", "n", "part"))
-    outer = outer.join(ahead.select("j", "v"), ["j", "v"]).select("j", "v", F.col("key").alias("okey"), F.col("n").alias("on"), "outer_part")
-    outer = cut(outer)
-    few = inner.where(F.col("crowd") <= LARGE).join(outer, ["j", "v"])
-    pairs = few.where((F.col("part") != F.col("outer_part")) & _fits("n", "on", least)).select(F.least("key", "okey").alias("a"), F.greatest("key", "okey").alias("b"))
-    many = inner.where(F.col("crowd") > LARGE)
-    sk = drawn.select("key", F.col("j").alias("j2"), F.col("v").alias("v2"))
-    large_inner = many.join(sk, "key").where(F.col("j2") != F.col("j"))
-    large_outer = outer.join(ahead.where(F.col("crowd") > LARGE).select("j", "v"), ["j", "v"]).join(sk.withColumnRenamed("key", "okey"), "okey").where(F.col("j2") != F.col("j"))
-    twice = large_inner.join(large_outer, ["j", "v", "j2", "v2"]).where((F.col("part") != F.col("outer_part")) & _fits("n", "on", least))
-    pairs = pairs.unionByName(twice.select(F.least("key", "okey").alias("a"), F.greatest("key", "okey").alias("b"))).where(F.col("a") < F.col("b")).distinct()
-    return cut(links.unionByName(texts.verified(pairs, least)))
+        return cut(connected_components(nodes, links, "node", "a", "b").withColumnRenamed("component", "part"))
+
+    links = compared(members.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    # members outside the component of their bucket's first member, against one of them: another in each bucket
+    outside = _placed(members, components(links)).where("outer").select("bucket", "node")
+    second = cut(outside.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("a")))
+    links = cut(links.unionByName(compared(outside.join(second, "bucket").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))))
+    # what is left: pairs across components, one of them outside the first member's component
+    placed = _placed(members, components(links))
+    counts = placed.groupBy("bucket").agg(F.count_if("outer").alias("n_outer"), F.count_if(~F.col("outer")).alias("n_inner"))
+    counts = cut(counts.where("n_outer > 0"))
+    left = cut(placed.join(counts, "bucket"))
+    few = left.where(F.col("n_outer") + F.col("n_inner") <= LARGE)
+    mate = few.where("outer").select("bucket", F.col("node").alias("mate"), F.col("part").alias("mate_part"))
+    pairs = few.join(mate, "bucket").where(F.col("part") != F.col("mate_part")).select(F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b"))
+    return cut(links.unionByName(compared(pairs)).unionByName(_compared_in_blocks(left.where(F.col("n_outer") + F.col("n_inner") > LARGE), classes, texts, least)))
+
+
+def _placed(members: DataFrame, part: DataFrame) -> DataFrame:
+    """Members with their component, and whether it is another than the bucket's first member's."""
+    first = part.select(F.col("node").alias("first"), F.col("part").alias("first_part"))
+    found = members.join(part, "node").join(first, "first")
+    return cut(found.select("bucket", "slot", "node", "part", (F.col("part") != F.col("first_part")).alias("outer")))
+
+
+def _compared_in_blocks(left: DataFrame, classes: DataFrame, texts: _Texts, least: float) -> DataFrame:
+    """Links across components in large buckets: blocks of ``BLOCK`` members against each other.
+
+    A task holds two blocks and returns links only, one for each two components that it
+    finds to be alike, so nothing grows with the pairs but the comparisons themselves.
+    """
+    outer_blocks, inner_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_outer", "n_inner"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("outer"), outer_blocks).otherwise(inner_blocks)).cast("int")
+    task = lambda x, y, inner: F.struct(x.alias("x"), y.alias("y"), F.lit(inner).alias("inner"))
+    ks = F.sequence(F.lit(0), outer_blocks - 1)
+    among = F.transform(ks, lambda k: task(F.least(k, F.col("own")), F.greatest(k, F.col("own")), False))
+    with_inner = F.when(F.col("n_inner") > 0, F.transform(F.sequence(F.lit(0), F.greatest(inner_blocks - 1, F.lit(0))), lambda k: task(F.col("own"), k, True)))
+    of_outer = F.concat(among, F.coalesce(with_inner, F.array().cast("array<struct<x:int,y:int,inner:boolean>>")))
+    tasks = F.when(F.col("outer"), of_outer).otherwise(F.transform(ks, lambda k: task(k, F.col("own"), True)))
+    rows = left.withColumn("own", own).select("bucket", "slot", "node", "part", "outer", "own", F.explode(tasks).alias("t"))
+    rows = rows.join(classes.select("node", "n", "sk"), "node").join(texts.df, "node")
+    grouped = rows.select("bucket", "slot", "node", "part", "outer", "own", "t.x", "t.y", "t.inner", "n", "sk", "text").groupBy("bucket", "x", "y", "inner")
+    return grouped.applyInPandas(_block_links(least), "a long, b long")
+
+
+def _block_links(least: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        x, y, inner, slot = (rows[c].iloc[0] for c in ("x", "y", "inner", "slot"))
+        n = rows["n"].to_numpy()
+        part, outer, own, node = (rows[c].to_numpy() for c in ("part", "outer", "own", "node"))
+        size = len(rows)
+        allowed = np.triu(np.ones((size, size), bool), 1) & (part[:, None] != part[None, :])
+        if inner:
+            allowed &= outer[:, None] != outer[None, :]
+        elif x != y:
+            allowed &= own[:, None] != own[None, :]
+        allowed &= np.minimum(n[:, None], n[None, :]) >= least * np.maximum(n[:, None], n[None, :])
+        # a pair that agrees in an earlier sketch is compared in that bucket
+        sk = np.stack([np.resize(np.asarray(v, np.int64), SKETCHES + SHORT_SKETCHES) for v in rows["sk"]])
+        for j in range(int(slot)):
+            allowed &= sk[:, None, j] != sk[None, :, j]
+        if not allowed.any():
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        said = [words(t) for t in rows["text"]]
+        likely = allowed & (_shared_words(said) >= least * np.maximum(n[:, None], n[None, :]))
+        parent = {int(p): int(p) for p in part}
+
+        def root(p: int) -> int:
+            while parent[p] != p:
+                p = parent[p]
+            return p
+
+        found = []
+        for i, j in zip(*np.nonzero(likely)):
+            a, b = root(int(part[i])), root(int(part[j]))
+            if a != b and aligned_words(said[i], said[j], int((1 - least) * max(n[i], n[j])) + 1) >= least * max(n[i], n[j]):
+                parent[max(a, b)] = min(a, b)
+                found.append((min(node[i], node[j]), max(node[i], node[j])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
+def _shared_words(said: list[list[str]]) -> np.ndarray:
+    """Words that each two texts have in common, with repeats: no alignment has more."""
+    where: dict[str, dict[int, int]] = {}
+    for i, ws in enumerate(said):
+        for w in ws:
+            in_texts = where.setdefault(w, {})
+            in_texts[i] = in_texts.get(i, 0) + 1
+    shared = np.zeros((len(said), len(said)), np.int32)
+    for in_texts in where.values():
+        if len(in_texts) > 1:
+            at, counts = np.fromiter(in_texts, np.int64), np.fromiter(in_texts.values(), np.int32)
+            shared[np.ix_(at, at)] += np.minimum(counts[:, None], counts[None, :])
+    return shared
 
 
 def near_duplicate_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(key, text_class, class_id, keep_id, keep_key): the group of each distinct text.
+    """(key, text_class, class_id, keep_key): the group of each distinct text.
 
     ``text_class`` is the smallest doc_id with that text, ``class_id`` the smallest of the
-    group; the kept document has doc_id ``keep_id`` and text ``keep_key``.
+    group; the kept document has doc_id ``class_id`` and text ``keep_key``.
     """
     keyed = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("key"))
     classes = text_classes(keyed)
     links = find_links(keyed, classes, least)
-    linked = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key"))).distinct()
-    parts = cut(connected_components(linked, links, "key", "a", "b"))
-    best = classes.join(parts, "key").groupBy("component").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "key")).alias("best"))
-    grouped = parts.join(best, "component").select("key", F.col("best.rep").alias("keep_id"), F.col("best.key").alias("keep_key"))
-    return classes.join(grouped, "key", "left").select(
+    linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    parts = cut(connected_components(linked, links, "node", "a", "b"))
+    names = classes.select("node", "key", "rep")
+    best = names.join(parts, "node").groupBy("component").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "key")).alias("best"))
+    grouped = parts.join(best, "component").select("node", F.col("best.rep").alias("keep_id"), F.col("best.key").alias("keep_key"))
+    return names.join(grouped, "node", "left").select(
         "key",
         F.col("rep").alias("text_class"),
         F.when(F.col("keep_key").isNull(), F.col("rep")).otherwise(F.col("keep_id")).alias("class_id"),
@@ -278,7 +371,7 @@ def near_duplicate_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, class_id, text_class, kept."""
+    """One row per document: doc_id, class_id, text_class, kept (for all rows of the kept document)."""
     groups = cut(near_duplicate_groups(docs, least).withColumnRenamed("key", "k"))
     rows = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"))
     joined = rows.join(groups, rows["key"] == groups["k"], "left")
@@ -292,14 +385,17 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each group; same columns."""
+    """``docs`` with one row of each group; same columns."""
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    groups = near_duplicate_groups(typed, least)
-    key, rep, at = (fresh(docs, c) for c in ("text_key", "group_rep", "row_no"))
-    keep = cut(groups.where(F.col("key") == F.col("keep_key")).select(F.col("key").alias(rep), F.col("class_id").alias(at)))
-    keyed = docs.withColumn(key, F.md5(F.col("text").cast("binary")))
-    found = keyed.where(F.col(key).isNotNull()).join(keep, (F.col(key) == F.col(rep)) & F.col("doc_id").eqNullSafe(F.col(at)), "left_semi")
-    repeated = typed.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key")).groupBy("doc_id", "key").count().where("count > 1 and key is not null")
-    if not repeated.isEmpty():
-        found = found.dropDuplicates(["doc_id", key])
-    return found.unionByName(keyed.where(F.col(key).isNull())).select(*docs.columns)
+    groups = cut(near_duplicate_groups(typed, least).withColumnRenamed("key", "k"))
+    key, gone_key, gone_id = (fresh(docs, c) for c in ("text_key", "gone_key", "gone_id"))
+    digest = F.md5(F.col("text").cast("binary"))
+    rows = typed.select("doc_id", digest.alias("key")).where(F.col("key").isNotNull()).groupBy("doc_id", "key").count()
+    rows = cut(rows.join(groups, F.col("key") == F.col("k")).withColumn("kept", (F.col("key") == F.col("keep_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))))
+    gone = _light(rows.where(~F.col("kept")).select(F.col("key").alias(gone_key), F.col("doc_id").alias(gone_id)))
+    left = docs.withColumn(key, digest).join(gone, (F.col(key) == F.col(gone_key)) & F.col("doc_id").eqNullSafe(F.col(gone_id)), "left_anti")
+    if rows.where(F.col("kept") & (F.col("count") > 1)).isEmpty():
+        return left.select(*docs.columns)
+    # some kept document has several rows: one of them stays
+    with_text = left.where(F.col(key).isNotNull()).dropDuplicates(["doc_id", key])
+    return with_text.unionByName(left.where(F.col(key).isNull())).select(*docs.columns)
