@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions.similarity import damerau_levenshtein_col, jaro_winkler_col
@@ -64,6 +64,85 @@ class Comparison:
         return expr.otherwise(F.lit(0)).alias(f"gamma_{self.name}")
 
 
+    @property
+    def top(self) -> int:
+        """The level of full agreement."""
+        return self.levels[0][0]
+
+
+@dataclass(frozen=True)
+class PairComparison:
+    """LK-6: two columns that only identify together (say, a document's type and number).
+
+    1 = both agree, 2 = a part is missing on one side at least (a level of its own, with its
+    own m and u), 0 = they differ. ``neutral`` takes the missing level out (-1).
+    """
+
+    name: str
+    columns: tuple[str, str]
+    neutral: bool = False
+    tf: bool = False
+    top: int = 1
+
+    @property
+    def column(self) -> str:
+        return self.columns[0]
+
+    @property
+    def extra_columns(self) -> tuple[str, ...]:
+        return self.columns[1:]
+
+    @property
+    def gamma_values(self) -> list[int]:
+        return [-1, 0, 1] if self.neutral else [0, 1, 2]
+
+    def gamma(self, side_l: Callable[[str], Column], side_r: Callable[[str], Column]) -> Column:
+        missing = reduce(lambda a, b: a | b, [side(c).isNull() for side in (side_l, side_r) for c in self.columns])
+        same = reduce(lambda a, b: a & b, [side_l(c) == side_r(c) for c in self.columns])
+        return F.when(missing, F.lit(-1 if self.neutral else 2)).when(same, F.lit(1)).otherwise(F.lit(0)).alias(f"gamma_{self.name}")
+
+
+@dataclass(frozen=True)
+class TextComparison:
+    """Equal, or similar by Jaro-Winkler at falling thresholds; NULL on a side gives -1.
+
+    The similarity comes from a column (``with_similarities``) that is computed once per
+    distinct pair of different values.
+    """
+
+    name: str
+    column: str
+    thresholds: tuple[float, ...] = (0.92, 0.85)
+    tf: bool = False
+    extra_columns: tuple[str, ...] = ()
+
+    @property
+    def top(self) -> int:
+        return len(self.thresholds) + 1
+
+    @property
+    def gamma_values(self) -> list[int]:
+        return [-1, *range(self.top + 1)]
+
+    def gamma(self, side_l: Callable[[str], Column], side_r: Callable[[str], Column]) -> Column:
+        l, r = side_l(self.column), side_r(self.column)
+        out = F.when(l.isNull() | r.isNull(), F.lit(-1)).when(l == r, F.lit(self.top))
+        for k, t in enumerate(self.thresholds):
+            out = out.when(F.col(f"sim_{self.name}") >= t, F.lit(self.top - 1 - k))
+        return out.otherwise(F.lit(0)).alias(f"gamma_{self.name}")
+
+
+def with_similarities(sided: DataFrame, comparisons: Sequence) -> DataFrame:
+    """Add ``sim_<name>`` for text comparisons, from the distinct pairs of different values."""
+    for c in comparisons:
+        if isinstance(c, TextComparison):
+            l, r = f"{c.column}_l", f"{c.column}_r"
+            values = sided.filter(F.col(l).isNotNull() & F.col(r).isNotNull() & (F.col(l) != F.col(r))).select(l, r).distinct()
+            values = values.withColumn(f"sim_{c.name}", jaro_winkler_col(F.col(l), F.col(r)))
+            sided = sided.join(values, [l, r], "left")
+    return sided
+
+
 def exact(l: Column, r: Column) -> Column:
     return l == r
 
@@ -173,6 +252,7 @@ def with_sides(pairs: DataFrame, prof: DataFrame, cols: Sequence[str], left: str
 
 def gammas(sided: DataFrame, comparisons: Sequence[Comparison]) -> DataFrame:
     """LK-5/6: one gamma column per comparison."""
+    sided = with_similarities(sided, comparisons)
     return sided.select(
         *sided.columns,
         *[c.gamma(lambda x: F.col(f"{x}_l"), lambda x: F.col(f"{x}_r")) for c in comparisons],
@@ -198,47 +278,44 @@ def pattern_counts(gamma_pairs: DataFrame, comparisons: Sequence[Comparison], we
     return [tuple(r[c] for c in g) + (r["cnt"],) for r in rows]
 
 
-def estimate_u(
-    pop_prof: DataFrame,
-    comparisons: Sequence[Comparison],
-    buckets: int | None = None,
-    seed: int = 42,
-    rows_per_bucket: int = 200_000,
-) -> dict[str, dict[int, float]]:
-    """LK-8: u from non-matching-by-chance pairs.
-
-    Records (profiles expanded by count would bias nothing here: we pair
-    profiles weighted by n) are ordered by a seeded hash inside hash buckets and
-    each is paired with its successor: about one random pair per record, no
-    cross product and no single-partition window.
+def estimate_u(pop_prof: DataFrame, comparisons: Sequence[Comparison], buckets: int = 1024, seed: int = 42) -> dict[str, dict[int, float]]:
+    """LK-8: u from pairs that are no match but by chance.
+
+    Profiles are put into a fixed number of buckets by a seeded hash, ordered by another
+    hash within their bucket, and each is paired with its successor: about one random pair
+    per profile, weighted by the records it stands for, no cross product and no window
+    over all rows. Which profiles meet does not depend on how many there are elsewhere.
+    All comparisons are counted in one pass, as one table of patterns; a level that no
+    pair shows counts half a pair.
     """
     cols = compared_columns(comparisons)
-    if buckets is None:  # each window partition stays bounded as the population grows
-        buckets = max(64, -(-pop_prof.count() // rows_per_bucket))
-    h = F.xxhash64(F.col("pid"), F.lit(seed))
-    staged = pop_prof.select("pid", "n", *cols, F.pmod(h, F.lit(buckets)).alias("_b"), h.alias("_h"))
-    from pyspark.sql import Window
-
+    staged = pop_prof.select("pid", "n", F.pmod(F.xxhash64(F.lit(seed), "pid"), F.lit(buckets)).alias("_b"), F.xxhash64("pid", F.lit(seed)).alias("_h"))
     w = Window.partitionBy("_b").orderBy("_h", "pid")
     nxt = staged.select(
         F.col("pid").alias("pid_l"),
         F.lead("pid").over(w).alias("pid_r"),
         (F.col("n") * F.lead("n").over(w)).alias("w"),
     ).filter(F.col("pid_r").isNotNull())
-    sided = with_sides(nxt, pop_prof, cols)
-    g = gammas(sided, comparisons)
+    patterns = pattern_counts(gammas(with_sides(nxt, pop_prof, cols), comparisons), comparisons)
     u: dict[str, dict[int, float]] = {}
-    for c in comparisons:
-        col = f"gamma_{c.name}"
-        rows = g.groupBy(col).agg(F.sum("w").cast("double").alias("cnt")).collect()
-        counts = {r[col]: r["cnt"] for r in rows}
-        total = sum(v for k, v in counts.items() if k != -1)
-        u[c.name] = {
-            lv: max(counts.get(lv, 0.0), 0.5) / max(total, 1.0) for lv in c.gamma_values if lv != -1
-        }
+    for k, c in enumerate(comparisons):
+        seen = {lv: 0.5 for lv in c.gamma_values if lv != -1}
+        for row in patterns:
+            if row[k] != -1:
+                seen[row[k]] += row[-1]
+        u[c.name] = {lv: n / sum(seen.values()) for lv, n in seen.items()}
     return u
 
 
+def start_values(comparisons: Sequence) -> dict[str, dict[int, float]]:
+    """m before training: 0.9 for full agreement, the rest shared."""
+    out = {}
+    for c in comparisons:
+        lv = [v for v in c.gamma_values if v != -1]
+        out[c.name] = {v: (0.9 if v == c.top else 0.1 / max(len(lv) - 1, 1)) for v in lv}
+    return out
+
+
 def em(
     patterns: list[tuple],
     comparisons: Sequence[Comparison],
@@ -249,49 +326,62 @@ def em(
     tol: float = 1e-4,
 ) -> tuple[dict[str, dict[int, float]], int]:
     """LK-9: EM for m on the gamma-pattern table with u fixed; only ``train``
-    comparisons are updated (a comparison blocked on carries no evidence)."""
+    comparisons are updated (a comparison blocked on carries no evidence). Expected
+    counts start at a hundredth of a pair per level, so no level becomes impossible."""
     names = [c.name for c in comparisons]
-    m = {}
-    for c in comparisons:
-        lv = [v for v in c.gamma_values if v != -1]
-        top = max(lv)
-        m[c.name] = {v: (0.9 if v == top else 0.1 / max(len(lv) - 1, 1)) for v in lv}
+    m = start_values(comparisons)
     lam = prior
     train_set = set(train)
     it = 0
     for it in range(1, max_iter + 1):
-        acc_m = {n: {} for n in names}
-        tot_match = 0.0
-        total = 0.0
+        acc = {n: {lv: 0.01 for lv in m[n]} for n in train}
+        tot_match = total = 0.0
         for row in patterns:
-            gam, cnt = row[:-1], row[-1]
             pm, pu = lam, 1 - lam
-            for n, g in zip(names, gam):
-                if g == -1 or n not in train_set:  # blocked-on comparisons carry no evidence
-                    continue
-                pm *= m[n][g]
-                pu *= u[n][g]
-            p = pm / (pm + pu) if pm + pu > 0 else 0.0
-            tot_match += cnt * p
-            total += cnt
-            for n, g in zip(names, gam):
-                if g != -1:
-                    acc_m[n][g] = acc_m[n].get(g, 0.0) + cnt * p
+            for n, g in zip(names, row[:-1]):
+                if g != -1 and n in train_set:
+                    pm *= m[n][g]
+                    pu *= u[n][g]
+            p = pm / (pm + pu)
+            tot_match += row[-1] * p
+            total += row[-1]
+            for n, g in zip(names, row[:-1]):
+                if g != -1 and n in train_set:
+                    acc[n][g] += row[-1] * p
         delta = 0.0
         for n in train:
-            s = sum(acc_m[n].values())
-            if s <= 0:
-                continue
-            for lv in m[n]:
-                new = max(acc_m[n].get(lv, 0.0) / s, 1e-6)
+            for lv, new in acc[n].items():
+                new /= sum(acc[n].values())
                 delta = max(delta, abs(new - m[n][lv]))
                 m[n][lv] = new
-        lam = tot_match / total if total else lam
+        lam = (tot_match + 0.01) / (total + 0.02)
         if delta < tol:
             break
     return m, it
 
 
+def untrained(comparisons: Sequence, sessions: Sequence[dict]) -> list[str]:
+    """LK-19: comparisons that no session trains."""
+    return [c.name for c in comparisons if not any(c.name in s["trained"] for s in sessions)]
+
+
+RARE = 0.1
+
+
+def refuse_degenerate(model: Model, comparisons: Sequence) -> None:
+    """A model in which matches agree less often than chance pairs predicts nothing: refuse it.
+
+    Agreement that is rare among matches and chance pairs alike (under ``RARE``) cannot turn
+    a score and is left alone.
+    """
+    top = {c.name: (model.m[c.name][c.top], model.u[c.name][c.top]) for c in comparisons}
+    bad = [name for name, (m, u) in top.items() if m <= u and max(m, u) >= RARE]
+    if bad:
+        raise ValueError(f"m does not exceed u at full agreement: {', '.join(bad)}")
+    if not 0 < model.prior < 1:
+        raise ValueError(f"prior {model.prior} is no probability")
+
+
 def weight_expr(model: Model, comparisons: Sequence[Comparison], tf_cols: dict[str, str] | None = None) -> Column:
     """LK-11: match weight = log2 prior odds + sum of log2(m/u) (+ term-frequency
     adjustment on the top level). Parameters are literals: nothing is joined."""
@@ -306,7 +396,7 @@ def weight_expr(model: Model, comparisons: Sequence[Comparison], tf_cols: dict[s
             wv = math.log2(model.m[c.name][lv] / model.u[c.name][lv])
             expr = F.when(g == lv, F.lit(wv)).otherwise(expr)
         if c.tf and c.name in tf_cols:
-            top = max(v for v in c.gamma_values if v != -1)
+            top = c.top
             adj = F.log2(F.lit(model.u[c.name][top]) / F.col(tf_cols[c.name]))
             expr = expr + F.when((g == top) & F.col(tf_cols[c.name]).isNotNull(), adj).otherwise(F.lit(0.0))
         total = total + expr
