@@ -89,21 +89,21 @@ def uniqueness_flags(
     exactly one copy of the smallest row is kept. Rows with an empty key part
     are flagged ``_empty`` and take no part in the check.
 
-    One scan of ``df``: rows are first aggregated by full content (identical
-    copies collapse map-side into a count), each key's smallest content is an
-    aggregate over that (map-side combined), and the join back has one row per
-    key on its small side, so AQE can split a hot key. No window over a key.
+    ``df`` is read and shuffled once: rows are aggregated by full content (identical
+    copies collapse map-side into a count), and both sides of the join back, the contents
+    and each key's smallest content, start from that same exchange. It stays the same on
+    both sides because nothing is filtered (empty keys are a condition inside the
+    aggregate) and because the null-safe join implies no filter. No window over a key.
     """
     key = list(key)
     content = list(df.columns)
     empty = reduce(lambda a, b: a | b, [F.col(k) == F.lit("") for k in key])
     copies = df.groupBy(*content).agg(F.count(F.lit(1)).alias("_n")).withColumn("_empty", empty)
-    per_key = (
-        copies.filter(~F.col("_empty"))
-        .groupBy(*scope, *key)
-        .agg(F.min(F.struct(*content)).alias("_first"), F.sum("_n").alias("_key_rows"))
+    per_key = copies.groupBy(*[F.col(c).alias(f"_k_{c}") for c in (*scope, *key)]).agg(
+        F.min(F.when(~F.col("_empty"), F.struct(*content))).alias("_first"), F.sum("_n").alias("_key_rows")
     )
-    j = copies.join(per_key, on=[*scope, *key], how="left")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*scope, *key)])
+    j = copies.join(per_key, same, "left")
     is_first = F.struct(*content) == F.col("_first")
     n_dup = (
         F.when(F.col("_empty") | (F.col("_key_rows") <= 1), F.lit(0))
