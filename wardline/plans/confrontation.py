@@ -197,9 +197,14 @@ def dq43_sample_rows_exist(spark, sf_dir):
 # ---------------------------------------------------------------- DQ-47, MRT-8, IN-36 provenance
 
 
+# ---- fixed value: the comment format that carries a column's provenance ----
+COMMENT = "provenance={provenance};kind={kind};"
+# ----------------------------------------------------------------------------
+
+
 def _registry_rows():
     return [
-        (spec_name, c.name, f"provenance={c.provenance.upper()};kind={c.kind};")
+        (spec_name, c.name, COMMENT.format(provenance=c.provenance.upper(), kind=c.kind))
         for spec_name, spec in LANDING_SPECS.items()
         for c in spec.columns
     ]
@@ -213,16 +218,36 @@ def _catalog_columns(t: Tables) -> dict[str, DataFrame]:
     }
 
 
-@query("dq47_provenance_coverage", sql=None, ops=("DQ-47",))
+def _coverage_sql() -> str:
+    reg = ", ".join(f"('{a}', '{b}')" for a, b, _ in _registry_rows())
+    values = [
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE CAST({c} AS VARCHAR) <> '') AS n_values FROM {name}"
+        for name in ("lineitem_landing", "orders_landing", "events_landing")
+        for c in [*LANDING_SPECS[name].names, "path_date"]
+    ]
+    return (
+        with_sql(landing.LINEITEM_LANDING_SQL, landing.ORDERS_LANDING_SQL, landing.EVENTS_LANDING_SQL)
+        + f""",
+reg(table_name, column_name) AS (VALUES {reg}),
+cat AS ({' UNION ALL '.join(values)})
+SELECT table_name, column_name, r.column_name IS NOT NULL AS in_registry, c.column_name IS NOT NULL AS in_catalog, n_values
+FROM reg r FULL OUTER JOIN cat c USING (table_name, column_name)"""
+    )
+
+
+@query("dq47_provenance_coverage", sql=_coverage_sql(), ops=("DQ-47",))
 def dq47_provenance_coverage(spark, sf_dir):
-    """Registry columns vs the columns the extracts actually carry, both ways."""
+    """Registry columns vs the columns of the extracts, both ways, with their values that are
+    not blank (one pass per extract)."""
     t = Tables(spark, sf_dir)
-    reg = spark.createDataFrame([(a, b) for a, b, _ in _registry_rows()], "table_name string, column_name string")
-    cat = spark.createDataFrame(
-        [(n, c) for n, df in _catalog_columns(t).items() for c in df.columns], "table_name string, column_name string"
-    )
-    j = reg.withColumn("in_registry", F.lit(True)).join(cat.withColumn("in_catalog", F.lit(True)), ["table_name", "column_name"], "full_outer")
-    return j.select("table_name", "column_name", F.coalesce("in_registry", F.lit(False)).alias("in_registry"), F.coalesce("in_catalog", F.lit(False)).alias("in_catalog"))
+    reg = spark.createDataFrame([(a, b, True) for a, b, _ in _registry_rows()], "table_name string, column_name string, in_registry boolean")
+    parts = []
+    for name, df in _catalog_columns(t).items():
+        counts = df.agg(*[F.count_if(F.col(c).cast("string") != "").alias(c) for c in df.columns])
+        parts.append(counts.unpivot([], df.columns, "column_name", "n_values").withColumn("table_name", F.lit(name)))
+    cat = reduce(lambda a, b: a.unionByName(b), parts).withColumn("in_catalog", F.lit(True))
+    j = reg.join(cat, ["table_name", "column_name"], "full_outer")
+    return j.select("table_name", "column_name", F.coalesce("in_registry", F.lit(False)).alias("in_registry"), F.coalesce("in_catalog", F.lit(False)).alias("in_catalog"), "n_values")
 
 
 def _provenance_sql() -> str:
