@@ -479,8 +479,8 @@ def lkd20_lost_true_pairs(spark, sf_dir):
     return run.record_pairs(lost).select("id1", "id2", *GAMMAS, F.col("match_weight").alias("weight_full"), "weight_variant").orderBy("id1", "id2").limit(10)
 
 
-@query("lkd9_fitted_model", sql=None, ops=("LK-8", "LK-9", "LK-19", "LK-22"))
-def lkd9_fitted_model(spark, sf_dir):
+@query("lk9_model_parameters", sql=None, ops=("LK-8", "LK-9", "LK-19", "LK-22"))
+def lk9_model_parameters(spark, sf_dir):
     """m and u per level of the fitted model, as reloaded from its file."""
     run = Run(Tables(spark, sf_dir))
     path = f"{files.fresh_dir(spark, 'model')}/model.json"
@@ -491,8 +491,8 @@ def lkd9_fitted_model(spark, sf_dir):
     return spark.createDataFrame(rows, "comparison string, gamma int, m double, u double, trained boolean, prior double")
 
 
-@query("lkd18_ablation_fitted", sql=None, ops=("LK-18", "LK-13", "SNK-15"))
-def lkd18_ablation_fitted(spark, sf_dir):
+@query("lk18_ablation", sql=None, ops=("LK-18", "LK-13"))
+def lk18_ablation(spark, sf_dir):
     """Four variants fitted on the same candidate pairs: metrics at the applied threshold and
     the gap between the mean weights of true and other pairs."""
     run = Run(Tables(spark, sf_dir))
@@ -514,3 +514,57 @@ def lkd18_ablation_fitted(spark, sf_dir):
         )
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.withColumn("n_truth", F.lit(n_truth)).withColumn("recall", F.round(F.try_divide(F.col("n_true_positive"), F.col("n_truth")), 6))
+
+
+def fitted_run(spark, sf_dir) -> tuple[Run, DataFrame]:
+    run = Run(Tables(spark, sf_dir))
+    return run, run.scored(run.fit()).checkpoint()
+
+
+@query("lk11_scored_pairs", sql=None, ops=("LK-10", "LK-11", "FN-22"), bench=True)
+def lk11_scored_pairs(spark, sf_dir):
+    """Weights and probabilities under the fitted model."""
+    run, scored = fitted_run(spark, sf_dir)
+    return run.record_pairs(scored).select("id1", "id2", "rule", *GAMMAS, "match_weight", "probability", "is_true")
+
+
+@query("lk12_clusters", sql=None, ops=("LK-12", "LK-15"))
+def lk12_clusters(spark, sf_dir):
+    """Clusters under the fitted model at the applied threshold."""
+    run, scored = fitted_run(spark, sf_dir)
+    return run.clusters(scored).withColumn("threshold", F.lit(THRESHOLD))
+
+
+@query("lk13_threshold_sweep", sql=None, ops=("LK-13", "LK-14", "IN-39", "IN-37"))
+def lk13_threshold_sweep(spark, sf_dir):
+    """Pair metrics of the fitted model per threshold."""
+    run, scored = fitted_run(spark, sf_dir)
+    return L.threshold_sweep(scored, "is_true", F.lit(run.truth_pairs()), GRID)
+
+
+@query("lk15_cluster_metrics", sql=None, ops=("LK-15", "LK-16", "IN-54"))
+def lk15_cluster_metrics(spark, sf_dir):
+    """Cluster metrics of the fitted model at the applied threshold."""
+    run, scored = fitted_run(spark, sf_dir)
+    return run.cluster_metrics(run.clusters(scored)).withColumn("threshold", F.lit(THRESHOLD))
+
+
+@query("snk15_linkage_tables", sql=None, ops=("SNK-15", "LK-22"))
+def snk15_linkage_tables(spark, sf_dir):
+    """Pair, cluster and evaluation tables replaced as wholes on each run: written twice, the
+    second run must leave exactly its own rows."""
+    run, scored = fitted_run(spark, sf_dir)
+    root = files.fresh_dir(spark, "linkage")
+    tables = {
+        "pairs": run.record_pairs(scored).select("id1", "id2", "rule", *GAMMAS, "match_weight", "probability"),
+        "clusters": run.clusters(scored),
+        "evaluation": L.threshold_sweep(scored, "is_true", F.lit(run.truth_pairs()), GRID),
+    }
+    for _ in range(2):
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    parts = [
+        spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows", F.lit(df.count()).cast("long").alias("n_rows_of_run"))
+        for name, df in tables.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
