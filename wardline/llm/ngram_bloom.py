@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from wardline.llm.common import cut, text_or_empty
 
 BASE = 1.5
-HASHES = 5
+HASHES = 4
 BITS = 10
 LEAST_BITS = 5
 MAX_FILTER_BYTES = 96 << 20
@@ -73,41 +73,51 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Tokens:
-    """A chunk of documents as hashes: each text's words and its end, one after the other."""
+    """A chunk of documents: each text's words and its end, one after the other, as indices of ``distinct``.
 
-    keys: np.ndarray  # word hashes, ends included
-    doc: np.ndarray  # index of the document
-    before: np.ndarray  # hash of the token in front (start of text: _START)
+    ``distinct`` holds the hashes of the chunk's words, then those of the end and of the start.
+    """
+
+    distinct: np.ndarray
+    at: np.ndarray  # each token
+    before: np.ndarray  # the token in front of it, or the start
+    doc: np.ndarray  # index of its document
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first, second, which): the different pairs as indices, and each token's."""
+        width = len(self.distinct)
+        which, seen = pd.factorize(self.before * width + self.at)
+        return seen // width, seen % width, which
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int, Tokens]]:
     """(first document, last + 1, tokens) in chunks of about ``CHUNK`` tokens."""
     import xxhash
 
-    at = 0
-    while at < len(texts):
+    till = 0
+    while till < len(texts):
         flat: list[bytes] = []
         sizes: list[int] = []
-        first = at
-        while at < len(texts) and (len(flat) < CHUNK):
-            ws = words(texts[at])
+        first = till
+        while till < len(texts) and len(flat) < CHUNK:
+            ws = words(texts[till])
             flat += ws
             sizes.append(len(ws))
-            at += 1
-        distinct = list(dict.fromkeys(flat))
-        hashes = dict(zip(distinct, (xxhash.xxh64_intdigest(w) for w in distinct)))
+            till += 1
+        known = list(dict.fromkeys(flat))
+        number = dict(zip(known, range(len(known))))
+        distinct = np.array([*(xxhash.xxh64_intdigest(w) for w in known), _END, _START], np.uint64)
         n = np.asarray(sizes, np.int64)
-        doc = np.repeat(np.arange(len(n)), n + 1)
-        keys = np.full(len(flat) + len(n), _END, np.uint64)
+        at = np.full(len(flat) + len(n), len(known), np.int64)
         ends = np.cumsum(n + 1) - 1
-        inner = np.ones(len(keys), bool)
+        inner = np.ones(len(at), bool)
         inner[ends] = False
-        keys[inner] = np.fromiter(map(hashes.__getitem__, flat), np.uint64, len(flat))
-        before = np.empty_like(keys)
-        before[1:] = keys[:-1]
-        before[ends[:-1] + 1] = _START
-        before[:1] = _START
-        yield first, at, Tokens(keys, doc, before)
+        at[inner] = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        before = np.empty_like(at)
+        before[1:] = at[:-1]
+        before[0] = len(known) + 1
+        before[ends[:-1] + 1] = len(known) + 1
+        yield first, till, Tokens(distinct, at, before, np.repeat(np.arange(len(n)), n + 1))
 
 
 def _counting(buckets: int):
@@ -115,9 +125,13 @@ def _counting(buckets: int):
         for batch in batches:
             for _, _, t in _chunks(batch["text"].tolist()):
                 rows = []
-                for kind, keys in ((1, t.keys), (2, pair_keys(t.before, t.keys))):
-                    seen, counts = np.unique(keys, return_counts=True)
+                one, two, which = t.pairs()
+                pairs = pair_keys(t.distinct[one], t.distinct[two]), np.bincount(which, minlength=len(one))
+                here = np.bincount(t.at, minlength=len(t.distinct))
+                for kind, (keys, counts) in ((1, (t.distinct[here > 0], here[here > 0])), (2, pairs)):
                     # sorted by hash, so each bucket is one slice of it
+                    order = np.argsort(keys)
+                    seen, counts = keys[order], counts[order]
                     bounds = np.searchsorted(seen, _bucket_edges(buckets))
                     for b in range(buckets):
                         lo, hi = bounds[b], bounds[b + 1] if b + 1 < buckets else len(seen)
@@ -157,10 +171,16 @@ def _level_values() -> np.ndarray:
 LEVEL_VALUE = _level_values()
 
 
-def _positions(keys: np.ndarray, level, j: int, bits: np.ndarray | int) -> np.ndarray:
-    salt = np.uint64((j * 0xD6E8FEB86659FD93 + 0x2545F4914F6CDD1D) & 0xFFFFFFFFFFFFFFFF)
-    mixed = _mix(keys + np.asarray(level, np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ salt)
-    return mixed % np.asarray(bits, np.uint64)
+def _probes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of (key, level) of 32 bits; the second is odd."""
+    mixed = _mix(keys + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+    return mixed >> np.uint64(32), (mixed & np.uint64(0xFFFFFFFF)) | np.uint64(1)
+
+
+def _position(one: np.ndarray, two: np.ndarray, j: int, bits: np.ndarray | int) -> np.ndarray:
+    """Bit of the j-th probe: (one + j * two) mod 2^32, scaled to the segment (under 2^32 bits)."""
+    h = (one + np.uint64(j) * two) & np.uint64(0xFFFFFFFF)
+    return ((h * np.asarray(bits, np.uint64)) >> np.uint64(32)).astype(np.int64)
 
 
 def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> np.ndarray:
@@ -171,12 +191,12 @@ def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> np.nd
         least += 1  # rarest n-grams first
     kept = level >= least
     keys, level = keys[kept], level[kept]
-    bits = int(min(most_bits, max(64, level.sum() * BITS))) // 8 * 8  # whole bytes
+    bits = int(min(most_bits, max(64, level.sum() * BITS), 1 << 31)) // 8 * 8  # whole bytes
     flags = np.zeros(bits, bool)
     for q in range(1, int(level.max(initial=0)) + 1):
-        some = keys[level >= q]
+        one, two = _probes(keys[level >= q], q)
         for j in range(HASHES):
-            flags[_positions(some, q, j, bits).astype(np.int64)] = True
+            flags[_position(one, two, j, bits)] = True
     return np.packbits(flags)
 
 
@@ -215,19 +235,30 @@ class Filter:
         self.data = np.frombuffer(b"".join(segments.get(b, b"") for b in range(buckets)), np.uint8)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts of distinct keys, by probing level after level."""
+        """Estimated counts of distinct keys, by probing level after level.
+
+        Keys are probed in the order of their hash, one segment after the other, so that the
+        part of the filter in use stays in the processor's cache.
+        """
+        order = np.argsort(keys)
+        keys = keys[order]
         level = np.zeros(len(keys), np.int64)
         bucket = _bucket_of(keys, self.buckets)
         at = np.flatnonzero(~self.empty[bucket])
+        key, offset, bits = keys[at], self.offset[bucket[at]], self.bits[bucket[at]].astype(np.uint64)
         q = 1
         while len(at) and q < len(LEVEL_VALUE):
+            one, two = _probes(key, q)
             for j in range(HASHES):
-                position = _positions(keys[at], q, j, self.bits[bucket[at]]).astype(np.int64)
-                byte = self.data[self.offset[bucket[at]] + (position >> 3)]
-                at = at[(byte >> (7 - (position & 7)).astype(np.uint8)) & 1 == 1]
+                position = _position(one, two, j, bits)
+                byte = self.data[offset + (position >> 3)]
+                hit = np.flatnonzero((byte >> (7 - (position & 7)).astype(np.uint8)) & 1)
+                at, key, offset, bits, one, two = at[hit], key[hit], offset[hit], bits[hit], one[hit], two[hit]
             level[at] = q
             q += 1
-        return LEVEL_VALUE[level]
+        out = np.empty(len(keys))
+        out[order] = LEVEL_VALUE[level]
+        return out
 
 
 @dataclass
@@ -252,25 +283,20 @@ class Model:
         at = np.minimum(np.searchsorted(self.frequent, keys), len(self.frequent) - 1)
         return np.where(self.frequent[at] == keys, self.frequent_counts[at], -1)
 
-    def log_probabilities(self, t: Tokens, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per document and value of GRID: log10 P of the text; the same without its own counts (training texts only)."""
-        w, w_at = np.unique(t.keys, return_inverse=True)
-        cw = self.words.counts(w)[w_at]
-        pairs, p_at = np.unique(pair_keys(t.before, t.keys), return_inverse=True)
-        cp = self.pairs.counts(pairs)[p_at]
-        u, u_at = np.unique(t.before, return_inverse=True)
-        cu = np.where(u == np.uint64(_START), float(self.texts), self.words.counts(u))[u_at]
-        cp = np.minimum(cp, cu)
+    def log_probabilities(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Per document and value of GRID: log10 P of the text; the same with each token's own count taken out."""
+        counts = self.words.counts(t.distinct)
+        counts[-1] = self.texts  # as often as texts start
+        one, two, which = t.pairs()
+        cu, cw = counts[one], counts[two]
+        cp = np.minimum(self.pairs.counts(pair_keys(t.distinct[one], t.distinct[two])), cu)
+        less = [np.maximum(c - 1, 0) for c in (cp, cu, cw)]
         n = int(t.doc[-1]) + 1
-        p = self.word_probability(cw)
-        own = learned[t.doc]
-        p1 = self.word_probability(np.maximum(cw - 1, 0))
-        cp1, cu1 = np.maximum(cp - 1, 0), np.maximum(cu - 1, 0)
-        score, left_out = np.empty((n, len(GRID))), np.zeros((n, len(GRID)))
-        for g, mu in enumerate(GRID):
-            score[:, g] = np.bincount(t.doc, np.log10((cp + mu * p) / (cu + mu)), n)
-            left_out[:, g] = np.bincount(t.doc, np.where(own, np.log10((cp1 + mu * p1) / (cu1 + mu)), 0.0), n)
-        return score, left_out
+        out = []
+        for pair, context, word in ((cp, cu, self.word_probability(cw)), (less[0], less[1], self.word_probability(less[2]))):
+            logs = [np.log((pair + mu * word) / (context + mu)) for mu in GRID]
+            out.append(np.stack([np.bincount(t.doc, x[which], n) for x in logs], 1) / np.log(10))
+        return out[0], out[1]
 
 
 def _scoring(model):
@@ -279,48 +305,30 @@ def _scoring(model):
         for batch in batches:
             held = batch["held_out"].to_numpy(bool)
             for a, b, t in _chunks(batch["text"].tolist()):
-                score, left_out = m.log_probabilities(t, ~held[a:b])
-                w, at = np.unique(t.keys, return_inverse=True)
-                c = m.exact(w)[at]
-                known = c >= 0
+                score, left_out = m.log_probabilities(t)
+                left_out[held[a:b]] = 0.0  # only training texts vote
+                exact = m.exact(t.distinct)
+                known = (exact >= 0)[t.at]
+                logs = np.log10(np.maximum(exact, 0) + ADD)[t.at]
                 n = b - a
-                uid = batch["uid"].to_numpy()[a:b]
+                # words that are not frequent: with their number in each document, to be joined with the exact counts
+                rest, tf = np.unique(t.doc[~known] * len(t.distinct) + t.at[~known], return_counts=True)
+                bounds = np.searchsorted(rest, np.arange(1, n) * len(t.distinct))
+                keys = t.distinct[rest % len(t.distinct)].view(np.int64)
                 yield pd.DataFrame(
                     {
-                        "uid": uid,
                         "doc_id": batch["doc_id"].iloc[a:b].astype("Int64").to_numpy(),
+                        "uid": batch["uid"].to_numpy()[a:b],
                         "held_out": held[a:b],
                         "n_tokens": np.bincount(t.doc, minlength=n),
                         "n_known": np.bincount(t.doc, known, n).astype(np.int64),
-                        "logs": np.bincount(t.doc, np.where(known, np.log10(np.maximum(c, 0) + ADD), 0.0), n),
+                        "logs": np.bincount(t.doc, np.where(known, logs, 0.0), n),
                         "score": list(score),
                         "left_out": list(left_out),
-                        "key": pd.array([None] * n, dtype="Int64"),
-                        "tf": pd.array([None] * n, dtype="Int64"),
+                        "keys": np.split(keys, bounds),
+                        "tf": np.split(tf.astype(np.int32), bounds),
                     }
                 )
-                if not known.all():
-                    # words that are not frequent: one row per document and word, to be joined with the exact counts
-                    pair = np.stack([t.doc[~known].astype(np.uint64), t.keys[~known]], 1)
-                    order = np.lexsort((pair[:, 1], pair[:, 0]))
-                    pair = pair[order]
-                    new = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]).any(1))))
-                    k = len(new)
-                    none = pd.array([None] * k, dtype="Int64")
-                    yield pd.DataFrame(
-                        {
-                            "uid": uid[pair[new, 0].astype(np.int64)],
-                            "doc_id": none,
-                            "held_out": pd.array([None] * k, dtype="boolean"),
-                            "n_tokens": none,
-                            "n_known": none,
-                            "logs": np.full(k, np.nan),
-                            "score": [None] * k,
-                            "left_out": [None] * k,
-                            "key": pd.array(pair[new, 1].view(np.int64), dtype="Int64"),
-                            "tf": pd.array(np.diff(np.append(new, len(pair))), dtype="Int64"),
-                        }
-                    )
 
     return run
 
@@ -357,10 +365,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"), (F.crc32(ident.cast("binary")) % 10 == 0).alias("held_out"))
     model, counts = train(rows.where(~F.col("held_out")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score array<double>, left_out array<double>, key long, tf long"
-    out = cut(rows.withColumn("uid", F.monotonically_increasing_id()).mapInPandas(_scoring(shared), kinds))
-    per = out.where(F.col("key").isNull())
-    rare = out.where(F.col("key").isNotNull()).select("uid", "key", "tf")
+    kinds = "doc_id long, uid long, held_out boolean, n_tokens long, n_known long, logs double, score array<double>, left_out array<double>, keys array<long>, tf array<int>"
+    per = cut(rows.withColumn("uid", F.monotonically_increasing_id()).mapInPandas(_scoring(shared), kinds))
+    rare = per.select("uid", F.explode(F.arrays_zip("keys", "tf")).alias("x")).select("uid", F.col("x.keys").alias("key"), F.col("x.tf").alias("tf"))
     # log10(0 + ADD) for words that training has not seen
     joined = rare.join(counts, "key", "left")
     rest = joined.groupBy("uid").agg(
