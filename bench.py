@@ -48,9 +48,6 @@ def main() -> None:
         extra={
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
-            # post-shuffle partitions sized to this data volume (tens of MB), not to
-            # the 64 MB cluster default, so AQE does not coalesce to 1-3 tasks
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
