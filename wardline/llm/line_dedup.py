@@ -172,7 +172,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: bool = Fals
 
 
 def line_report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_runs, n_removed (lines), runs ("start-end" line numbers), copied_from, text without them."""
+    """doc_id, n_runs, n_removed (lines), runs ("start-end" line numbers), copied_from (doc_ids of first copies), text without them."""
     out = dedup_lines(docs.select("doc_id", "text"), report=True)
     runs = F.coalesce("runs", F.array().cast("array<struct<s:int,e:int>>"))
     return out.select(
@@ -180,6 +180,34 @@ def line_report(docs: DataFrame) -> DataFrame:
         F.size(runs).cast("long").alias("n_runs"),
         F.aggregate(runs, F.lit(0), lambda n, r: n + r["e"] - r["s"]).cast("long").alias("n_removed"),
         F.array_join(F.transform(runs, lambda r: F.concat_ws("-", r["s"], r["e"])), ",").alias("runs"),
-        F.coalesce("copied_from", F.array().cast("array<bigint>")).alias("copied_from"),
+        F.coalesce(F.array_join(F.transform("copied_from", lambda d: d.cast("string")), ","), F.lit("")).alias("copied_from"),
         "text",
     )
+
+
+REPORT_SQL = r"""
+WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, i, ls[i] AS line, regexp_matches(ls[i], '[^ \t\x0B\f\r]') AS said FROM raw, unnest(range(1, len(ls) + 1)) AS g(i)),
+u AS (SELECT *, COALESCE(SUM(CASE WHEN said AND i > 1 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i), 0) AS unit FROM l),
+units AS (SELECT doc_id, CAST(unit AS INTEGER) AS unit, string_agg(line, chr(10) ORDER BY i) AS body FROM u GROUP BY 1, 2),
+k AS (SELECT *, trim(body, ' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)) AS key FROM units),
+w AS (SELECT *, CAST(len(regexp_extract_all(key, '[^\x20\x09-\x0D]+')) AS BIGINT) AS words FROM k),
+c AS (SELECT *, SUM(words) OVER (PARTITION BY doc_id ORDER BY unit) AS upto FROM w),
+win AS (SELECT a.doc_id, a.unit AS s, b.unit + 1 AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.unit BETWEEN a.unit AND a.unit + 49
+        WHERE a.key <> '' AND b.upto - a.upto + a.words >= 50
+          AND (b.upto - b.words - a.upto + a.words < 50 OR b.upto - a.upto < 50)),
+body AS (SELECT w.doc_id, w.s, w.e, string_agg(c.key, chr(1) ORDER BY c.unit) AS content
+         FROM win w JOIN c ON c.doc_id = w.doc_id AND c.unit >= w.s AND c.unit < w.e GROUP BY ALL),
+f AS (SELECT *, min({'d': doc_id, 's': s}) OVER (PARTITION BY content) AS origin FROM body),
+later AS (SELECT doc_id, s, e, origin.d AS origin_doc FROM f WHERE origin < {'d': doc_id, 's': s}),
+gap AS (SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY doc_id ORDER BY s, e, origin_doc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM later),
+num AS (SELECT *, SUM(opens) OVER (PARTITION BY doc_id ORDER BY s, e, origin_doc ROWS UNBOUNDED PRECEDING) AS run FROM gap),
+runs AS (SELECT doc_id, run, min(s) AS s, max(e) AS e FROM num GROUP BY 1, 2),
+per AS (SELECT doc_id, COUNT(*) AS n_runs, CAST(SUM(e - s) AS BIGINT) AS n_removed, string_agg(s || '-' || e, ',' ORDER BY s) AS runs FROM runs GROUP BY 1),
+src AS (SELECT doc_id, string_agg(DISTINCT origin_doc, ',' ORDER BY origin_doc) AS copied_from FROM later GROUP BY 1),
+kept AS (SELECT u.doc_id, string_agg(u.body, chr(10) ORDER BY u.unit) AS text FROM units u
+         WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = u.doc_id AND u.unit >= r.s AND u.unit < r.e) GROUP BY 1)
+SELECT d.doc_id, COALESCE(p.n_runs, 0) AS n_runs, COALESCE(p.n_removed, 0) AS n_removed, COALESCE(p.runs, '') AS runs,
+       COALESCE(s.copied_from, '') AS copied_from, CASE WHEN d.text IS NULL THEN NULL ELSE COALESCE(k.text, '') END AS text
+FROM documents d LEFT JOIN per p ON d.doc_id = p.doc_id LEFT JOIN src s ON d.doc_id = s.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.common import cut
-from wardline.llm.vectors import normal_zeros, numbered
+from wardline.llm.vectors import VALID_SQL, normal_zeros, numbered
 
 SAMPLE = 20_000
 MAX_K = 1024
@@ -211,3 +211,12 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
 def search_embeddings(embeddings: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """The rows whose vec_id is divisible by ``every`` as queries against all rows."""
     return nearest(embeddings, embeddings.where(F.col("vec_id") % every == 0), k)
+
+
+#: the exact answer; equal to the index's while the cells it visits hold all vectors (up to about 1,500)
+EXACT_SQL = f"""
+WITH {VALID_SQL.strip()},
+d AS (SELECT q.vec_id AS query_id, v.vec_id, list_distance(q.x, v.x) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id AND len(q.x) = len(v.x) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""

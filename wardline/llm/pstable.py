@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import cut
-from wardline.llm.vectors import normal_zeros, numbered
+from wardline.llm.vectors import VALID_SQL, normal_zeros, numbered
 from wardline.operators.graph import connected_components
 
 LEAST = 0.9
@@ -154,3 +154,17 @@ def near_duplicate_vectors(embeddings: DataFrame, least: float = LEAST) -> DataF
     out = keyed.join(found, (keyed["vec_id"] == found["id"]) & (keyed["h"] == found["h"]), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
+
+
+#: the same over all pairs
+ALL_PAIRS_SQL = f"""
+WITH RECURSIVE {VALID_SQL.strip()},
+e AS (SELECT a.vec_id AS s, b.vec_id AS d FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+      WHERE list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.9),
+walk(node, label) AS (SELECT vec_id, vec_id FROM v UNION SELECT e.d, w.label FROM walk w JOIN e ON w.node = e.s),
+c AS (SELECT node, min(label) AS component_id FROM walk GROUP BY node),
+n AS (SELECT s, COUNT(*) AS n_links FROM e GROUP BY s)
+SELECT m.vec_id, COALESCE(n.n_links, 0) AS n_links, COALESCE(c.component_id, m.vec_id) AS component_id,
+       COALESCE(c.component_id, m.vec_id) IS NOT DISTINCT FROM m.vec_id AS kept
+FROM embeddings m LEFT JOIN c ON m.vec_id = c.node LEFT JOIN n ON m.vec_id = n.s
+"""

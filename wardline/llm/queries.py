@@ -65,4 +65,10 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op7_toxicity, op8_language_model, op9_near_duplicate_vectors, op10_sampled_pieces)}
 
-ORACLES: dict[str, str] = {"op3_mix_sources": mixing.REPORT_SQL}
+ORACLES: dict[str, str] = {
+    "op3_mix_sources": mixing.REPORT_SQL,
+    "op4_stratified_shards": sharding.REPORT_SQL,
+    "op5_nearest_vectors": multi_index.EXACT_SQL,
+    "op6_repeated_line_runs": line_dedup.REPORT_SQL,
+    "op9_near_duplicate_vectors": pstable.ALL_PAIRS_SQL,
+}

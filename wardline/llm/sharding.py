@@ -75,3 +75,22 @@ def shard_report(docs: DataFrame, n_shards: int = 8) -> DataFrame:
     narrow = docs.select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     out = shard_documents(narrow, n_shards, tie_break=("text_crc32", "size"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+REPORT_SQL = """
+WITH crc_table AS (SELECT list(v ORDER BY n) AS tbl FROM (
+  SELECT n, list_reduce([n, 1, 2, 3, 4, 5, 6, 7, 8], lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS v
+  FROM (SELECT CAST(range AS BIGINT) AS n FROM range(256)))),
+b AS (SELECT doc_id, source, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size,
+             string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', '\\1 ', 'g'), ' ') AS hx,
+             md5(concat_ws(':', 'shard', coalesce(CAST(doc_id AS VARCHAR), 'null'))) AS dig FROM documents),
+c AS (SELECT doc_id, source, size, dig, CAST(xor(list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(hx[1:len(hx) - 1], lambda h: CAST('0x' || h AS BIGINT))),
+        lambda a, x: xor(a // 256, tbl[xor(a % 256, x) + 1])), 4294967295) AS BIGINT) AS text_crc32 FROM b, crc_table),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY dig, doc_id NULLS LAST, text_crc32, size) AS rn,
+             COUNT(*) OVER (PARTITION BY source) AS n, COUNT(*) OVER () AS total FROM c),
+p AS (SELECT *, row_number() OVER (ORDER BY CAST(2 * rn - 1 AS DOUBLE) / CAST(2 * n AS DOUBLE), source NULLS LAST, dig, doc_id NULLS LAST, text_crc32, size) - 1 AS place FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place * 8 // total AS INTEGER) AS shard,
+       CAST(place - ((place * 8 // total) * total + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM p
+"""

@@ -20,3 +20,10 @@ def normal_zeros(col: str):
 def numbered(df: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the valid vectors."""
     return df.where(F.col("vec_id").isNotNull() & valid("embedding")).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+
+
+#: the valid vectors as doubles, in DuckDB
+VALID_SQL = """
+v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0)"""
