@@ -26,7 +26,7 @@ class Query:
 
 _REGISTRY: dict[str, Query] = {}
 
-PLAN_MODULES = ("quality_plans", "history", "dimensions", "marts", "indicators", "linkage_plans", "document_linkage", "given_truth", "sets_and_samples", "checks", "loading", "confrontation")
+PLAN_MODULES = ("quality_plans", "history", "dimensions", "marts", "indicators", "linkage_plans", "document_linkage", "given_truth", "selection", "sets_and_samples", "checks", "loading", "confrontation")
 
 
 def query(name: str, sql: str | None = None, ops: tuple[str, ...] | list[str] = (), bench: bool = False):
