@@ -41,6 +41,11 @@ def query(name: str, sql: str | None = None, ops: tuple[str, ...] | list[str] =
     return deco
 
 
+def registered(name: str) -> Query:
+    """A query that is registered already."""
+    return _REGISTRY[name]
+
+
 def load_all() -> dict[str, Query]:
     """Import every plan module (registration happens at import) and return the registry."""
     import importlib

@@ -615,3 +615,55 @@ def _completeness_sql() -> str:
 @query("mrt7_completeness", sql=_completeness_sql(), ops=("MRT-7", "JN-15", "IN-32", "IN-33"))
 def mrt7_completeness(spark, sf_dir):
     return completeness(Tables(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ DQ-28 coherence of the other marts
+
+
+def _mart_sql(name: str) -> str:
+    from wardline.plans.catalog import registered
+
+    return registered(name).sql
+
+
+MART_RULES = ("mrt4_visits", "mrt4_admitted_within", "mrt5_receivables", "mrt5_due", "mrt5_reminded_within", "mrt6_records_within", "mrt7_in_bounds")
+
+
+def _coherence_sql() -> str:
+    mart = {n: f"({_mart_sql(full)})" for n, full in (("m4", "mrt4_emergency_daily"), ("m5", "mrt5_recovery_by_debtor"), ("m6", "mrt6_exact_collisions"), ("m7", "mrt7_completeness"))}
+    facts = with_sql(*EMERGENCY_CTES)
+    measured = {
+        "mrt4_visits": (f"SELECT SUM(n_visits) FROM {mart['m4']}", f"SELECT COUNT(*) FROM ({facts} SELECT * FROM emergency)"),
+        "mrt4_admitted_within": (f"SELECT COUNT(*) FROM {mart['m4']} WHERE n_admitted > n_visits OR n_patients > n_visits", "SELECT 0"),
+        "mrt5_receivables": (f"SELECT SUM(n_receivables) FROM {mart['m5']}", "SELECT COUNT(*) FROM orders"),
+        "mrt5_due": (f"SELECT SUM(total_due) FROM {mart['m5']}", "SELECT SUM(CAST(o_totalprice AS DECIMAL(18,2))) FROM orders"),
+        "mrt5_reminded_within": (f"SELECT COUNT(*) FROM {mart['m5']} WHERE n_reminded > n_receivables", "SELECT 0"),
+        "mrt6_records_within": (f"SELECT COUNT(*) FROM {mart['m6']} WHERE n_records < 2 * n_groups OR max_group_size > n_records", "SELECT 0"),
+        "mrt7_in_bounds": (f"SELECT COUNT(*) FROM {mart['m7']} WHERE completeness NOT BETWEEN 0 AND 1 OR n_missing > n_rows", "SELECT 0"),
+    }
+    rows = [f"SELECT '{n}' AS rule, CAST(({measured[n][0]}) AS DOUBLE) AS measured, CAST(({measured[n][1]}) AS DOUBLE) AS expected" for n in MART_RULES]
+    return "SELECT *, measured = expected AS holds FROM (" + "\nUNION ALL\n".join(rows) + ")"
+
+
+def dq28_mart_coherence(spark, sf_dir):
+    """The emergency, recovery, collision and completeness marts against their facts: sums
+    equal the facts' counts, parts stay within their wholes, shares within bounds."""
+    t = Tables(spark, sf_dir)
+    m4, m5, m6, m7 = mrt4_emergency_daily(spark, sf_dir), mrt5_recovery_by_debtor(spark, sf_dir), mrt6_exact_collisions(spark, sf_dir), completeness(t)
+    # one row of both mart measures each, so every mart is made once
+    one = lambda df, *cols: df.select(F.struct(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(cols)])).scalar()
+    s4 = one(m4, F.sum("n_visits"), F.count_if((F.col("n_admitted") > F.col("n_visits")) | (F.col("n_patients") > F.col("n_visits"))))
+    s5 = one(m5, F.sum("n_receivables"), F.sum("total_due"), F.count_if(F.col("n_reminded") > F.col("n_receivables")))
+    s6 = one(m6, F.count_if((F.col("n_records") < 2 * F.col("n_groups")) | (F.col("max_group_size") > F.col("n_records"))))
+    s7 = one(m7, F.count_if(~F.col("completeness").between(0, 1) | (F.col("n_missing") > F.col("n_rows"))))
+    orders = one(t.orders, F.count(F.lit(1)), F.sum(_money(F.col("o_totalprice"))))
+    visits = one(emergency_facts(t), F.count(F.lit(1)))
+    zero = F.lit(0.0)
+    pairs = dict(
+        zip(MART_RULES, [(s4["c0"], visits["c0"]), (s4["c1"], zero), (s5["c0"], orders["c0"]), (s5["c1"], orders["c1"]), (s5["c2"], zero), (s6["c0"], zero), (s7["c0"], zero)])
+    )
+    rows = F.array(*[F.struct(F.lit(n).alias("rule"), a.alias("measured"), b.alias("expected")) for n, (a, b) in pairs.items()])
+    return spark.range(1).select(F.inline(rows)).withColumn("holds", F.col("measured") == F.col("expected"))
+
+
+query("dq28_mart_coherence", sql=_coherence_sql(), ops=("DQ-28",))(dq28_mart_coherence)
