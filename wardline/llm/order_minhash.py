@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import cut, fresh
+from wardline.llm.common import cut, fresh, tidy
 from wardline.operators.graph import connected_components
 
 K = 5
@@ -180,7 +180,7 @@ def _sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for key, text in zip(batch["key"], batch["text"]):
             if key not in done:
                 ws = words(text)
-                if len(known) > 500_000:
+                if len(known) > 200_000:
                     known.clear()
                 ids = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh64_intdigest(w)) for w in ws), np.uint64, len(ws))
                 done[key] = (len(ws), order_sketches(ids) if ws else None)
@@ -216,7 +216,7 @@ class _Texts:
         one = self.df.select(F.col("node").alias("a"), F.col("text").alias("ta"))
         two = self.df.select(F.col("node").alias("b"), F.col("text").alias("tb"))
         full = cut(pairs).join(two, "b").join(one, "a").select("a", "b", "ta", "tb")
-        return cut(full.mapInPandas(_verify_batches(least), "a long, b long"))
+        return cut(full.mapInPandas(tidy(_verify_batches(least)), "a long, b long"))
 
 
 def _fits(x: str, y: str, least: float):
@@ -226,7 +226,7 @@ def _fits(x: str, y: str, least: float):
 def text_classes(docs: DataFrame) -> DataFrame:
     """Equal texts as one row: (node, key, rep, n, sk); key is the text's digest, node a number for it."""
     rows = docs.where(F.col("key").isNotNull()).select("doc_id", "key", "text")
-    sketched = rows.mapInPandas(_sketch_batches, "doc_id long, key string, n int, sk array<long>")
+    sketched = rows.mapInPandas(tidy(_sketch_batches), "doc_id long, key string, n int, sk array<long>")
     classes = cut(sketched.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk")))
     # numbered behind the cut: the same rows get the same numbers whenever they are read again
     return classes.withColumn("node", F.monotonically_increasing_id())

@@ -33,11 +33,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import fresh
+from wardline.llm.common import fresh, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
-CHUNK = 6_000_000
+CHUNK = 2_000_000
 MAX_UNIT = 65_536
 SPACE = "▁"
 
@@ -128,9 +128,9 @@ class Sampler:
             node = self._step(node, chars[at + depth])
             live = node >= 0
             at, node = at[live], node[live]
-        begin, last, piece = np.concatenate(begin), np.concatenate(last), np.concatenate(piece)
+        begin, last, piece = (np.concatenate(x).astype(np.int32) for x in (begin, last, piece))
         # by position in the unit, then by character: what ends there is summed in one go
-        order = np.argsort(offset[last] * len(chars) + last, kind="stable")
+        order = np.argsort(offset[last] * np.int64(len(chars)) + last, kind="stable")
         begin, last, piece = begin[order], last[order], piece[order]
         weight = np.where(piece >= 0, self.logp[piece], self.logp.min() - 1.0)
         new = np.flatnonzero(np.concatenate(([True], last[1:] != last[:-1]))) if len(last) else np.zeros(0, np.int64)
@@ -322,7 +322,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL, seed: int = 0, key: st
             found = sampler.encode(rows["text"], [None if k is None else int(k) for k in rows[key]], seed)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, ids])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def decode_documents(encoded: DataFrame, model: str = MODEL, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
@@ -359,4 +359,4 @@ def encoding_report(docs: DataFrame, model: str = MODEL, seed: int = 0) -> DataF
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n_pieces long, ids_sha256 string, text_sha256 string, lossless boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(tidy(run), "doc_id long, n_pieces long, ids_sha256 string, text_sha256 string, lossless boolean")

@@ -28,12 +28,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import cut, fresh, text_or_empty
+from wardline.llm.common import cut, text_or_empty, tidy
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 TOKENS = 600
 STEMS = (3, 4, 5, 6)
 FOLDS = 5
@@ -84,7 +85,7 @@ def _features(batches: Iterator[pd.DataFrame], vocabulary: dict[str, int]) -> It
     for batch in batches:
         for a in range(0, len(batch), 2048):
             part = batch.iloc[a : a + 2048]
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             x = np.zeros((len(part), len(STYLE) + len(vocabulary)), np.float32)
             for row, text in enumerate(part["text"]):
@@ -111,23 +112,31 @@ class Linear:
         return x[:, : len(self.weights)] @ self.weights + self.intercept
 
 
-def fit(x: np.ndarray, y: np.ndarray, steps: int = 12) -> Linear:
-    """Ridge logistic regression by Newton's method."""
-    share = (y.sum() + 0.5) / (len(y) + 1.0)
+def fit(x: np.ndarray, y: np.ndarray, use: np.ndarray | None = None, steps: int = 12) -> Linear:
+    """Ridge logistic regression by Newton's method on the rows that ``use`` marks."""
+    use = np.ones(len(y), bool) if use is None else use
+    y = np.where(use, y, 0.0)
+    n, hits = use.sum(), y.sum()
+    share = (hits + 0.5) / (n + 1.0)
     base = float(np.log(share / (1 - share)))
-    if len(y) == 0 or y.min() == y.max():
+    if hits in (0, n):
         return Linear(np.zeros(0, np.float32), base)
-    a = np.concatenate([x, np.ones((len(x), 1), np.float32)], axis=1)
-    w = np.zeros(a.shape[1])
+    k = x.shape[1]
+    w = np.zeros(k + 1)
     w[-1] = base
-    ridge = np.full(a.shape[1], RIDGE)
+    ridge = np.full(k + 1, RIDGE)
     ridge[-1] = 1e-6
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a @ w.astype(np.float32), -30, 30)))
-        gradient = a.T @ (p - y).astype(np.float32) + ridge * w
-        curvature = (a * np.maximum(p * (1 - p), 1e-4).astype(np.float32)[:, None]).T @ a
-        move = np.linalg.solve(curvature + np.diag(ridge), gradient)
-        w -= np.clip(move, -5, 5)
+        p = _sigmoid(x @ w[:-1].astype(np.float32) + w[-1])
+        miss = np.where(use, p - y, 0.0)
+        weight = np.where(use, np.maximum(p * (1 - p), 1e-4), 0.0).astype(np.float32)
+        gradient = np.append(x.T @ miss.astype(np.float32), miss.sum()) + ridge * w
+        curvature = np.empty((k + 1, k + 1))
+        curvature[:k, :k] = sum((x[a : a + 1000] * weight[a : a + 1000, None]).T @ x[a : a + 1000] for a in range(0, len(x), 1000))
+        curvature[k, :k] = curvature[:k, k] = x.T @ weight
+        curvature[k, k] = weight.sum()
+        move = np.clip(np.linalg.solve(curvature + np.diag(ridge), gradient), -5, 5)
+        w -= move
         if np.abs(move).max() < 1e-4:
             break
     return Linear(w[:-1].astype(np.float32), float(w[-1]))
@@ -203,11 +212,15 @@ def train_chain(docs: DataFrame, labels: DataFrame, chain: dict[str, Column] | N
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, x in _features(batches, vocabulary):
-            yield part.drop(columns="text").assign(x=list(x))
+            row, at = np.nonzero(x)  # few of the columns, so that little goes to the driver
+            ends = np.searchsorted(row, np.arange(1, len(part)))
+            yield part.drop(columns="text").assign(at=np.split(at.astype(np.int32), ends), x=np.split(x[row, at], ends))
 
     kinds = ", ".join(f"y_{c} int" for c in names)
-    rows = sample.select("doc_id", "text", *[f"y_{c}" for c in names], "fold").mapInPandas(extract, f"doc_id long, {kinds}, fold int, x array<float>").toPandas().sort_values("doc_id")
-    x = np.stack(rows["x"]).astype(np.float32) if len(rows) else np.zeros((0, len(STYLE) + len(vocabulary)), np.float32)
+    rows = sample.select("doc_id", "text", *[f"y_{c}" for c in names], "fold").mapInPandas(tidy(extract), f"doc_id long, {kinds}, fold int, at array<int>, x array<float>").toPandas().sort_values("doc_id")
+    x = np.zeros((len(rows), len(STYLE) + len(vocabulary)), np.float32)
+    for row, (at, values) in enumerate(zip(rows.pop("at"), rows.pop("x"))):
+        x[row, at] = values
     centre = x[:, : len(STYLE)].mean(0) if len(x) else np.zeros(len(STYLE), np.float32)
     scale = np.maximum(x[:, : len(STYLE)].std(0), 1e-6) if len(x) else np.ones(len(STYLE), np.float32)
     out = Chain(names, vocabulary, centre, scale, [])
@@ -216,11 +229,11 @@ def train_chain(docs: DataFrame, labels: DataFrame, chain: dict[str, Column] | N
     for c in names:
         y = rows[f"y_{c}"].to_numpy(np.float64, na_value=np.nan) if len(rows) else np.zeros(0)
         has = ~np.isnan(y)
-        out.models.append(fit(x[has], y[has]))
+        y = np.where(has, y, 0.0)
+        out.models.append(fit(x, y, has))
         held_out = np.zeros(len(x))
         for f in range(FOLDS):
-            other = has & (fold != f)
-            held_out[fold == f] = _sigmoid(fit(x[other], y[other]).logit(x[fold == f]))
+            held_out[fold == f] = _sigmoid(fit(x, y, has & (fold != f)).logit(x[fold == f]))
         x = np.concatenate([x, _link(held_out)], axis=1)
     return out
 
@@ -238,7 +251,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 
     kinds = ", ".join(f"p_{c} double" for c in chain.names)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    return texts.mapInPandas(run, f"doc_id long, {kinds}")
+    return texts.mapInPandas(tidy(run), f"doc_id long, {kinds}")
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -250,17 +263,16 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without toxic documents; same columns."""
     chain = train_chain(docs, labels)
     model = docs.sparkSession.sparkContext.broadcast(chain)
-    p = fresh(docs, "p_toxic")
 
-    @F.pandas_udf("double")
-    def toxic(text: pd.Series) -> pd.Series:
+    def clean(batches):
         known = model.value
         at = known.names.index("toxic")
-        out = [np.zeros(0)]
-        for _, x in _features(iter([pd.DataFrame({"text": text})]), known.vocabulary):
-            q = known.probabilities(x)[:, at]
-            q[x[:, STYLE.index("log_words")] == 0] = 0.0
-            out.append(q)
-        return pd.Series(np.concatenate(out))
-
-    return docs.withColumn(p, toxic(text_or_empty("text"))).where(F.col(p) < THRESHOLD).select(*docs.columns)
+        for batch in batches:
+            texts = pd.DataFrame({"text": ["" if t is None else t for t in batch.column("text").to_pylist()]})
+            keep = [np.zeros(0, bool)]
+            for _, x in _features(iter([texts]), known.vocabulary):
+                wordless = x[:, STYLE.index("log_words")] == 0
+                keep.append(wordless | (known.probabilities(x)[:, at] < THRESHOLD))
+            yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(tidy(clean), docs.schema)
