@@ -24,7 +24,7 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows in one batch to a Python worker: bounds its memory where rows hold whole texts
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
 }
 
