@@ -16,30 +16,36 @@ from wardline.llm.mixing import mix_documents
 from wardline.llm.order_minhash import drop_near_duplicates
 from wardline.llm.piece_sampling import encode_documents
 from wardline.llm.toxicity import drop_toxic
+from wardline.session import apply_runtime_conf
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain calls toxic go."""
+    apply_runtime_conf(spark)
     return drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of lines are deleted; n_chars follows the text."""
+    apply_runtime_conf(spark)
     return dedup_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
+    apply_runtime_conf(spark)
     return drop_near_duplicates(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated, kept or left out so that the sources meet their targets."""
+    apply_runtime_conf(spark)
     return mix_documents(docs)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts as sampled pieces (piece_ids); equal rows get equal ids."""
+    apply_runtime_conf(spark)
     return encode_documents(docs)
 
 
