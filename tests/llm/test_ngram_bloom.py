@@ -94,3 +94,23 @@ def test_empty_table_and_long_text(spark):
     rows = lm.score_texts(spark.createDataFrame(docs, "doc_id long, text string, key int")).collect()
     assert sorted(r["n_tokens"] for r in rows) == [1, 200_001]
     check(rows, [(d, t) for d, t, _ in docs])
+
+
+def test_a_filter_beyond_the_broadcast_keeps_every_ngram(spark, monkeypatch):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    docs += [(None, None), (5000001, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 1 << 14)  # many buckets
+    whole = lm.score_texts(df).collect()
+    monkeypatch.setattr(lm, "MAX_FILTER_BYTES", 1 << 12)
+    rows = lm.score_texts(df).collect()
+    check(rows, docs)
+    by = {r["doc_id"]: r for r in whole}
+    assert {r["mu"] for r in rows} == {r["mu"] for r in whole} and {r["doc_id"] for r in rows} == set(by)
+    assert all(abs(r["score"] - by[r["doc_id"]]["score"]) < 1e-6 for r in rows)
+
+
+def test_segments_keep_once_seen_ngrams():
+    keys = np.unique(np.random.default_rng(4).integers(0, 2**63, 50_000).astype(np.uint64))
+    segment = lm.build_segment(keys, np.ones(len(keys), np.int64), 1 << 17)  # far fewer bits than entries need
+    assert (lm.Filter({0: segment.tobytes()}, 1).counts(keys) > 0).all()

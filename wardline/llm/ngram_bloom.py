@@ -13,10 +13,11 @@ are most likely when each token's own occurrence is left out; all training token
 
 How it runs: training documents are counted per chunk in numpy; the partial counts go, as
 packed arrays, to buckets by n-gram hash; each bucket is merged once and becomes one
-segment of the filter. Segments are as large as their entries need (``BITS`` each), up to
-a share of ``MAX_FILTER_BYTES``, which bounds the broadcast; where a segment would fall
-under ``LEAST_BITS`` per entry, its rarest n-grams are left to the word model, as with any
-count cutoff (see README for the sizes). Buckets follow the size of the corpus.
+segment of the filter. Segments are as large as their entries need (``BITS`` each) and hold
+every n-gram; buckets follow the size of the corpus. A filter of up to ``MAX_FILTER_BYTES``
+is broadcast. A larger one stays where it is, as rows by bucket: each chunk's different
+n-grams go to their buckets, are probed there, and the levels come back to the chunk.
+Both ways read the same bits, so the scores are the same.
 
 The base score needs exact word counts. Words are split by count: the ``FREQUENT`` most
 frequent (a bounded table) are broadcast, so no frequent word is ever a join key; all
@@ -43,9 +44,9 @@ from wardline.llm.common import cut, text_or_empty
 BASE = 1.5
 HASHES = 4
 BITS = 10
-LEAST_BITS = 5
-MAX_FILTER_BYTES = 96 << 20
-WORD_SHARE = 0.25  # of the filter, for words; the rest is for pairs
+LEAST_BITS = 5  # of the former cutoff of rare n-grams; nothing here reads it
+MAX_FILTER_BYTES = 96 << 20  # of a broadcast filter
+MOST_BITS = 1 << 31  # of a segment: positions are hashes of 32 bits
 BUCKET_BYTES = 8 << 20  # text per bucket
 FREQUENT = 1 << 20
 CHUNK = 1_500_000  # tokens
@@ -183,15 +184,10 @@ def _position(one: np.ndarray, two: np.ndarray, j: int, bits: np.ndarray | int)
     return ((h * np.asarray(bits, np.uint64)) >> np.uint64(32)).astype(np.int64)
 
 
-def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> np.ndarray:
-    """The packed bits of one segment: every key at all its levels."""
+def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int = MOST_BITS) -> np.ndarray:
+    """The packed bits of one segment: every key at all its levels, whatever its size."""
     level = levels(counts)
-    least = 1
-    while level[level >= least].sum() * LEAST_BITS > most_bits and least < 99:
-        least += 1  # rarest n-grams first
-    kept = level >= least
-    keys, level = keys[kept], level[kept]
-    bits = int(min(most_bits, max(64, level.sum() * BITS), 1 << 31)) // 8 * 8  # whole bytes
+    bits = int(min(most_bits, max(64, level.sum() * BITS), MOST_BITS)) // 8 * 8  # whole bytes
     flags = np.zeros(bits, bool)
     for q in range(1, int(level.max(initial=0)) + 1):
         one, two = _probes(keys[level >= q], q)
@@ -200,21 +196,16 @@ def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> np.nd
     return np.packbits(flags)
 
 
-def _merging(buckets: int):
-    def merge(parts: pd.DataFrame) -> pd.DataFrame:
-        kind, bucket = int(parts["kind"].iloc[0]), int(parts["bucket"].iloc[0])
-        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in parts["keys"]])
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in parts["counts"]]).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        keys, counts = keys[new], np.add.reduceat(counts, new)
-        share = WORD_SHARE if kind == 1 else 1 - WORD_SHARE
-        segment = build_segment(keys, counts, max(64, int(MAX_FILTER_BYTES * 8 * share / buckets)))
-        exact = (keys.tobytes(), counts.tobytes()) if kind == 1 else (None, None)
-        return pd.DataFrame({"kind": [kind], "bucket": [bucket], "segment": [segment.tobytes()], "keys": [exact[0]], "counts": [exact[1]]})
-
-    return merge
+def _merge(parts: pd.DataFrame) -> pd.DataFrame:
+    kind, bucket = int(parts["kind"].iloc[0]), int(parts["bucket"].iloc[0])
+    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in parts["keys"]])
+    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in parts["counts"]]).astype(np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    keys, counts = keys[new], np.add.reduceat(counts, new)
+    exact = (keys.tobytes(), counts.tobytes()) if kind == 1 else (None, None)
+    return pd.DataFrame({"kind": [kind], "bucket": [bucket], "segment": [build_segment(keys, counts).tobytes()], "keys": [exact[0]], "counts": [exact[1]]})
 
 
 def _word_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,7 +226,11 @@ class Filter:
         self.data = np.frombuffer(b"".join(segments.get(b, b"") for b in range(buckets)), np.uint8)
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts of distinct keys, by probing level after level.
+        """Estimated counts of distinct keys."""
+        return LEVEL_VALUE[self.levels(keys)]
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of distinct keys, by probing level after level.
 
         Keys are probed in the order of their hash, one segment after the other, so that the
         part of the filter in use stays in the processor's cache.
@@ -256,17 +251,18 @@ class Filter:
                 at, key, offset, bits, one, two = at[hit], key[hit], offset[hit], bits[hit], one[hit], two[hit]
             level[at] = q
             q += 1
-        out = np.empty(len(keys))
-        out[order] = LEVEL_VALUE[level]
+        out = np.empty(len(keys), np.int64)
+        out[order] = level
         return out
 
 
 @dataclass
 class Model:
-    """What workers need: the filter, the frequent words' exact counts, and totals."""
+    """What workers need: the filter (none if it is not broadcast), the frequent words' exact counts, and totals."""
 
-    words: Filter
-    pairs: Filter
+    words: Filter | None
+    pairs: Filter | None
+    buckets: int
     frequent: np.ndarray
     frequent_counts: np.ndarray
     tokens: int
@@ -283,13 +279,20 @@ class Model:
         at = np.minimum(np.searchsorted(self.frequent, keys), len(self.frequent) - 1)
         return np.where(self.frequent[at] == keys, self.frequent_counts[at], -1)
 
-    def log_probabilities(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """Per document and value of GRID: log10 P of the text; the same with each token's own count taken out."""
-        counts = self.words.counts(t.distinct)
-        counts[-1] = self.texts  # as often as texts start
+    def log_probabilities(self, t: Tokens, found: dict[int, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Per document and value of GRID: log10 P of the text; the same with each token's own count taken out.
+
+        ``found`` has the levels of the words (1) and pairs (2), by hash, if the filter was probed elsewhere.
+        """
         one, two, which = t.pairs()
+        keys = pair_keys(t.distinct[one], t.distinct[two])
+        if found is None:
+            counts, cp = self.words.counts(t.distinct), self.pairs.counts(keys)
+        else:
+            counts, cp = (_by_key(k, found[kind]) for kind, k in ((1, t.distinct), (2, keys)))
+        counts[-1] = self.texts  # as often as texts start
         cu, cw = counts[one], counts[two]
-        cp = np.minimum(self.pairs.counts(pair_keys(t.distinct[one], t.distinct[two])), cu)
+        cp = np.minimum(cp, cu)
         less = [np.maximum(c - 1, 0) for c in (cp, cu, cw)]
         n = int(t.doc[-1]) + 1
         out = []
@@ -299,46 +302,120 @@ class Model:
         return out[0], out[1]
 
 
+def _by_key(keys: np.ndarray, levels_by_hash: np.ndarray) -> np.ndarray:
+    """Counts of ``keys`` from the levels that their sorted hashes have."""
+    out = np.empty(len(keys))
+    out[np.argsort(keys)] = LEVEL_VALUE[levels_by_hash]
+    return out
+
+
+def _scored(m: Model, docs: pd.DataFrame, t: Tokens, found: dict[int, np.ndarray] | None = None) -> pd.DataFrame:
+    """The rows of a chunk's documents (doc_id, uid, held_out)."""
+    held, n = docs["held_out"].to_numpy(bool), len(docs)
+    score, left_out = m.log_probabilities(t, found)
+    left_out[held] = 0.0  # only training texts vote
+    exact = m.exact(t.distinct)
+    known = (exact >= 0)[t.at]
+    logs = np.log10(np.maximum(exact, 0) + ADD)[t.at]
+    # words that are not frequent: with their number in each document, to be joined with the exact counts
+    rest, tf = np.unique(t.doc[~known] * len(t.distinct) + t.at[~known], return_counts=True)
+    bounds = np.searchsorted(rest, np.arange(1, n) * len(t.distinct))
+    keys = t.distinct[rest % len(t.distinct)].view(np.int64)
+    return pd.DataFrame(
+        {
+            "doc_id": docs["doc_id"].astype("Int64").to_numpy(),
+            "uid": docs["uid"].to_numpy(),
+            "held_out": held,
+            "n_tokens": np.bincount(t.doc, minlength=n),
+            "n_known": np.bincount(t.doc, known, n).astype(np.int64),
+            "logs": np.bincount(t.doc, np.where(known, logs, 0.0), n),
+            "score": list(score),
+            "left_out": list(left_out),
+            "keys": np.split(keys, bounds),
+            "tf": np.split(tf.astype(np.int32), bounds),
+        }
+    )
+
+
 def _scoring(model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m: Model = model.value
         for batch in batches:
-            held = batch["held_out"].to_numpy(bool)
             for a, b, t in _chunks(batch["text"].tolist()):
-                score, left_out = m.log_probabilities(t)
-                left_out[held[a:b]] = 0.0  # only training texts vote
-                exact = m.exact(t.distinct)
-                known = (exact >= 0)[t.at]
-                logs = np.log10(np.maximum(exact, 0) + ADD)[t.at]
-                n = b - a
-                # words that are not frequent: with their number in each document, to be joined with the exact counts
-                rest, tf = np.unique(t.doc[~known] * len(t.distinct) + t.at[~known], return_counts=True)
-                bounds = np.searchsorted(rest, np.arange(1, n) * len(t.distinct))
-                keys = t.distinct[rest % len(t.distinct)].view(np.int64)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": batch["doc_id"].iloc[a:b].astype("Int64").to_numpy(),
-                        "uid": batch["uid"].to_numpy()[a:b],
-                        "held_out": held[a:b],
-                        "n_tokens": np.bincount(t.doc, minlength=n),
-                        "n_known": np.bincount(t.doc, known, n).astype(np.int64),
-                        "logs": np.bincount(t.doc, np.where(known, logs, 0.0), n),
-                        "score": list(score),
-                        "left_out": list(left_out),
-                        "keys": np.split(keys, bounds),
-                        "tf": np.split(tf.astype(np.int32), bounds),
-                    }
-                )
+                yield _scored(model.value, batch.iloc[a:b], t)
 
     return run
 
 
-def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """(model, exact counts (key, c) of all words) of the training texts (text, not null)."""
+_DOC = np.dtype([("doc_id", "<i8"), ("null", "?"), ("held_out", "?"), ("uid", "<i8"), ("n", "<i8")])
+_ASKED = "chunk long, kind int, bucket int, keys binary, at binary, docs binary"
+
+
+def _asking(buckets: int):
+    """Each chunk as a row of kind 0 (its tokens and documents), and its different words (1) and pairs (2) by bucket."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        edges = _bucket_edges(buckets)
+        for batch in batches:
+            for a, b, t in _chunks(batch["text"].tolist()):
+                part = batch.iloc[a:b]
+                docs = np.zeros(b - a, _DOC)
+                docs["null"] = part["doc_id"].isna()
+                docs["doc_id"] = part["doc_id"].astype("Int64").fillna(0)
+                docs["held_out"], docs["uid"], docs["n"] = part["held_out"], part["uid"], np.bincount(t.doc, minlength=b - a)
+                chunk = int(docs["uid"][0])
+                rows = [(chunk, 0, 0, t.distinct.tobytes(), t.at.astype(np.int32).tobytes(), docs.tobytes())]
+                one, two, _ = t.pairs()
+                for kind, keys in ((1, t.distinct), (2, pair_keys(t.distinct[one], t.distinct[two]))):
+                    keys = np.sort(keys)
+                    bounds = np.append(np.searchsorted(keys, edges), len(keys))
+                    rows += [(chunk, kind, k, keys[lo:hi].tobytes(), None, None) for k, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])) if hi > lo]
+                yield pd.DataFrame(rows, columns=["chunk", "kind", "bucket", "keys", "at", "docs"])
+
+    return run
+
+
+def _answering(buckets: int):
+    """The levels of all chunks' n-grams of one bucket, in the order in which they were asked for."""
+
+    def run(asked: pd.DataFrame, segments: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked):
+            return pd.DataFrame({"chunk": [], "kind": [], "bucket": [], "levels": []})
+        bucket = int(asked["bucket"].iloc[0])
+        keys, at = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in asked["keys"]]), return_inverse=True)
+        found = Filter({bucket: bytes(s) for s in segments["segment"]}, buckets).levels(keys).astype(np.uint8)[at]
+        ends = np.cumsum([len(k) // 8 for k in asked["keys"]])[:-1]
+        return asked[["chunk", "kind", "bucket"]].assign(levels=[x.tobytes() for x in np.split(found, ends)])
+
+    return run
+
+
+def _scoring_answered(model):
+    def run(answers: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
+        row = chunk.iloc[0]
+        docs = np.frombuffer(row["docs"], _DOC)
+        distinct, at, n = np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["at"], np.int32).astype(np.int64), docs["n"]
+        before = np.empty_like(at)
+        before[1:] = at[:-1]
+        before[np.cumsum(n) - n] = len(distinct) - 1  # the start
+        tokens = Tokens(distinct, at, before, np.repeat(np.arange(len(n)), n))
+        # buckets are ranges of hashes: one after the other, they have the hashes in order
+        answers = answers.sort_values(["kind", "bucket"])
+        found = {kind: np.frombuffer(b"".join(answers.loc[answers["kind"] == kind, "levels"]), np.uint8) for kind in (1, 2)}
+        ids = pd.Series(docs["doc_id"]).astype("Int64").mask(docs["null"])
+        return _scored(model.value, pd.DataFrame({"doc_id": ids, "uid": docs["uid"], "held_out": docs["held_out"]}), tokens, found)
+
+    return run
+
+
+def train(texts: DataFrame) -> tuple[Model, DataFrame, DataFrame]:
+    """(model, exact counts (key, c) of all words, segments (kind, bucket, segment)) of the training texts (text, not null).
+
+    The model holds the filter while that has ``MAX_FILTER_BYTES`` at most.
+    """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET_BYTES))
     partial = texts.select("text").mapInPandas(_counting(buckets), "kind int, bucket int, keys binary, counts binary")
-    merged = partial.groupBy("kind", "bucket").applyInPandas(_merging(buckets), "kind int, bucket int, segment binary, keys binary, counts binary")
+    merged = partial.groupBy("kind", "bucket").applyInPandas(_merge, "kind int, bucket int, segment binary, keys binary, counts binary")
     merged = cut(merged)
     counts = merged.where("kind = 1").select("keys", "counts").mapInPandas(_word_rows, "key long, c long")
     histogram = counts.groupBy("c").count().toPandas()  # a row per different count
@@ -349,24 +426,37 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     frequent = counts.where(F.col("c") >= least).toPandas()
     keys = frequent["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    segments: dict[int, dict[int, bytes]] = {1: {}, 2: {}}
-    for row in merged.select("kind", "bucket", "segment").toLocalIterator():
-        segments[row["kind"]][row["bucket"]] = bytes(row["segment"])
+    segments = merged.select("kind", "bucket", "segment")
+    filters: dict[int, Filter | None] = {1: None, 2: None}
+    if (segments.agg(F.sum(F.octet_length("segment"))).first()[0] or 0) <= MAX_FILTER_BYTES:
+        held: dict[int, dict[int, bytes]] = {1: {}, 2: {}}
+        for row in segments.toLocalIterator():
+            held[row["kind"]][row["bucket"]] = bytes(row["segment"])
+        filters = {kind: Filter(held.pop(kind), buckets) for kind in (1, 2)}
     texts_seen = counts.where(F.col("key") == int(np.array([_END], np.uint64).view(np.int64)[0])).agg(F.max("c")).first()[0] or 0
-    model = Model(
-        Filter(segments.pop(1), buckets), Filter(segments.pop(2), buckets), keys[order], frequent["c"].to_numpy(np.int64)[order], tokens, types, int(texts_seen)
-    )
-    return model, counts
+    model = Model(filters[1], filters[2], buckets, keys[order], frequent["c"].to_numpy(np.int64)[order], tokens, types, int(texts_seen))
+    return model, counts, segments
+
+
+def _probed_by_bucket(rows: DataFrame, model, segments: DataFrame, kinds: str) -> DataFrame:
+    """The chunks' documents scored with a filter that stays in its buckets."""
+    buckets = model.value.buckets
+    asked = cut(rows.mapInPandas(_asking(buckets), _ASKED))
+    grams = asked.where("kind > 0").select("chunk", "kind", "bucket", "keys").groupBy("kind", "bucket")
+    answers = grams.cogroup(segments.groupBy("kind", "bucket")).applyInPandas(_answering(buckets), "chunk long, kind int, bucket int, levels binary")
+    chunks = asked.where("kind = 0").select("chunk", "keys", "at", "docs").groupBy("chunk")
+    return answers.groupBy("chunk").cogroup(chunks).applyInPandas(_scoring_answered(model), kinds)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mu."""
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"), (F.crc32(ident.cast("binary")) % 10 == 0).alias("held_out"))
-    model, counts = train(rows.where(~F.col("held_out")))
+    model, counts, segments = train(rows.where(~F.col("held_out")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = "doc_id long, uid long, held_out boolean, n_tokens long, n_known long, logs double, score array<double>, left_out array<double>, keys array<long>, tf array<int>"
-    per = cut(rows.withColumn("uid", F.monotonically_increasing_id()).mapInPandas(_scoring(shared), kinds))
+    numbered = rows.withColumn("uid", F.monotonically_increasing_id())
+    per = cut(_probed_by_bucket(numbered, shared, segments, kinds) if model.pairs is None else numbered.mapInPandas(_scoring(shared), kinds))
     rare = per.select("uid", F.explode(F.arrays_zip("keys", "tf")).alias("x")).select("uid", F.col("x.keys").alias("key"), F.col("x.tf").alias("tf"))
     # log10(0 + ADD) for words that training has not seen
     joined = rare.join(counts, "key", "left")
