@@ -100,3 +100,22 @@ def test_edge_cases(spark):
     assert out.columns == df.columns
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 5, 6, 7, 9, 10, 20, 30, 31]
     assert om.near_duplicates(df.limit(0)).collect() == [] and om.drop_near_duplicates(df.limit(0)).collect() == []
+
+
+def test_scattered_edits_up_to_the_threshold(spark):
+    """10 to 20 % of the words replaced at random places."""
+    rnd = random.Random(11)
+    docs, pairs = [], []
+    for i in range(240):
+        n, share = rnd.choice((40, 100, 300)), (0.1, 0.15, 0.2)[i % 3]
+        text = [f"w{rnd.randrange(50_000)}" for _ in range(n)]
+        other = list(text)
+        for at in rnd.sample(range(n), round(share * n)):
+            other[at] = f"z{rnd.randrange(50_000)}"
+        assert om.similarity(" ".join(text), " ".join(other)) >= om.SIMILARITY
+        docs += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+        pairs.append((share, 2 * i))
+    rows = {r["doc_id"]: r["class_id"] for r in om.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = collections.Counter(share for share, d in pairs if rows[d + 1] == d)
+    assert found[0.1] == 80 and found[0.15] >= 79 and found[0.2] >= 75
+    assert om.pair_sketches(0.7) > om.pair_sketches(0.8) > om.pair_sketches(0.9)

@@ -4,8 +4,11 @@ Words are runs of letters and digits in lower case. A document's k-mers are its
 five words, each labelled with its occurrence number. A sketch takes, under one hash
 function, the ``PICKS`` smallest labelled k-mers and keeps them in text order, so two
 documents agree in it with a probability that follows their edit similarity (order and
-repeats count, unlike in a plain MinHash). Documents that agree in any of ``SKETCHES``
-sketches are candidates.
+repeats count, unlike in a plain MinHash). A changed word spoils five k-mers, so edits that are
+scattered over a text leave too few of them alike: ``pair_sketches`` further sketches take
+``PAIR_PICKS`` runs of two words each, as many as the threshold needs. Documents that agree
+in any sketch are candidates; of pairs exactly at the threshold, with all edits scattered,
+``MISSED`` are not (closer pairs far more rarely).
 
 Equal texts are one class from the start; only class representatives are compared.
 Candidates are verified by alignment: the longest common word sequence, with matches only
@@ -26,14 +29,14 @@ Pairs within one component are not needed: the group is the result. No candidate
 dropped at any size.
 
 Cases: a null text is no text and is its own group; empty texts are equal texts; texts
-under ``SHORT_WORDS`` words are sketched over pairs of words as well; texts without words only group with
-equal texts; ties are broken by the smallest document (doc_id, then text hash); rows
+without words only group with equal texts; ties are broken by the smallest document (doc_id, then text hash); rows
 repeated with the same id and text are one document, of which one row is kept; an empty
 table gives an empty result; extra columns pass through.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -49,8 +52,8 @@ K = 5
 PICKS = 3
 SKETCHES = 32
 SIMILARITY = 0.8
-SHORT_WORDS = 30
-SHORT_SKETCHES = 16
+PAIR_PICKS = 2
+MISSED = 0.02
 LARGE = 32
 BLOCK = 512
 BROADCAST_ROWS = 200_000
@@ -88,16 +91,20 @@ def labelled_kmers(ids: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]
     return h, _scramble(h + occurrence * _MIX)
 
 
-def order_sketches(ids: np.ndarray) -> np.ndarray:
-    """Signed 64-bit values, one per sketch: its number and the chosen k-mers, in text order.
+def pair_sketches(least: float = SIMILARITY) -> int:
+    """Sketches of word pairs by which texts that align in ``least`` of their words agree in one, but for ``MISSED``.
 
-    A changed word spoils five k-mers, too many of a short text: those have ``SHORT_SKETCHES``
-    further sketches over pairs of words.
+    With changed words scattered, a pair of words is left with probability least^2.
     """
-    out = _sketched(*labelled_kmers(ids, K), 0, SKETCHES, PICKS)
-    if len(ids) < SHORT_WORDS:
-        out = np.concatenate([out, _sketched(*labelled_kmers(ids, 2), SKETCHES, SHORT_SKETCHES, 2)])
-    return out.view(np.int64)
+    left = least**2
+    agree = (left / (2 - left)) ** PAIR_PICKS  # in one sketch
+    return 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log(1 - agree))
+
+
+def order_sketches(ids: np.ndarray, least: float = SIMILARITY) -> np.ndarray:
+    """Signed 64-bit values, one per sketch: its number and the chosen k-mers, in text order."""
+    out = [_sketched(*labelled_kmers(ids, K), 0, SKETCHES, PICKS), _sketched(*labelled_kmers(ids, 2), SKETCHES, pair_sketches(least), PAIR_PICKS)]
+    return np.concatenate(out).view(np.int64)
 
 
 def _sketched(kmers: np.ndarray, labelled: np.ndarray, first: int, sketches: int, picks: int) -> np.ndarray:
@@ -170,23 +177,26 @@ def similarity(a: str, b: str, least: float = SIMILARITY) -> float:
     return aligned_words(x, y, int((1 - least) * longer) + 1) / longer
 
 
-def _sketch_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import xxhash
+def _sketch_batches(least: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
+        known: dict[str, int] = {}
+        for batch in batches:
+            done: dict[str, tuple] = {}
+            n, sk = [], []
+            for key, text in zip(batch["key"], batch["text"]):
+                if key not in done:
+                    ws = words(text)
+                    if len(known) > 200_000:
+                        known.clear()
+                    ids = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh64_intdigest(w)) for w in ws), np.uint64, len(ws))
+                    done[key] = (len(ws), order_sketches(ids, least) if ws else None)
+                n.append(done[key][0])
+                sk.append(done[key][1])
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "key": batch["key"], "n": n, "sk": sk})
 
-    known: dict[str, int] = {}
-    for batch in batches:
-        done: dict[str, tuple] = {}
-        n, sk = [], []
-        for key, text in zip(batch["key"], batch["text"]):
-            if key not in done:
-                ws = words(text)
-                if len(known) > 200_000:
-                    known.clear()
-                ids = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh64_intdigest(w)) for w in ws), np.uint64, len(ws))
-                done[key] = (len(ws), order_sketches(ids) if ws else None)
-            n.append(done[key][0])
-            sk.append(done[key][1])
-        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "key": batch["key"], "n": n, "sk": sk})
+    return run
 
 
 def _verify_batches(least: float):
@@ -223,10 +233,10 @@ def _fits(x: str, y: str, least: float):
     return F.least(x, y) >= F.greatest(x, y) * F.lit(least)
 
 
-def text_classes(docs: DataFrame) -> DataFrame:
+def text_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Equal texts as one row: (node, key, rep, n, sk); key is the text's digest, node a number for it."""
     rows = docs.where(F.col("key").isNotNull()).select("doc_id", "key", "text")
-    sketched = rows.mapInPandas(tidy(_sketch_batches), "doc_id long, key string, n int, sk array<long>")
+    sketched = rows.mapInPandas(tidy(_sketch_batches(least)), "doc_id long, key string, n int, sk array<long>")
     classes = cut(sketched.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk")))
     # numbered behind the cut: the same rows get the same numbers whenever they are read again
     return classes.withColumn("node", F.monotonically_increasing_id())
@@ -308,7 +318,7 @@ def _block_links(least: float):
             allowed &= own[:, None] != own[None, :]
         allowed &= np.minimum(n[:, None], n[None, :]) >= least * np.maximum(n[:, None], n[None, :])
         # a pair that agrees in an earlier sketch is compared in that bucket
-        sk = np.stack([np.resize(np.asarray(v, np.int64), SKETCHES + SHORT_SKETCHES) for v in rows["sk"]])
+        sk = np.stack([np.asarray(v, np.int64) for v in rows["sk"]])
         for j in range(int(slot)):
             allowed &= sk[:, None, j] != sk[None, :, j]
         if not allowed.any():
@@ -355,7 +365,7 @@ def near_duplicate_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFra
     group; the kept document has doc_id ``class_id`` and text ``keep_key``.
     """
     keyed = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("key"))
-    classes = text_classes(keyed)
+    classes = text_classes(keyed, least)
     links = find_links(keyed, classes, least)
     linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
     parts = cut(connected_components(linked, links, "node", "a", "b"))
