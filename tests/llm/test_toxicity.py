@@ -54,3 +54,14 @@ def test_no_labels_and_no_documents(spark):
     one_class = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert [r["toxic"] for r in toxicity.toxicity_report(docs, one_class).collect()] == [False, False]
     assert toxicity.toxicity_report(docs.limit(0), one_class).collect() == []
+
+
+def test_the_fit_uses_the_whole_bound(spark, monkeypatch):
+    """12,000 labelled rows, the bound that the README states."""
+    sizes = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda x, y, use=None: (sizes.append((len(x), int(use.sum()))), fit(x, y, use, steps=1))[1])
+    docs = spark.range(12_500).select(F.col("id").alias("doc_id"), F.concat(F.when(F.col("id") % 3 == 0, "nasty word").otherwise("plain word"), (F.col("id") % 5).cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    toxicity.train_chain(docs, labels)
+    assert max(sizes) == (12_000, 12_000)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import cut, text_or_empty, tidy
 
-SAMPLE = 8_000
+SAMPLE = 12_000
 TOKENS = 600
 STEMS = (3, 4, 5, 6)
 FOLDS = 5
