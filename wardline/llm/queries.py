@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import line_dedup, mixing, multi_index, ngram_bloom, order_minhash, pii, piece_sampling, pstable, sharding, toxicity
+from wardline.llm import conversation_repair, line_dedup, mixing, multi_index, ngram_bloom, order_minhash, pii, piece_sampling, pstable, sharding, token_alignment, toxicity, url_filter
 from wardline.llm.common import read
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +63,22 @@ def op10_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.encoding_report(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op7_toxicity, op8_language_model, op9_near_duplicate_vectors, op10_sampled_pieces)}
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned by bytes, with corpus-wide counts of linked id pairs."""
+    return token_alignment.alignment_report(read(spark, sf_dir, "documents"))
+
+
+def op12_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, winning rule and verdict of every page's url."""
+    return url_filter.url_report(read(spark, sf_dir, "pages"))
+
+
+def op13_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest repair and the repaired text's digest."""
+    return conversation_repair.repair_report(read(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Builder] = {f.__name__: f for f in (op1_find_personal_data, op2_near_duplicates, op3_mix_sources, op4_stratified_shards, op5_nearest_vectors, op6_repeated_line_runs, op7_toxicity, op8_language_model, op9_near_duplicate_vectors, op10_sampled_pieces, op11_align_tokens, op12_url_verdicts, op13_repair_conversations)}
 
 ORACLES: dict[str, str] = {
     "op3_mix_sources": mixing.REPORT_SQL,
@@ -71,4 +86,5 @@ ORACLES: dict[str, str] = {
     "op5_nearest_vectors": multi_index.EXACT_SQL,
     "op6_repeated_line_runs": line_dedup.REPORT_SQL,
     "op9_near_duplicate_vectors": pstable.ALL_PAIRS_SQL,
+    "op12_url_verdicts": url_filter.REPORT_SQL,
 }
