@@ -46,7 +46,7 @@ def test_fitted_model_finds_planted_copies(planted):
     clusters = {r["id"]: r["cluster_id"] for r in run.clusters(run.scored(model)).collect()}
     assert sum(clusters[b] == a for a, b in truth) >= 0.95 * len(truth)
     assert clusters[5001] == 5001 and clusters[5002] == 5002  # blanks never link
-    metrics = run.cluster_metrics(run.clusters(run.scored(model))).first()
+    metrics = run.metrics_along(run.scored(model), [D.THRESHOLD]).first()
     assert metrics["n_records"] == 212 and metrics["n_found_restricted"] <= metrics["n_true_restricted"]
 
 

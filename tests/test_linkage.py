@@ -5,11 +5,13 @@ import random
 
 from pyspark.sql import functions as F
 
+from wardline.operators import graph
 from wardline.operators import linkage as L
+from wardline.operators.forest import partitions_along, spanning_forest
 from wardline.operators.graph import connected_components
 
 COMPS = [
-    L.Comparison("name", "name", ((3, "exact", L.exact), (2, "jw>=0.92", L.jw_at_least(0.92)), (1, "jw>=0.85", L.jw_at_least(0.85)))),
+    L.TextComparison("name", "name"),
     L.Comparison("size", "size", ((2, "exact", L.exact), (1, "diff<=2", L.abs_diff_at_most(2)))),
     L.Comparison("born", "born", ((2, "exact", L.exact), (1, "days<=31", L.days_apart_at_most(31)))),
 ]
@@ -74,3 +76,97 @@ def test_model_json_round_trip():
     m = L.Model(0.01, {"a": {0: 0.1, 1: 0.9}}, {"a": {0: 0.8, 1: 0.2}}, [{"rule": 0}])
     back = L.Model.from_json(m.to_json())
     assert back.m == m.m and back.u == m.u and back.prior == m.prior
+
+
+def test_pairs_of_cut_blocks_are_those_of_all_pairs(spark):
+    """One block with a third of the profiles, NULL keys, overlapping rules, tiny sub-blocks and tasks."""
+    dice = random.Random(6)
+    rows = [(i, "hot" if i % 3 == 0 else dice.choice(["a", "b", None]), dice.choice(["x", "y", None]), i % 5, 1 + i % 2) for i in range(300)]
+    prof = spark.createDataFrame(rows, "pid long, k string, q string, v int, n long")
+    rules = [["k"], ["q", "v"]]
+    got = L.sided_pairs(prof, rules, ["k", "v"], sub_block=7, pairs_per_task=1000)
+    want = []
+    for p, a in enumerate(rows):
+        for b in rows[p:]:
+            rule = 0 if a[1] is not None and a[1] == b[1] else 1 if a[2] is not None and a[2] == b[2] and a[3] == b[3] else None
+            w = a[4] * b[4] if a is not b else a[4] * (a[4] - 1) // 2
+            if rule is not None and w:
+                want.append((a[0], b[0], w, rule, a[1], b[1], a[3], b[3]))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
+    loads = got.filter("rule = 0").groupBy(F.spark_partition_id()).count()
+    assert loads.agg(F.max("count")).first()[0] < sum(1 for x in want if x[3] == 0) / 3  # the hot block is spread
+
+
+def test_counts_need_no_list_of_pairs(spark):
+    prof = spark.createDataFrame([(i, "k", i % 7, 1) for i in range(50)], "pid long, k string, v int, n long")
+    comps = [L.Comparison("v", "v", ((1, "exact", L.exact),))]
+    counted = L.gammas(L.sided_pairs(prof, [["k"]], ["v"]), comps).groupBy("gamma_v").agg(F.sum("w"))
+    plan = counted._jdf.queryExecution().toString()
+    final, partial = plan.rfind("Exchange hashpartitioning(gamma_v"), plan.rfind("SortMergeJoin")
+    assert final < partial or partial == -1  # summed in the task that forms the pairs
+    assert {r[0]: r[1] for r in counted.collect()} == {1: 1 * 28 + 6 * 21, 0: 1225 - 154}
+
+
+def components_of(nodes, edges):
+    parent = {n: n for n in nodes}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: root(n) for n in nodes}
+
+
+def test_star_centres_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(graph, "LEAST_CENTRE", 5)
+    dice = random.Random(1)
+    edges = [(1000, i) for i in range(200)] + [(2000 + i, 1999) for i in range(50)] + [(dice.randrange(300), dice.randrange(300)) for _ in range(100)]
+    nodes = sorted({n for e in edges for n in e})
+    got = connected_components(spark.createDataFrame([(n,) for n in nodes], "node long"), spark.createDataFrame(edges, "src long, dst long"))
+    assert {r[0]: r[1] for r in got.collect()} == components_of(nodes, edges)
+
+
+def test_spanning_forest_keeps_every_partition(spark):
+    dice = random.Random(2)
+    for n, m, weights in ((40, 90, 5), (60, 400, 50), (30, 0, 1)):
+        edges = [(dice.randrange(n), dice.randrange(n), dice.randrange(weights) / weights) for _ in range(m)]
+        edges += [(0, i, 0.5) for i in range(n // 2)] + [(3, 3, 0.9), (None, 1, 0.4), (1, 2, None)]
+        forest = [tuple(r) for r in spanning_forest(spark.createDataFrame(edges, "src long, dst long, weight double")).collect()]
+        sound = [e for e in edges if None not in e]
+        assert len(set(components_of(range(n), [e[:2] for e in forest]).values())) == n - len(forest)  # no cycle
+        for t in sorted({e[2] for e in sound}):
+            at = lambda es: components_of(range(n), [e[:2] for e in es if e[2] >= t])
+            assert at(forest) == at(sound)
+
+
+def test_partitions_along_a_grid(spark):
+    forest = spark.createDataFrame([(1, 2, 0.9), (2, 3, 0.6), (5, 6, 0.5)], "src long, dst long, weight double")
+    alone = spark.createDataFrame([(7, 0.6), (8, 0.1)], "node long, weight double")
+    got = {tuple(r) for r in partitions_along(forest, alone, [0.5, 0.6, 0.95]).collect()}
+    assert got == {(0, 1, 1), (0, 2, 1), (0, 3, 1), (0, 5, 5), (0, 6, 5), (0, 7, 7), (1, 1, 1), (1, 2, 1), (1, 3, 1), (1, 7, 7)}
+
+
+def test_pair_numbers_unrank_to_all_pairs(spark):
+    low, high = L.unranked(F.col("q"))
+    got = L.pair_numbers(spark, 4950, 10_000).select(low.alias("low"), high.alias("high")).collect()
+    assert sorted((r[0], r[1]) for r in got) == sorted((a, b) for b in range(100) for a in range(b))
+    ends = [0, 1, 2, 499999999500000000 - 1, 499999999500000000, 2**61, 2**61 + 1]
+    for q, a, b in spark.createDataFrame([(q,) for q in ends], "q long").select("q", low.alias("low"), high.alias("high")).collect():
+        assert 0 <= a < b and b * (b - 1) // 2 + a == q
+
+
+def test_random_pairs_are_different_and_spread(spark):
+    total, n = 5 * 10**15, 2000
+    q = sorted(r[0] for r in L.pair_numbers(spark, total, n).collect())
+    assert len(set(q)) == n and 0 <= q[0] and q[-1] < total
+    assert all(x * n // total == k for k, x in enumerate(q))  # one of each stratum
+    assert q != sorted(r[0] for r in L.pair_numbers(spark, total, n, seed=1).collect())
+    pop = spark.createDataFrame([(10 * i, i % 3) for i in range(100)], "id long, v int")
+    pairs = L.random_pairs(pop, "id", ["id", "v"], n=500).collect()
+    assert len({(r.id_l, r.id_r) for r in pairs}) == 500 and all(r.id_l < r.id_r and r.v_l == r.id_l // 10 % 3 for r in pairs)
+    comps = [L.Comparison("v", "v", ((1, "exact", L.exact),))]
+    assert abs(L.estimate_u(pop, "id", comps)["v"][1] - 1617 / 4950) < 1e-3  # all pairs: 34, 33 and 33 records agree

@@ -1,6 +1,83 @@
+import random
 import unicodedata
 
-from wardline.functions.similarity import damerau_levenshtein, jaro_winkler, v1, v2
+from pyspark.sql import functions as F
+
+from wardline.functions import similarity
+from wardline.functions.similarity import damerau_levenshtein, damerau_levenshtein_pairs, jaro_winkler, jaro_winkler_col, jaro_winkler_pairs, v1, v2
+
+
+def plain_jaro_winkler(s, t):
+    """The textbook's loops over single characters."""
+    if s == t:
+        return 1.0
+    if not s or not t:
+        return 0.0
+    reach = max(max(len(s), len(t)) // 2 - 1, 0)
+    used, mine = set(), []
+    for i, c in enumerate(s):
+        for j in range(max(0, i - reach), min(len(t), i + reach + 1)):
+            if j not in used and t[j] == c:
+                used.add(j)
+                mine.append(c)
+                break
+    if not mine:
+        return 0.0
+    m, half = len(mine), sum(c != t[j] for c, j in zip(mine, sorted(used))) / 2
+    jaro = (m / len(s) + m / len(t) + (m - half) / m) / 3.0
+    prefix = next((k for k, (c, e) in enumerate(zip(s[:4], t[:4])) if c != e), min(4, len(s), len(t)))
+    return jaro + prefix * 0.1 * (1.0 - jaro) if jaro > 0.7 else jaro
+
+
+def plain_damerau(a, b):
+    """The textbook's recursion over every earlier transposition."""
+    best = {}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            options = [i if not j else best[i, j - 1] + 1, j if not i else best[i - 1, j] + 1]
+            if i and j:
+                options.append(best[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+            for p in range(1, i):
+                for q in range(1, j):
+                    if a[p - 1] == b[j - 1] and a[i - 1] == b[q - 1]:
+                        options.append(best[p - 1, q - 1] + (i - p - 1) + 1 + (j - q - 1))
+            best[i, j] = min(options)
+    return best[len(a), len(b)]
+
+
+def random_pairs(n, longest, seed):
+    dice = random.Random(seed)
+    for _ in range(n):
+        s = "".join(dice.choice("abcdé😀") for _ in range(dice.randint(0, longest)))
+        t = list(s)
+        for _ in range(dice.randint(0, 4)):
+            at = dice.randint(0, len(t))
+            t[at : at + dice.randint(0, 2)] = [dice.choice("abcdé😀") for _ in range(dice.randint(0, 2))]
+        yield s, "".join(t) if dice.random() < 0.8 else "".join(dice.choice("abc") for _ in range(dice.randint(0, longest)))
+
+
+def test_columns_of_pairs_equal_the_textbook(monkeypatch):
+    pairs = [*random_pairs(3000, 12, 1), *random_pairs(200, 90, 2), ("", ""), ("a", ""), ("", "b"), ("x" * 3000, "x" * 2999 + "y")]
+    a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+    want = [plain_jaro_winkler(*p) for p in pairs]
+    assert jaro_winkler_pairs(a, b).tolist() == want
+    monkeypatch.setattr(similarity, "CELLS", 500)  # many small groups
+    assert jaro_winkler_pairs(a[:600], b[:600]).tolist() == want[:600]
+
+
+def test_columns_of_distances_equal_the_textbook(monkeypatch):
+    pairs = [*random_pairs(800, 9, 3), ("", ""), ("a", ""), ("", "bc")]
+    a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+    want = [plain_damerau(*p) for p in pairs]
+    assert damerau_levenshtein_pairs(a, b).tolist() == want
+    monkeypatch.setattr(similarity, "CELLS", 500)
+    assert damerau_levenshtein_pairs(a, b).tolist() == want
+
+
+def test_missing_sides_and_empty_batches(spark):
+    rows = spark.createDataFrame([("a", None), (None, None), ("ab", "ab"), ("ab", "ba")], "a string, b string")
+    got = [r[0] for r in rows.repartition(4).select("a", "b", jaro_winkler_col(F.col("a"), F.col("b")).alias("s")).orderBy("a", "b").select("s").collect()]
+    assert got == [None, None, 1.0, 0.0]
 
 
 def run(spark, fn, values):

@@ -1,15 +1,17 @@
 """String similarity and normalisation (FN-16, FN-17, FN-19, FN-20).
 
 Normalisation is built-in expressions. Spark has no Jaro-Winkler and no
-transposition-aware edit distance, so these are small per-value Python helpers run
-through Arrow-batched ``pandas_udf``s, only ever on the distinct values of blocked
-candidate pairs.
+transposition-aware edit distance; these run over whole Arrow columns (``pandas_udf``): all
+pairs of a batch with texts of about the same length advance together, one numpy step per
+character (or pair of characters), once per different pair of the batch.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,91 +30,177 @@ except Exception:  # pragma: no cover - older cloudpickle
     pass
 
 
-def jaro(s1: str, s2: str) -> float:
-    if s1 == s2:
-        return 1.0
-    n1, n2 = len(s1), len(s2)
-    if n1 == 0 or n2 == 0:
-        return 0.0
-    window = max(max(n1, n2) // 2 - 1, 0)
-    m1 = [False] * n1
-    m2 = [False] * n2
-    matches = 0
-    for i, c in enumerate(s1):
-        lo, hi = max(0, i - window), min(n2, i + window + 1)
-        for j in range(lo, hi):
-            if not m2[j] and s2[j] == c:
-                m1[i] = m2[j] = True
-                matches += 1
-                break
-    if matches == 0:
-        return 0.0
-    t = 0
-    k = 0
-    for i in range(n1):
-        if m1[i]:
-            while not m2[k]:
-                k += 1
-            if s1[i] != s2[k]:
-                t += 1
-            k += 1
-    t /= 2
-    return (matches / n1 + matches / n2 + (matches - t) / matches) / 3.0
-
-
-def jaro_winkler(s1: str, s2: str, prefix_weight: float = 0.1, boost_threshold: float = 0.7) -> float:
-    """Jaro-Winkler similarity; the common-prefix bonus (<= 4 chars) applies above 0.7."""
-    j = jaro(s1, s2)
-    if j <= boost_threshold:
-        return j
-    prefix = 0
-    for a, b in zip(s1[:4], s2[:4]):
-        if a != b:
-            break
-        prefix += 1
-    return j + prefix * prefix_weight * (1.0 - j)
+#: cells that the arrays of one group may hold (pairs x characters, or x characters twice)
+CELLS = 1_000_000
+
+
+def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points, one row per text (0 behind its end), and the lengths."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.zeros((len(texts), max(int(sizes.max(initial=0)), 1)), np.uint32)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = flat
+    return out, sizes
+
+
+def _narrowed(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same codes in as few bytes as they need."""
+    top = max(int(x.max(initial=0)), int(y.max(initial=0)))
+    kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32
+    return x.astype(kind), y.astype(kind)
+
+
+def _by_size(a: list[str], b: list[str], square: bool) -> Iterator[np.ndarray]:
+    """Numbers of pairs with texts of about the same length, as many as fit ``CELLS``."""
+    longest = np.fromiter((max(len(x), len(y)) for x, y in zip(a, b)), np.int64, len(a))
+    order = np.argsort(longest, kind="stable")
+    ordered = longest[order]
+    at = 0
+    while at < len(order):
+        # pairs of one group differ in length by a quarter at most, so little is padding
+        size = int(ordered[at])
+        most = size + size // 4 + 4
+        fit = max(1, CELLS // (most + 2) ** (2 if square else 1))
+        end = min(at + fit, int(np.searchsorted(ordered, most, "right")))
+        yield order[at:end]
+        at = end
+
+
+def _matches_wide(x: np.ndarray, y: np.ndarray, n1: np.ndarray, n2: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Jaro's matched characters of both texts: each takes the first free equal one in its window."""
+    rows = np.arange(len(x))
+    place = np.arange(y.shape[1], dtype=np.int32)
+    free = place < n2[:, None]
+    matched = np.zeros(x.shape, bool)
+    for i in range(x.shape[1]):
+        fits = y == x[:, i, None]
+        fits &= free
+        fits &= place >= (i - window)[:, None]
+        fits &= place <= np.where(i < n1, i + window, -1)[:, None]
+        first = fits.argmax(axis=1)
+        hit = fits[rows, first]
+        matched[:, i] = hit
+        free[rows[hit], first[hit]] = False
+    return matched, ~free & (place < n2[:, None])
+
+
+def _ones(n: np.ndarray) -> np.ndarray:
+    """Words with their lowest n bits set (n from 0 to 64)."""
+    return np.where(n >= 64, np.uint64(2**64 - 1), (np.uint64(1) << np.minimum(n, 63).astype(np.uint64)) - np.uint64(1))
+
+
+def _matches(x: np.ndarray, y: np.ndarray, n1: np.ndarray, n2: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same with the other text's places as the bits of one word, where they fit."""
+    if y.shape[1] > 64:
+        return _matches_wide(x, y, n1, n2, window)
+    words = np.zeros((len(x), 8), np.uint8)
+    equal, used = words.view("<u8")[:, 0], -(-y.shape[1] // 8)
+    whole = _ones(n2)
+    free = whole.copy()
+    matched = np.zeros(x.shape, bool)
+    for i in range(x.shape[1]):
+        words[:, :used] = np.packbits(y == x[:, i, None], axis=1, bitorder="little")
+        fits = equal & free & _ones(np.minimum(np.where(i < n1, i + window + 1, 0), 64)) & ~_ones(np.maximum(i - window, 0))
+        first = fits & (~fits + np.uint64(1))
+        free &= ~first
+        matched[:, i] = first != 0
+    taken = np.unpackbits((whole & ~free).astype("<u8")[:, None].view(np.uint8), axis=1, bitorder="little")
+    return matched, taken[:, : y.shape[1]].astype(bool)
+
+
+def _jaro_winkler_group(a: list[str], b: list[str], prefix_weight: float, boost_threshold: float) -> np.ndarray:
+    x, n1 = _codes(a)
+    y, n2 = _codes(b)
+    x, y = _narrowed(x, y)
+    matched, taken = _matches(x, y, n1, n2, np.maximum(np.maximum(n1, n2) // 2 - 1, 0))
+    m = matched.sum(axis=1)
+    width = int(m.max(initial=0))
+    # matched characters of both texts in their order
+    of_x = np.take_along_axis(x, np.argsort(~matched, axis=1, kind="stable")[:, :width], 1)
+    of_y = np.take_along_axis(y, np.argsort(~taken, axis=1, kind="stable")[:, :width], 1)
+    half = ((of_x != of_y) & (np.arange(width) < m[:, None])).sum(axis=1) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        jaro = (m / n1 + m / n2 + (m - half) / m) / 3.0
+    jaro = np.where(m == 0, 0.0, jaro)
+    start = min(4, x.shape[1], y.shape[1])
+    same = (x[:, :start] == y[:, :start]) & (np.arange(start) < np.minimum(n1, n2)[:, None])
+    prefix = np.cumprod(same, axis=1).sum(axis=1)
+    out = np.where(jaro > boost_threshold, jaro + prefix * prefix_weight * (1.0 - jaro), jaro)
+    return np.where([p == q for p, q in zip(a, b)], 1.0, out)
+
+
+def jaro_winkler_pairs(a: list[str], b: list[str], prefix_weight: float = 0.1, boost_threshold: float = 0.7) -> np.ndarray:
+    """Jaro-Winkler similarity of a[i] and b[i] for all i.
+
+    Jaro matches within max(length) // 2 - 1; the bonus for a common prefix (4 characters at
+    most) applies above 0.7. One numpy step per character serves all pairs of a group.
+    """
+    out = np.empty(len(a))
+    for at in _by_size(a, b, square=False):
+        out[at] = _jaro_winkler_group([a[i] for i in at], [b[i] for i in at], prefix_weight, boost_threshold)
+    return out
+
+
+def _damerau_group(a: list[str], b: list[str]) -> np.ndarray:
+    x, n = _codes(a)
+    y, m = _codes(b)
+    x, y = _narrowed(x, y)
+    rows, width, height = np.arange(len(a)), y.shape[1], x.shape[1]
+    big = width + height
+    d = np.empty((height + 2, width + 2, len(a)), np.int32)
+    d[0], d[:, 0] = big, big
+    d[1:, 1] = np.arange(height + 1)[:, None]
+    d[1, 1:] = np.arange(width + 1)[:, None]
+    last_row = np.zeros((width, len(a)), np.int64)  # last place in a, so far, of each character of b
+    for i in range(1, height + 1):
+        same = (y == x[:, i - 1, None]).T
+        at = np.where(same, np.arange(1, width + 1)[:, None], 0)
+        last_col = np.zeros_like(at)  # last place in b, before this one, of a's character
+        last_col[1:] = np.maximum.accumulate(at, axis=0)[:-1]
+        for j in range(1, width + 1):
+            i1, j1 = last_row[j - 1], last_col[j - 1]
+            swap = d[i1, j1, rows] + (i - i1 - 1) + 1 + (j - j1 - 1)
+            step = np.minimum(d[i, j + 1], d[i + 1, j]) + 1
+            d[i + 1, j + 1] = np.minimum(np.minimum(d[i, j] + ~same[j - 1], step), swap)
+        last_row = np.where(same, i, last_row)
+    return d[n + 1, m + 1, rows]
+
+
+def damerau_levenshtein_pairs(a: list[str], b: list[str]) -> np.ndarray:
+    """Unrestricted Damerau-Levenshtein distance (adjacent transpositions) of a[i] and b[i] for all i."""
+    out = np.empty(len(a), np.int64)
+    for at in _by_size(a, b, square=True):
+        out[at] = _damerau_group([a[i] for i in at], [b[i] for i in at])
+    return out
+
+
+def jaro_winkler(a: str, b: str) -> float:
+    return float(jaro_winkler_pairs([a], [b])[0])
 
 
 def damerau_levenshtein(a: str, b: str) -> int:
-    """Unrestricted Damerau-Levenshtein distance (adjacent transpositions allowed)."""
-    da: dict[str, int] = {}
-    n, m = len(a), len(b)
-    big = n + m
-    d = [[0] * (m + 2) for _ in range(n + 2)]
-    d[0][0] = big
-    for i in range(n + 1):
-        d[i + 1][0] = big
-        d[i + 1][1] = i
-    for j in range(m + 1):
-        d[0][j + 1] = big
-        d[1][j + 1] = j
-    for i in range(1, n + 1):
-        db = 0
-        for j in range(1, m + 1):
-            i1 = da.get(b[j - 1], 0)
-            j1 = db
-            cost = 1
-            if a[i - 1] == b[j - 1]:
-                cost = 0
-                db = j
-            d[i + 1][j + 1] = min(
-                d[i][j] + cost,
-                d[i + 1][j] + 1,
-                d[i][j + 1] + 1,
-                d[i1][j1] + (i - i1 - 1) + 1 + (j - j1 - 1),
-            )
-        da[a[i - 1]] = i
-    return d[n + 1][m + 1]
+    return int(damerau_levenshtein_pairs([a], [b])[0])
+
+
+def _over_pairs(a: pd.Series, b: pd.Series, measure) -> np.ndarray:
+    """``measure`` of the different pairs of a batch, NaN where a side is missing."""
+    known = np.flatnonzero(a.notna().to_numpy() & b.notna().to_numpy())
+    pairs = dict.fromkeys(zip(a.iloc[known], b.iloc[known]))
+    out = np.full(len(a), np.nan)
+    if pairs:
+        values = dict(zip(pairs, measure([p[0] for p in pairs], [p[1] for p in pairs]).tolist()))
+        out[known] = [values[p] for p in zip(a.iloc[known], b.iloc[known])]
+    return out
 
 
 @pandas_udf(T.DoubleType())
 def _jw_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series(_over_pairs(a, b, jaro_winkler_pairs))
 
 
 @pandas_udf(T.IntegerType())
 def _dl_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else damerau_levenshtein(x, y) for x, y in zip(a, b)], dtype="Int32")
+    return pd.Series(_over_pairs(a, b, damerau_levenshtein_pairs)).astype("Int32")
 
 
 def _accents() -> tuple[str, str]:

@@ -19,21 +19,37 @@ from wardline.session import checkpoint_dir
 EDGES_PER_TASK = 50_000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: a node with more edges than this, and than a thousandth of all, is a centre
+LEAST_CENTRE = 1_000
+
+
+def _with_least(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
+    """``edges`` (u, v) with ``m``, the smallest node around u, from ``least`` (u, m, degree)."""
+    # their degrees add up to twice the edges at most: this bounds what is broadcast
+    centre = F.col("degree") > max(LEAST_CENTRE, rows // 1000)
+    centres = least.filter(centre).select(F.col("u").alias("_c"), F.col("m").alias("_m"))
+    at_centres = edges.join(F.broadcast(centres), F.col("u") == F.col("_c"), "left")
+    near = at_centres.filter(F.col("_c").isNotNull()).select("u", "v", F.col("_m").alias("m"))
+    far = at_centres.filter(F.col("_c").isNull()).select("u", "v").join(least.filter(~centre).select("u", "m"), "u")
+    return near.unionByName(far)
+
+
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     """Larger neighbours of a node are linked to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    return _with_least(both.where(F.col("v") > F.col("u")), least, rows).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
+    moved = _with_least(edges, least, rows).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _packed(edges: DataFrame, rows: int) -> DataFrame:
+def packed(edges: DataFrame, rows: int) -> DataFrame:
+    """``edges`` in no more tasks than ``rows`` rows call for."""
     return edges.coalesce(max(1, -(-rows // EDGES_PER_TASK)))
 
 
@@ -52,7 +68,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node_col: str = "no
         if tuple(now) == state or now[0] == 0:
             break
         state = tuple(now)
-        stars = _packed(stars, now[0])
-        stars = _packed(_small_star(_packed(_large_star(stars), now[0])), now[0]).checkpoint()
+        stars = packed(stars, now[0])
+        stars = packed(_small_star(packed(_large_star(stars, now[0]), now[0]), now[0]), now[0]).checkpoint()
     found = stars.select(F.col("u").alias(node_col), F.col("v").alias("component"))
     return nodes.select(node_col).distinct().join(found, node_col, "left").select(node_col, F.coalesce("component", F.col(node_col)).alias("component"))

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardline.session import checkpoint_dir
+
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 IS_CURRENT = "is_current"
@@ -45,8 +47,40 @@ def build_versions(
     ).withColumn(IS_CURRENT, F.col(VALID_TO).isNull())
 
 
-def _in_force(event: Column, frm: Column, to: Column) -> Column:
-    return (event >= frm) & (to.isNull() | (event < to))
+#: a key with more facts than this, and than a thousandth of all, is read in several tasks
+HOT_FACTS = 100_000
+
+
+def _scanned(facts: DataFrame, versions: DataFrame, key: str, event_col: str, take: Sequence[str], version_key: str, hot_facts: int, onwards: bool) -> DataFrame:
+    """``facts`` as ``f`` with ``at``, the last version of the key on or before the event day.
+
+    Facts and versions are read together in the order of (key, day), the last version seen being
+    carried along: no fact meets more than one version. With ``onwards``, ``next`` is the first
+    version on or after the day. A key of more than ``hot_facts`` facts (and a thousandth of
+    all: fewer than a thousand keys) is dealt to several tasks, each with all its versions, of
+    which there is one a day at most; facts without a key are dealt at random.
+    """
+    checkpoint_dir(facts.sparkSession)
+    kept = facts.select(F.col(key).alias("_key"), F.to_date(F.col(event_col)).alias("_day"), F.struct(*facts.columns).alias("f")).checkpoint()
+    counts = kept.filter(F.col("_key").isNotNull()).groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    limit = F.greatest(F.lit(hot_facts), F.floor(kept.select(F.count(F.lit(1))).scalar() / 1000))
+    hot = counts.withColumn("_limit", limit).filter("_n > _limit").select(F.col("_key").alias("_hot"), F.ceil(F.col("_n") / F.col("_limit")).cast("int").alias("_parts"))
+    dealt = kept.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left")
+    parts = F.when(F.col("_key").isNull(), 1009).otherwise(F.coalesce("_parts", F.lit(1)))
+    fact = dealt.select("_key", F.pmod(F.xxhash64("f"), parts).cast("int").alias("_part"), "_day", F.lit(1).alias("_kind"), "f")
+    known = versions.filter(F.col(version_key).isNotNull() & F.col(VALID_FROM).isNotNull())
+    version = known.select(F.col(version_key).alias("_key"), F.col(VALID_FROM).alias("_day"), F.struct(VALID_FROM, VALID_TO, *take).alias("v"))
+    version = version.join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    version = version.select("_key", copies.alias("_part"), "_day", F.lit(0).alias("_kind"), "v")
+    both = fact.unionByName(version, allowMissingColumns=True)
+    part = Window.partitionBy("_key", "_part")
+    until = part.orderBy(F.col("_day").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = both.withColumn("at", F.last("v", ignorenulls=True).over(until))
+    if onwards:
+        back = part.orderBy(F.col("_day").desc_nulls_last(), F.col("_kind").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        both = both.withColumn("next", F.last("v", ignorenulls=True).over(back))
+    return both.filter("_kind = 1")
 
 
 def version_in_force(
@@ -57,27 +91,13 @@ def version_in_force(
     take: Sequence[str],
     prefix: str = "v_",
     version_key: str | None = None,
+    hot_facts: int = HOT_FACTS,
 ) -> DataFrame:
-    """JN-3: left join each fact to the version of its key in force on the event day.
-
-    An equi join on the key with the half-open range as its residual: one shuffle of the
-    facts, a build side of one row per version whatever the dates in it, and hot keys that
-    Spark's skew join splits. A key's versions are bounded by its days.
-    """
-    version_key = version_key or key
-    facts_d = facts.withColumn("_ev", F.to_date(F.col(event_col)))
-    v = versions.select(
-        F.col(version_key).alias("_vkey"),
-        F.col(VALID_FROM).alias("_vfrom"),
-        F.col(VALID_TO).alias("_vto"),
-        *[F.col(c).alias(prefix + c) for c in take],
-    )
-    joined = facts_d.join(v, (facts_d[key] == v["_vkey"]) & _in_force(facts_d["_ev"], v["_vfrom"], v["_vto"]), "left")
-    return joined.select(
-        *[facts_d[c] for c in facts.columns],
-        F.col("_vfrom").alias(prefix + VALID_FROM),
-        *[F.col(prefix + c) for c in take],
-    )
+    """JN-3: each fact with the version of its key in force on the event day, or NULLs."""
+    found = _scanned(facts, versions, key, event_col, take, version_key or key, hot_facts, False)
+    in_force = F.col(f"at.{VALID_TO}").isNull() | (F.col("_day") < F.col(f"at.{VALID_TO}"))
+    at = lambda c: F.when(in_force, F.col(f"at.{c}")).alias(prefix + c)
+    return found.select("f.*", at(VALID_FROM), *[at(c) for c in take])
 
 
 def as_of_with_fallback(
@@ -87,20 +107,16 @@ def as_of_with_fallback(
     event_col: str,
     take: Sequence[str],
     prefix: str = "v_",
+    hot_facts: int = HOT_FACTS,
 ) -> DataFrame:
-    """JN-4: the last version on or before the event day, else the key's first version."""
-    resolved = version_in_force(facts, versions, key, event_col, take, prefix)
-    first = versions.groupBy(F.col(key).alias("_fkey")).agg(
-        F.min_by(F.struct(F.col(VALID_FROM), *[F.col(c) for c in take]), F.col(VALID_FROM)).alias("_first")
-    )
-    j = resolved.join(first, resolved[key] == first["_fkey"], "left")
-    out_cols = [c for c in resolved.columns if c not in {prefix + VALID_FROM, *[prefix + c for c in take]}]
-    return j.select(
-        *[resolved[c] for c in out_cols],
-        F.coalesce(F.col(prefix + VALID_FROM), F.col(f"_first.{VALID_FROM}")).alias(prefix + VALID_FROM),
-        *[F.coalesce(F.col(prefix + c), F.col(f"_first.{c}")).alias(prefix + c) for c in take],
-        F.col(prefix + VALID_FROM).isNull().alias("used_fallback"),
-    )
+    """JN-4: the last version on or before the event day, else the key's first version.
+
+    Without a version before it, the next one is the key's first.
+    """
+    found = _scanned(facts, versions, key, event_col, take, key, hot_facts, True)
+    missing = F.col("at").isNull()
+    of = lambda c: F.when(missing, F.col(f"next.{c}")).otherwise(F.col(f"at.{c}")).alias(prefix + c)
+    return found.select("f.*", of(VALID_FROM), *[of(c) for c in take], missing.alias("used_fallback"))
 
 
 def change_log(

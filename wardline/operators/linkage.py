@@ -23,10 +23,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.functions.similarity import damerau_levenshtein_col, jaro_winkler_col
+from wardline.operators.sampling import global_rank
 
 LevelFn = Callable[[Column, Column], Column]
 
@@ -106,8 +107,8 @@ class PairComparison:
 class TextComparison:
     """Equal, or similar by Jaro-Winkler at falling thresholds; NULL on a side gives -1.
 
-    The similarity comes from a column (``with_similarities``) that is computed once per
-    distinct pair of different values.
+    The similarity comes from a column (``with_similarities``) that is computed in the task
+    that forms the pair.
     """
 
     name: str
@@ -133,13 +134,11 @@ class TextComparison:
 
 
 def with_similarities(sided: DataFrame, comparisons: Sequence) -> DataFrame:
-    """Add ``sim_<name>`` for text comparisons, from the distinct pairs of different values."""
+    """Add ``sim_<name>`` for text comparisons: whole Arrow columns, NULL where the texts are equal or one is missing."""
     for c in comparisons:
         if isinstance(c, TextComparison):
-            l, r = f"{c.column}_l", f"{c.column}_r"
-            values = sided.filter(F.col(l).isNotNull() & F.col(r).isNotNull() & (F.col(l) != F.col(r))).select(l, r).distinct()
-            values = values.withColumn(f"sim_{c.name}", jaro_winkler_col(F.col(l), F.col(r)))
-            sided = sided.join(values, [l, r], "left")
+            l, r = F.col(f"{c.column}_l"), F.col(f"{c.column}_r")
+            sided = sided.withColumn(f"sim_{c.name}", jaro_winkler_col(F.when(l != r, l), r))
     return sided
 
 
@@ -205,22 +204,71 @@ def profiles(pop: DataFrame, id_col: str, fields: Sequence[str]) -> tuple[DataFr
     return prof, members
 
 
-def block_pairs(prof: DataFrame, rules: Sequence[Sequence[str]]) -> DataFrame:
-    """LK-2/3/4: profile pairs sharing all keys of at least one rule (NULL keys never
-    block), canonical ``pid_l <= pid_r``, first matching rule kept, multiplicity ``w``."""
+#: profiles of a block that one side of a task holds, and pairs that one task forms
+SUB_BLOCK = 1024
+PAIRS_PER_TASK = 250_000
+
+
+def _known(keys: Sequence[str], side: Callable[[str], Column] = F.col) -> Column:
+    return reduce(lambda a, b: a & b, [side(c).isNotNull() for c in keys])
+
+
+def _rule_pairs(prof: DataFrame, rules: Sequence[Sequence[str]], k: int, columns: Sequence[str], sub_block: int, pairs_per_task: int) -> DataFrame:
+    """Pairs of profiles that share rule k and no earlier one.
+
+    A block of more than ``sub_block`` profiles is cut into sub-blocks by a hash of the
+    profile; every two of them (and each with itself) are a task of their own, so no task holds
+    more than two sub-blocks of a block, however many profiles share its key. As many tasks run
+    as the pairs call for, not the bytes.
+    """
+    keys = list(rules[k])
+    keyed = prof.filter(_known(keys))
+    blocks = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    pairs = blocks.select(F.sum(F.col("_rows").cast("double") * (F.col("_rows") - 1) / 2)).first()[0] or 0
+    tasks = max(1, math.ceil(pairs / pairs_per_task))
+    large = blocks.filter(F.col("_rows") > sub_block).select(*keys, F.ceil(F.col("_rows") / F.lit(sub_block)).cast("int").alias("_parts"))
+    cut = keyed.join(large, keys, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    cut = cut.withColumn("_sub", F.pmod(F.xxhash64("pid"), F.col("_parts")).cast("int"))
+    own = F.struct("pid", "n", *[F.col(c).alias(c) for c in columns])
+    deal = [f"_k{i}" for i in range(len(keys))]
+    named = [F.col(c).alias(d) for c, d in zip(keys, deal)]
+    first = cut.select(*named, F.col("_sub").alias("_i"), F.explode(F.sequence(F.col("_sub"), F.col("_parts") - 1)).alias("_j"), own.alias("a"))
+    second = cut.select(*named, F.explode(F.sequence(F.lit(0), F.col("_sub"))).alias("_i"), F.col("_sub").alias("_j"), own.alias("b"))
+    on = [*deal, "_i", "_j"]
+    met = first.repartition(tasks, *on).join(second.repartition(tasks, *on), on)
+    met = met.filter((F.col("_i") < F.col("_j")) | (F.col("a.pid") < F.col("b.pid")))
+    ordered = F.col("a.pid") < F.col("b.pid")
+    met = met.select(F.when(ordered, F.col("a")).otherwise(F.col("b")).alias("l"), F.when(ordered, F.col("b")).otherwise(F.col("a")).alias("r"))
+    for earlier in rules[:k]:
+        same = reduce(lambda x, y: x & y, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in earlier])
+        met = met.filter(~F.coalesce(same, F.lit(False)))
+    return met.withColumns({"w": F.col("l.n") * F.col("r.n"), "rule": F.lit(k)})
+
+
+def sided_pairs(prof: DataFrame, rules: Sequence[Sequence[str]], columns: Sequence[str] = (), sub_block: int = SUB_BLOCK, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """LK-2/3/4: profile pairs sharing all keys of at least one rule (NULL keys never block).
+
+    Canonical ``pid_l <= pid_r``, once each under the first matching rule, multiplicity ``w``,
+    and ``<column>_l`` / ``<column>_r`` of both sides. A pair is formed and seen in one task
+    only: no list of pairs is shuffled, and what is aggregated from it is summed there first.
+    """
+    carried = list(dict.fromkeys([*columns, *(c for keys in rules for c in keys)]))
     parts = []
     for k, keys in enumerate(rules):
-        keyed = prof.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys]))
-        l = keyed.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.col("pid").alias("pid_l"), F.col("n").alias("n_l"))
-        r = keyed.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.col("pid").alias("pid_r"), F.col("n").alias("n_r"))
-        cross = l.join(r, [f"k{i}" for i in range(len(keys))]).filter(F.col("pid_l") < F.col("pid_r"))
-        parts.append(cross.select("pid_l", "pid_r", (F.col("n_l") * F.col("n_r")).alias("w"), F.lit(k).alias("rule")))
-        self_pairs = keyed.filter(F.col("n") >= 2).select(
-            F.col("pid").alias("pid_l"), F.col("pid").alias("pid_r"), (F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("w"), F.lit(k).alias("rule")
-        )
-        parts.append(self_pairs)
+        parts.append(_rule_pairs(prof, rules, k, carried, sub_block, pairs_per_task))
+        same = prof.filter((F.col("n") >= 2) & _known(keys))
+        for earlier in rules[:k]:
+            same = same.filter(~_known(earlier))
+        own = F.struct("pid", "n", *carried)
+        parts.append(same.select(own.alias("l"), own.alias("r"), (F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("w"), F.lit(k).alias("rule")))
     union = reduce(lambda a, b: a.unionByName(b), parts)
-    return union.groupBy("pid_l", "pid_r").agg(F.min("rule").alias("rule"), F.max("w").alias("w"))
+    sides = [F.col(f"{s}.{c}").alias(f"{c}_{s}") for c in columns for s in ("l", "r")]
+    return union.select(F.col("l.pid").alias("pid_l"), F.col("r.pid").alias("pid_r"), "w", "rule", *sides)
+
+
+def block_pairs(prof: DataFrame, rules: Sequence[Sequence[str]]) -> DataFrame:
+    """The same pairs without the sides' fields: pid_l, pid_r, rule, w."""
+    return sided_pairs(prof, rules).select("pid_l", "pid_r", "rule", "w")
 
 
 def block_sizes(pop: DataFrame, rules: Sequence[Sequence[str]], id_col: str) -> DataFrame:
@@ -243,18 +291,12 @@ def block_sizes(pop: DataFrame, rules: Sequence[Sequence[str]], id_col: str) ->
     )
 
 
-def with_sides(pairs: DataFrame, prof: DataFrame, cols: Sequence[str], left: str = "pid_l", right: str = "pid_r") -> DataFrame:
-    """Attach each side's compared fields as ``<col>_l`` / ``<col>_r``."""
-    pl = prof.select(F.col("pid").alias(left), *[F.col(c).alias(f"{c}_l") for c in cols])
-    pr = prof.select(F.col("pid").alias(right), *[F.col(c).alias(f"{c}_r") for c in cols])
-    return pairs.join(pl, left).join(pr, right)
-
-
 def gammas(sided: DataFrame, comparisons: Sequence[Comparison]) -> DataFrame:
     """LK-5/6: one gamma column per comparison."""
+    columns = sided.columns
     sided = with_similarities(sided, comparisons)
     return sided.select(
-        *sided.columns,
+        *columns,
         *[c.gamma(lambda x: F.col(f"{x}_l"), lambda x: F.col(f"{x}_r")) for c in comparisons],
     )
 
@@ -278,32 +320,68 @@ def pattern_counts(gamma_pairs: DataFrame, comparisons: Sequence[Comparison], we
     return [tuple(r[c] for c in g) + (r["cnt"],) for r in rows]
 
 
-def estimate_u(pop_prof: DataFrame, comparisons: Sequence[Comparison], buckets: int = 1024, seed: int = 42) -> dict[str, dict[int, float]]:
-    """LK-8: u from pairs that are no match but by chance.
+#: LK-8: pairs drawn for u
+RANDOM_PAIRS = 10_000_000
 
-    Profiles are put into a fixed number of buckets by a seeded hash, ordered by another
-    hash within their bucket, and each is paired with its successor: about one random pair
-    per profile, weighted by the records it stands for, no cross product and no window
-    over all rows. Which profiles meet does not depend on how many there are elsewhere.
-    All comparisons are counted in one pass, as one table of patterns; a level that no
-    pair shows counts half a pair.
+
+def pair_numbers(spark: SparkSession, total: int, n: int, seed: int = 42) -> DataFrame:
+    """``q``: min(n, total) different numbers below ``total``.
+
+    All of them if they are few; else one from each of n strata of equal width, drawn by a
+    digest of (seed, stratum): independent draws, no two alike, the same in every engine.
+    """
+    if total <= n:
+        return spark.range(total).select(F.col("id").alias("q"))
+    stratum = F.col("id").cast("decimal(38,0)")
+    low = F.floor(stratum * F.lit(total).cast("decimal(19,0)") / F.lit(n)).cast("long")
+    high = F.floor((stratum + 1) * F.lit(total).cast("decimal(19,0)") / F.lit(n)).cast("long")
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("id").cast("string")).cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))
+    return spark.range(n).select((low + F.least(F.floor(draw * (high - low)), high - low - 1)).alias("q"))
+
+
+def unranked(q: Column) -> tuple[Column, Column]:
+    """The pair (low, high) of ranks from 0 that pair number q = high (high - 1) / 2 + low stands for."""
+    guess = F.floor((1 + F.sqrt(1 + 8 * q.cast("double"))) / 2).cast("long")
+    below = lambda h: F.shiftright(h * (h - 1), 1)
+    # the square root may be off by one: whole numbers settle it
+    high = F.when(below(guess) > q, guess - 1).when(below(guess + 1) <= q, guess + 1).otherwise(guess)
+    return q - below(high), high
+
+
+def random_pairs(pop: DataFrame, id_col: str, columns: Sequence[str], n: int = RANDOM_PAIRS, seed: int = 42) -> DataFrame:
+    """LK-8: min(n, all) different pairs of records, with ``<column>_l`` / ``<column>_r`` and ``w`` = 1.
+
+    Records are numbered densely by their id; a pair is a number, and its two ranks are
+    found by arithmetic. Two equi joins on unique ranks fetch the fields.
     """
-    cols = compared_columns(comparisons)
-    staged = pop_prof.select("pid", "n", F.pmod(F.xxhash64(F.lit(seed), "pid"), F.lit(buckets)).alias("_b"), F.xxhash64("pid", F.lit(seed)).alias("_h"))
-    w = Window.partitionBy("_b").orderBy("_h", "pid")
-    nxt = staged.select(
-        F.col("pid").alias("pid_l"),
-        F.lead("pid").over(w).alias("pid_r"),
-        (F.col("n") * F.lead("n").over(w)).alias("w"),
-    ).filter(F.col("pid_r").isNotNull())
-    patterns = pattern_counts(gammas(with_sides(nxt, pop_prof, cols), comparisons), comparisons)
+    ranked = global_rank(pop.select(id_col, *[c for c in columns if c != id_col]), id_col).withColumn("rank", F.col("rank") - 1)
+    records = ranked.count()
+    low, high = unranked(F.col("q"))
+    drawn = pair_numbers(pop.sparkSession, records * (records - 1) // 2, n, seed).select(low.alias("low"), high.alias("high"))
+    left = ranked.select(F.col("rank").alias("low"), *[F.col(c).alias(f"{c}_l") for c in columns])
+    right = ranked.select(F.col("rank").alias("high"), *[F.col(c).alias(f"{c}_r") for c in columns])
+    return drawn.join(left, "low").join(right, "high").drop("low", "high").withColumn("w", F.lit(1).cast("long"))
+
+
+def estimate_u(pop: DataFrame, id_col: str, comparisons: Sequence[Comparison], n: int = RANDOM_PAIRS, seed: int = 42) -> dict[str, dict[int, float]]:
+    """LK-8: u from random pairs, which are no match but by chance.
+
+    All comparisons are counted in one pass, as one table of patterns; a level that no pair
+    shows counts half a pair.
+    """
+    patterns = pattern_counts(gammas(random_pairs(pop, id_col, compared_columns(comparisons), n, seed), comparisons), comparisons)
+    return levels_share(patterns, comparisons)
+
+
+def levels_share(patterns: list[tuple], comparisons: Sequence[Comparison]) -> dict[str, dict[int, float]]:
+    """Share of each level among the pairs that show evidence; every level counts half a pair more."""
     u: dict[str, dict[int, float]] = {}
     for k, c in enumerate(comparisons):
         seen = {lv: 0.5 for lv in c.gamma_values if lv != -1}
         for row in patterns:
             if row[k] != -1:
                 seen[row[k]] += row[-1]
-        u[c.name] = {lv: n / sum(seen.values()) for lv, n in seen.items()}
+        u[c.name] = {lv: x / sum(seen.values()) for lv, x in seen.items()}
     return u
 
 

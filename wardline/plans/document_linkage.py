@@ -16,10 +16,11 @@ import math
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.operators import linkage as L
+from wardline.operators.forest import partitions_along, spanning_forest
 from wardline.operators.graph import connected_components
 from wardline.plans.catalog import query
 from wardline.session import checkpoint_dir
@@ -176,9 +177,19 @@ BASE = [POP_SQL, _pairs_sql(), _gamma_sql()]
 SCORED = [*BASE, _scored_sql(comparisons())]
 
 
+def _same(rule: int) -> Column:
+    """Both sides agree on all keys of a rule."""
+    return F.coalesce(reduce(lambda a, b: a & b, [F.col(f"{k}_l") == F.col(f"{k}_r") for k in RULES[rule]]), F.lit(False))
+
+
 @dataclass
 class Run:
-    """Candidate pairs of the population with their gammas, made once; models score them."""
+    """The population's profiles and their candidate pairs under some comparisons.
+
+    Queries that return pairs list them once (``pairs``). Queries that return counts,
+    parameters or curves use ``patterns``: pairs summed where they are formed, by gamma
+    pattern, rules of the sessions, truth, and the value whose frequency weighs.
+    """
 
     t: Tables
     comps: list = field(default_factory=comparisons)
@@ -188,16 +199,37 @@ class Run:
         self.pop = population(self.t).checkpoint()
         self.prof, self.members = L.profiles(self.pop, "id", FIELDS)
         self.prof = self.prof.checkpoint()
-        pairs = L.block_pairs(self.prof, RULES).checkpoint()
-        self.sided = L.with_sides(pairs, self.prof, FIELDS).checkpoint()
-        self.gp = L.gammas(self.sided, self.comps).checkpoint()
+        self._pairs = self._patterns = None
 
     def variant(self, comps: list) -> Run:
-        """The same candidate pairs under other comparisons."""
+        """The same population under other comparisons."""
         other = object.__new__(Run)
-        other.__dict__ = {**self.__dict__, "comps": comps, "gp": L.gammas(self.sided, comps).checkpoint()}
+        other.__dict__ = {**self.__dict__, "comps": comps, "_pairs": None, "_patterns": None}
         return other
 
+    def _formed(self) -> DataFrame:
+        truth = reduce(lambda a, b: a & b, [F.col(f"{k}_l").eqNullSafe(F.col(f"{k}_r")) for k in TRUTH_KEYS])
+        made = L.gammas(L.sided_pairs(self.prof, RULES, FIELDS), self.comps)
+        flags = {f"same_{k}": _same(k) for k, _ in SESSIONS} | {"is_true": truth}
+        weighing = [F.when(F.col(f"gamma_{c.name}") == c.top, F.col(f"{c.column}_l")).alias(f"weighs_{c.name}") for c in self.comps if c.tf]
+        return made.select("pid_l", "pid_r", "w", "rule", *[f"gamma_{c.name}" for c in self.comps], *[v.alias(k) for k, v in flags.items()], *weighing)
+
+    @property
+    def pairs(self) -> DataFrame:
+        """Profile pairs with their gammas, listed."""
+        if self._pairs is None:
+            self._pairs = self._formed().checkpoint()
+        return self._pairs
+
+    @property
+    def patterns(self) -> DataFrame:
+        """Candidate pairs as counts ``w`` per pattern."""
+        if self._patterns is None:
+            made = self._formed() if self._pairs is None else self._pairs
+            by = [c for c in made.columns if c not in ("pid_l", "pid_r", "rule", "w")]
+            self._patterns = made.groupBy(*by).agg(F.sum("w").alias("w")).checkpoint()
+        return self._patterns
+
     def prior(self) -> float:
         """LK-7: pairs of a deterministic rule / its assumed recall / all pairs."""
         det = L.block_sizes(self.pop, [DETERMINISTIC_KEYS], "id").select("n_pairs", "all_pairs").first()
@@ -207,14 +239,13 @@ class Run:
         return prior
 
     def fit(self) -> L.Model:
-        u = L.estimate_u(self.prof, self.comps)
+        u = L.estimate_u(self.pop, "id", self.comps)
         prior, n = self.prior(), self.pop.count()
         names = [c.name for c in self.comps]
         estimates: dict[str, list[dict[int, float]]] = {x: [] for x in names}
         info = []
         for rule, blocked in SESSIONS:
-            same = reduce(lambda a, b: a & b, [F.col(f"{k}_l") == F.col(f"{k}_r") for k in RULES[rule]])
-            patterns = L.pattern_counts(self.gp.filter(same), self.comps)
+            patterns = L.pattern_counts(self.patterns.filter(F.col(f"same_{rule}")), self.comps)
             train = [x for x in names if x not in blocked]
             # the session sees its own pairs only: the expected matches against those
             expected, seen = prior * n * (n - 1) / 2, sum(p[-1] for p in patterns)
@@ -228,16 +259,17 @@ class Run:
         L.refuse_degenerate(model, self.comps)
         return model
 
-    def scored(self, model: L.Model) -> DataFrame:
-        gp, tf_cols = self.gp, {}
+    def scored(self, model: L.Model, of: DataFrame | None = None) -> DataFrame:
+        """``of`` (the listed pairs, or the patterns) with match_weight and probability."""
+        out, tf_cols = self.pairs if of is None else of, {}
         for c in self.comps:
             if c.tf:  # the table is data: rebuilt from the population whenever a model is used
-                tf = L.term_frequencies(self.prof, c.column).select(F.col(c.column).alias(f"{c.column}_l"), F.col(f"tf_{c.column}").alias(f"_tf_{c.name}"))
-                gp = gp.join(tf, f"{c.column}_l", "left")
+                value = f"weighs_{c.name}"
+                tf = L.term_frequencies(self.prof, c.column).select(F.col(c.column).alias(value), F.col(f"tf_{c.column}").alias(f"_tf_{c.name}"))
+                out = out.join(tf, value, "left")
                 tf_cols[c.name] = f"_tf_{c.name}"
-        truth = reduce(lambda a, b: a & b, [F.col(f"{k}_l").eqNullSafe(F.col(f"{k}_r")) for k in TRUTH_KEYS])
         weight = F.round(L.weight_expr(model, self.comps, tf_cols), 9)
-        return gp.withColumn("match_weight", weight).withColumn("probability", F.round(L.probability(F.col("match_weight")), 9)).withColumn("is_true", truth)
+        return out.withColumn("match_weight", weight).withColumn("probability", F.round(L.probability(F.col("match_weight")), 9))
 
     def record_pairs(self, pairs: DataFrame) -> DataFrame:
         """Profile pairs as record pairs (id1 < id2)."""
@@ -270,34 +302,54 @@ class Run:
         sizes = out.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("cluster_size"))
         return out.join(sizes, "cluster_id").select("id", "cluster_id", "cluster_size")
 
-    def cluster_metrics(self, clusters: DataFrame) -> DataFrame:
-        """LK-15: one row of metrics of a partition against the true one.
+    def metrics_along(self, scored: DataFrame, grid: list[float]) -> DataFrame:
+        """LK-13/15: metrics of the partition at every threshold of the grid against the true one.
 
         Global scope is all records; the restricted scope is the records that have a true
-        partner. A true cluster is found if one cluster holds exactly its records.
+        partner. A true cluster is found if one cluster holds exactly its records. All partitions
+        come from one spanning forest. Clusters of one record are counted, not listed.
         """
-        truth = self.truth()
-        sizes = truth.groupBy("true_cluster").agg(F.count(F.lit(1)).alias("true_size"))
-        both = clusters.join(truth, "id").join(sizes, "true_cluster")
-        cells = both.groupBy("cluster_id", "true_cluster", "cluster_size", "true_size").agg(F.count(F.lit(1)).alias("n"))
-        found = (F.col("n") == F.col("cluster_size")) & (F.col("n") == F.col("true_size"))
+        grid = sorted(grid)
+        known = self.pop.filter(F.col("signature").isNotNull()).groupBy("signature").agg(F.count(F.lit(1)).alias("true_size"))
+        prof = self.prof.select("pid", "n", "signature").join(known, "signature", "left").withColumn("true_size", F.coalesce("true_size", F.lit(1))).checkpoint()
+        nulls = F.col("signature").isNull()
         multi = F.col("true_size") > 1
-        return cells.agg(
-            F.sum("n").cast("long").alias("n_records"),
-            F.countDistinct("cluster_id").alias("n_clusters"),
-            F.countDistinct(F.when(F.col("cluster_size") > 1, F.col("cluster_id"))).alias("n_multi_clusters"),
-            F.countDistinct("true_cluster").alias("n_true_clusters"),
-            F.count_if(found).alias("n_found"),
-            F.countDistinct(F.when(multi, F.col("true_cluster"))).alias("n_true_restricted"),
-            F.count_if(found & multi).alias("n_found_restricted"),
-            F.sum(F.when(F.col("n") < F.col("cluster_size"), F.col("n")).otherwise(0)).cast("long").alias("n_over_merged_records"),
-            F.max("cluster_size").alias("max_cluster_size"),
+        true = known.agg(F.count(F.lit(1)).alias("s"), F.count_if(multi).alias("m"))
+        total = prof.agg(F.sum("n").alias("n"), F.sum(F.when(nulls, F.col("n")).otherwise(0)).alias("z"), F.sum(F.when(multi, 0).otherwise(F.col("n"))).alias("ones"))
+        total = [F.coalesce(x, F.lit(0)) for x in (total.select("n").scalar(), (total.select("z").scalar() + true.select("s").scalar()), total.select("ones").scalar(), true.select("m").scalar())]
+        near = scored.filter(F.col("probability") >= grid[0])
+        forest = spanning_forest(near, "pid_l", "pid_r", "probability")
+        alone = near.filter(F.col("pid_l") == F.col("pid_r")).select(F.col("pid_l").alias("node"), F.col("probability").alias("weight"))
+        listed = partitions_along(forest, alone, grid, "pid_l", "pid_r", "probability").withColumnRenamed("node", "pid").join(prof, "pid")
+        # a cluster holds records of one true cluster only if its signatures are one and none is missing
+        pure = (F.min("signature") == F.max("signature")) & ~F.bool_or(nulls)
+        clusters = listed.groupBy("step", "component").agg(F.sum("n").alias("size"), F.coalesce(pure, F.lit(False)).alias("pure"), F.max("true_size").alias("true_size"), F.sum(F.when(multi, 0).otherwise(F.col("n"))).alias("ones"))
+        found = F.col("pure") & (F.col("size") == F.col("true_size"))
+        per = clusters.groupBy("step").agg(
+            F.sum("size").alias("records"), F.count(F.lit(1)).alias("clusters"), F.count_if(F.col("size") > 1).alias("multi"), F.count_if(found).alias("found"),
+            F.sum("ones").alias("ones"), F.sum(F.when(F.col("pure"), 0).otherwise(F.col("size"))).alias("mixed"), F.max("size").alias("largest"),
+        )
+        steps = self.t.spark.createDataFrame([(i, float(t)) for i, t in enumerate(grid)], "step int, threshold double")
+        at = lambda c, least=0: F.coalesce(F.col(c), F.lit(least))
+        n, n_true, ones, n_multi = total
+        return steps.join(F.broadcast(per), "step", "left").select(
+            "threshold",
+            n.cast("long").alias("n_records"),
+            (n - at("records") + at("clusters")).cast("long").alias("n_clusters"),
+            at("multi").cast("long").alias("n_multi_clusters"),
+            n_true.cast("long").alias("n_true_clusters"),
+            (at("found") + ones - at("ones")).cast("long").alias("n_found"),
+            n_multi.cast("long").alias("n_true_restricted"),
+            at("found").cast("long").alias("n_found_restricted"),
+            at("mixed").cast("long").alias("n_over_merged_records"),
+            at("largest", 1).cast("long").alias("max_cluster_size"),
         )
 
 
-def fixed_run(spark, sf_dir) -> tuple[Run, DataFrame]:
+def fixed_run(spark, sf_dir, patterns: bool = False) -> tuple[Run, DataFrame]:
+    """Pairs, or patterns only, scored by the fixed model."""
     run = Run(Tables(spark, sf_dir))
-    return run, run.scored(fixed_model(run.comps)).checkpoint()
+    return run, run.scored(fixed_model(run.comps), run.patterns if patterns else None).checkpoint()
 
 
 def _clusters_sql(thresholds) -> str:
@@ -342,7 +394,7 @@ def lkd1_population(spark, sf_dir):
 def lkd2_candidate_pairs(spark, sf_dir):
     """Candidate pairs by four selective rules, first rule kept, with all comparison levels."""
     run = Run(Tables(spark, sf_dir))
-    return run.record_pairs(run.gp).select("id1", "id2", "rule", *GAMMAS)
+    return run.record_pairs(run.pairs).select("id1", "id2", "rule", *GAMMAS)
 
 
 @query(
@@ -379,7 +431,7 @@ FROM (SELECT t, COUNT(*) FILTER (WHERE probability >= t AND is_true) AS tp, COUN
 )
 def lkd13_threshold_sweep_fixed(spark, sf_dir):
     """True and false pairs, precision, recall and F at the thresholds 0.50 to 0.99."""
-    run, scored = fixed_run(spark, sf_dir)
+    run, scored = fixed_run(spark, sf_dir, patterns=True)
     return L.threshold_sweep(scored, "is_true", F.lit(run.truth_pairs()), GRID)
 
 
@@ -396,12 +448,12 @@ SELECT 'low_mode', round(q, 6) FROM (SELECT unnest(quantile_cont(match_weight, [
 def lkd14_weight_grids_fixed(spark, sf_dir):
     """Threshold grids in weight space: ten steps between the modes (below and above even
     odds), and the deciles of the low mode."""
-    run, scored = fixed_run(spark, sf_dir)
-    pairs = run.record_pairs(scored).select("match_weight")
-    low, high = pairs.filter("match_weight < 0"), pairs.filter("match_weight >= 0")
+    run, scored = fixed_run(spark, sf_dir, patterns=True)
+    weights = scored.groupBy("match_weight").agg(F.sum("w").alias("w"))  # one row per different weight
+    low, high = weights.filter("match_weight < 0"), weights.filter("match_weight >= 0")
     ends = spark.range(11).select(F.col("id").alias("k"), low.select(F.max("match_weight")).scalar().alias("a"), high.select(F.min("match_weight")).scalar().alias("b"))
     between = ends.select(F.lit("between_modes").alias("grid"), F.round(F.col("a") + (F.col("b") - F.col("a")) * F.col("k") / 10.0, 6).alias("weight"))
-    deciles = low.agg(F.percentile("match_weight", F.array(*[F.lit(k / 10) for k in range(1, 10)])).alias("q"))
+    deciles = low.agg(F.percentile("match_weight", F.array(*[F.lit(k / 10) for k in range(1, 10)]), F.col("w")).alias("q"))
     return between.unionByName(deciles.select(F.explode("q").alias("weight")).select(F.lit("low_mode").alias("grid"), F.round("weight", 6).alias("weight")))
 
 
@@ -413,8 +465,18 @@ def lkd14_weight_grids_fixed(spark, sf_dir):
 def lkd15_cluster_metrics_fixed(spark, sf_dir):
     """Cluster metrics at each of three thresholds, global and restricted scope."""
     run, scored = fixed_run(spark, sf_dir)
-    parts = [run.cluster_metrics(run.clusters(scored, t)).withColumn("threshold", F.lit(t)) for t in METRIC_THRESHOLDS]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return run.metrics_along(scored, list(METRIC_THRESHOLDS))
+
+
+@query(
+    "lkd13_cluster_metrics_all_thresholds",
+    sql=_with(*SCORED, _clusters_sql(GRID), recursive=True).rstrip() + ",\n" + METRICS_SQL,
+    ops=("LK-13", "LK-15", "LK-16", "IN-39", "IN-54"),
+)
+def lkd13_cluster_metrics_all_thresholds(spark, sf_dir):
+    """Cluster metrics at every threshold of the grid 0.50 to 0.99, from one spanning forest."""
+    run, scored = fixed_run(spark, sf_dir)
+    return run.metrics_along(scored, GRID)
 
 
 @query(
@@ -473,9 +535,9 @@ WHERE a.is_true AND a.probability >= {THRESHOLD} AND b.probability < {THRESHOLD}
 def lkd20_lost_true_pairs(spark, sf_dir):
     """Ten true pairs that the variant without the closing words loses, with their levels."""
     run, full = fixed_run(spark, sf_dir)
-    other = run.variant(NO_CLOSING)
-    variant = other.scored(fixed_model(NO_CLOSING)).select("pid_l", "pid_r", F.col("match_weight").alias("weight_variant"), F.col("probability").alias("p_variant"))
-    lost = full.join(variant, ["pid_l", "pid_r"]).filter(F.col("is_true") & (F.col("probability") >= THRESHOLD) & (F.col("p_variant") < THRESHOLD))
+    weight = F.round(L.weight_expr(fixed_model(NO_CLOSING), NO_CLOSING, {c.name: f"_tf_{c.name}" for c in NO_CLOSING if c.tf}), 9)
+    both = full.withColumn("weight_variant", weight).withColumn("p_variant", F.round(L.probability(F.col("weight_variant")), 9))
+    lost = both.filter(F.col("is_true") & (F.col("probability") >= THRESHOLD) & (F.col("p_variant") < THRESHOLD))
     return run.record_pairs(lost).select("id1", "id2", *GAMMAS, F.col("match_weight").alias("weight_full"), "weight_variant").orderBy("id1", "id2").limit(10)
 
 
@@ -501,7 +563,7 @@ def lk18_ablation(spark, sf_dir):
     parts = []
     for name, comps in variants.items():
         one = run.variant(comps)
-        scored = one.scored(one.fit())
+        scored = one.scored(one.fit(), one.patterns)
         hit = F.col("probability") >= THRESHOLD
         weigh = lambda cond: F.sum(F.when(cond, F.col("w") * F.col("match_weight"))) / F.sum(F.when(cond, F.col("w")))
         parts.append(
@@ -516,9 +578,11 @@ def lk18_ablation(spark, sf_dir):
     return out.withColumn("n_truth", F.lit(n_truth)).withColumn("recall", F.round(F.try_divide(F.col("n_true_positive"), F.col("n_truth")), 6))
 
 
-def fitted_run(spark, sf_dir) -> tuple[Run, DataFrame]:
+def fitted_run(spark, sf_dir, patterns: bool = False) -> tuple[Run, DataFrame]:
+    """Pairs, or patterns only, scored by the fitted model."""
     run = Run(Tables(spark, sf_dir))
-    return run, run.scored(run.fit()).checkpoint()
+    listed = None if patterns else run.pairs  # listed before the fit: its patterns then come from the list
+    return run, run.scored(run.fit(), run.patterns if listed is None else listed).checkpoint()
 
 
 @query("lk11_scored_pairs", sql=None, ops=("LK-10", "LK-11", "FN-22"), bench=True)
@@ -538,7 +602,7 @@ def lk12_clusters(spark, sf_dir):
 @query("lk13_threshold_sweep", sql=None, ops=("LK-13", "LK-14", "IN-39", "IN-37"))
 def lk13_threshold_sweep(spark, sf_dir):
     """Pair metrics of the fitted model per threshold."""
-    run, scored = fitted_run(spark, sf_dir)
+    run, scored = fitted_run(spark, sf_dir, patterns=True)
     return L.threshold_sweep(scored, "is_true", F.lit(run.truth_pairs()), GRID)
 
 
@@ -546,7 +610,7 @@ def lk13_threshold_sweep(spark, sf_dir):
 def lk15_cluster_metrics(spark, sf_dir):
     """Cluster metrics of the fitted model at the applied threshold."""
     run, scored = fitted_run(spark, sf_dir)
-    return run.cluster_metrics(run.clusters(scored)).withColumn("threshold", F.lit(THRESHOLD))
+    return run.metrics_along(scored, [THRESHOLD])
 
 
 @query("snk15_linkage_tables", sql=None, ops=("SNK-15", "LK-22"))
