@@ -3,6 +3,9 @@
 import collections
 import random
 
+import numpy as np
+import xxhash
+
 from wardline.llm import order_minhash as om
 
 SF = "/root/testdata/sf0.01"
@@ -68,6 +71,20 @@ def test_documents(spark):
     assert all(r["kept"] == (r["doc_id"] == r["class_id"]) for r in rows)
 
 
+def test_histograms_never_undercount_shared_words():
+    rnd = random.Random(8)
+    for _ in range(400):
+        sides = []
+        for _ in range(2):
+            n = rnd.choice((0, 1, 5, 60, 300, 9000))
+            ws = [f"w{rnd.randrange(rnd.choice((3, 500, 10**6)))}" for _ in range(n)]
+            ids = np.array([xxhash.xxh64_intdigest(w) for w in ws], np.uint64)
+            sides.append((collections.Counter(ws), om._counters(om.histogram(ids), n), n))
+        (x, hx, nx), (y, hy, ny) = sides
+        assert hx.sum() == nx and hy.sum() == ny
+        assert sum((x & y).values()) <= om.shared_at_most(hx, hy) == om.shared_at_most(hy, hx) <= min(nx, ny)
+
+
 def edited(words, rnd, share):
     return " ".join(w if rnd.random() > share else f"z{rnd.randrange(9999)}" for w in words)
 

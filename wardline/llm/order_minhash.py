@@ -16,15 +16,22 @@ inside the diagonal band that the threshold allows (a wider match could not reac
 a share of the longer text's words; ``SIMILARITY`` or more links. Groups are the connected
 components of the links.
 
+Before any text moves, pairs are tried on histograms: a text's words hashed to counters,
+about two words to one. The sum of the smaller counters of two texts is never below the
+words that they share, so a pair that falls short of the threshold there can't reach it.
+For what is left, a text goes once to each block of ``BESIDE`` partners, not once per pair.
+
 A bucket (documents that agree in one sketch) is never expanded into all its pairs:
-1. every member is compared with the bucket's first member, over all buckets at once;
-   links merge members into components;
+1. every member is compared with the bucket's first member, over all buckets at once
+   (with the first of its firsts, then with those of other components); links merge
+   members into components;
 2. in buckets that still hold several components, the members outside the first one's
    component are compared with one of them, another in each bucket;
 3. what is left are pairs of members from different components. Buckets with up to
    ``LARGE`` members are compared pair by pair; in larger ones (much text that unlike
    documents share) blocks of members are compared with each other, in tasks of two
-   blocks that return links only.
+   blocks: by histograms first, which leave the members that may have a partner, whose
+   texts are then compared in the same way; tasks return links only.
 Pairs within one component are not needed: the group is the result. No candidate is
 dropped at any size.
 
@@ -47,6 +54,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import cut, fresh, tidy
 from wardline.operators.graph import connected_components
+from wardline.sinks.scratch import Scratch
 
 K = 5
 PICKS = 3
@@ -56,6 +64,8 @@ PAIR_PICKS = 2
 MISSED = 0.02
 LARGE = 32
 BLOCK = 512
+BESIDE = 256
+COUNTERS = 64, 4096
 BROADCAST_ROWS = 200_000
 
 _WORD = re.compile(r"\w+")
@@ -158,6 +168,27 @@ def aligned_words(a: list, b: list, band: int) -> int:
     return head + tail + len(b) - row.bit_count()
 
 
+def histogram(ids: np.ndarray) -> bytes:
+    """Words counted by the low bits of their hashes: a power of two of counters, a byte each where that is enough."""
+    least, most = COUNTERS
+    size = min(max(least, 1 << max(0, len(ids) // 2 - 1).bit_length()), most)
+    counts = np.bincount((ids & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else "<u4").tobytes()
+
+
+def _counters(packed: bytes, n: int) -> np.ndarray:
+    """A histogram's counters; their sum, the number of words, tells bytes from longer numbers."""
+    counts = np.frombuffer(packed, np.uint8).astype(np.int64)
+    return counts if counts.sum() == n and len(counts) <= COUNTERS[1] else np.frombuffer(packed, "<u4").astype(np.int64)
+
+
+def shared_at_most(x: np.ndarray, y: np.ndarray) -> int:
+    """No two texts with these counters share more words."""
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.minimum(x.reshape(-1, len(y)).sum(axis=0), y).sum())
+
+
 def similarity(a: str, b: str, least: float = SIMILARITY) -> float:
     """Aligned words as a share of the longer text's; 0 if the lengths alone rule ``least`` out."""
     x, y = words(a), words(b)
@@ -184,17 +215,33 @@ def _sketch_batches(least: float):
         known: dict[str, int] = {}
         for batch in batches:
             done: dict[str, tuple] = {}
-            n, sk = [], []
+            made = []
             for key, text in zip(batch["key"], batch["text"]):
                 if key not in done:
                     ws = words(text)
                     if len(known) > 200_000:
                         known.clear()
                     ids = np.fromiter((known[w] if w in known else known.setdefault(w, xxhash.xxh64_intdigest(w)) for w in ws), np.uint64, len(ws))
-                    done[key] = (len(ws), order_sketches(ids, least) if ws else None)
-                n.append(done[key][0])
-                sk.append(done[key][1])
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "key": batch["key"], "n": n, "sk": sk})
+                    done[key] = (len(ws), order_sketches(ids, least) if ws else None, histogram(ids))
+                made.append(done[key])
+            n, sk, hist = zip(*made) if made else ((), (), ())
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "key": batch["key"], "n": n, "sk": sk, "hist": hist})
+
+    return run
+
+
+def _likely_batches(least: float):
+    """Pairs whose histograms leave the threshold possible."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            one: dict[int, np.ndarray] = {}
+            ok = []
+            for a, na, xa, nb, xb in zip(batch["a"], batch["na"], batch["xa"], batch["nb"], batch["xb"]):
+                if a not in one:
+                    one[a] = _counters(xa, na)
+                ok.append(shared_at_most(one[a], _counters(xb, nb)) >= least * max(na, nb))
+            yield batch.loc[ok, ["a", "b"]]
 
     return run
 
@@ -202,7 +249,7 @@ def _sketch_batches(least: float):
 def _verify_batches(least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ok = [similarity(x, y, least) >= least for x, y in zip(batch["ta"], batch["tb"])]
+            ok = [similarity(x, y, least) >= least for x, y in zip(batch["xa"], batch["xb"])]
             yield batch.loc[ok, ["a", "b"]]
 
     return run
@@ -213,84 +260,111 @@ def _light(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-class _Texts:
-    """Candidate texts by class, fetched once for all classes that share a bucket."""
+def _beside(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the other columns of ``table`` (node, ...) for both ends, as <column>a and <column>b.
+
+    What belongs to a goes once to each block of its partners.
+    """
+    named = lambda end: table.select(F.col("node").alias(end), *[F.col(c).alias(c + end) for c in table.columns if c != "node"])
+    many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(BESIDE)).alias("parts"))
+    placed = cut(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("block")))
+    once = placed.select("a", "block").distinct().join(named("a"), "a")
+    return placed.join(named("b"), "b").join(once, ["a", "block"]).drop("block")
+
+
+class _Verifier:
+    """Which pairs of classes are alike: by length, by histogram, then by their texts."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, scratch: Scratch, least: float):
+        self.docs, self.classes, self.scratch, self.least = docs, classes, scratch, least
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, nodes: DataFrame):
-        wanted = _light(cut(classes.join(nodes.distinct(), "node").select("node", F.col("key").alias("k"), F.col("rep").alias("r"))))
-        rows = docs.join(wanted, (docs["key"] == wanted["k"]) & docs["doc_id"].eqNullSafe(wanted["r"]))
-        self.df = cut(rows.select("node", "text").dropDuplicates(["node"]))
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """(node, x) of the given nodes: the one place where texts leave the documents."""
+        wanted = _light(cut(self.classes.join(nodes.distinct(), "node").select("node", F.col("key").alias("k"), F.col("rep").alias("r"))))
+        rows = self.docs.join(wanted, (self.docs["key"] == wanted["k"]) & self.docs["doc_id"].eqNullSafe(wanted["r"]))
+        return rows.select("node", F.col("text").alias("x")).dropDuplicates(["node"])
 
-    def verified(self, pairs: DataFrame, least: float) -> DataFrame:
-        """The pairs (a, b) that align."""
-        one = self.df.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-        two = self.df.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-        full = cut(pairs).join(two, "b").join(one, "a").select("a", "b", "ta", "tb")
-        return cut(full.mapInPandas(tidy(_verify_batches(least)), "a long, b long"))
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b), whose lengths fit, that align."""
+        made = _beside(pairs, self.classes.select("node", "n", F.col("hist").alias("x")))
+        likely = cut(made.mapInPandas(tidy(_likely_batches(self.least)), "a long, b long"))
+        texts = self.scratch.keep(self.texts(likely.select(F.explode(F.array("a", "b")).alias("node"))), "texts")
+        found = _beside(likely, texts).select("a", "b", "xa", "xb").mapInPandas(tidy(_verify_batches(self.least)), "a long, b long")
+        return cut(found)
 
 
 def _fits(x: str, y: str, least: float):
     return F.least(x, y) >= F.greatest(x, y) * F.lit(least)
 
 
-def text_classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Equal texts as one row: (node, key, rep, n, sk); key is the text's digest, node a number for it."""
+def text_classes(docs: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """Equal texts as one row: (node, key, rep, n, sk, hist); key is the text's digest, node a number for it."""
     rows = docs.where(F.col("key").isNotNull()).select("doc_id", "key", "text")
-    sketched = rows.mapInPandas(tidy(_sketch_batches(least)), "doc_id long, key string, n int, sk array<long>")
-    classes = cut(sketched.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk")))
-    # numbered behind the cut: the same rows get the same numbers whenever they are read again
-    return classes.withColumn("node", F.monotonically_increasing_id())
+    sketched = rows.mapInPandas(tidy(_sketch_batches(least)), "doc_id long, key string, n int, sk array<long>, hist binary")
+    classes = sketched.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sk").alias("sk"), F.first("hist").alias("hist"))
+    return scratch.keep(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def find_links(docs: DataFrame, classes: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def find_links(docs: DataFrame, classes: DataFrame, least: float, scratch: Scratch) -> DataFrame:
     """Verified pairs (a, b) of text classes, enough to connect all classes alike."""
-    drawn = classes.select("node", F.posexplode("sk").alias("slot", "bucket"))
-    shared = drawn.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    shared = cut(shared.where(F.col("first") < F.col("last")).select("bucket", "first"))
-    members = cut(drawn.join(shared, "bucket"))
-    nodes = cut(members.select("node").distinct())
-    texts = _Texts(docs, classes, nodes)
-    words_in = cut(classes.select("node", "n").join(nodes, "node"))
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        """The distinct pairs (a, b) whose lengths leave the similarity possible, verified."""
-        one = words_in.select(F.col("node").alias("a"), F.col("n").alias("na"))
-        two = words_in.select(F.col("node").alias("b"), F.col("n").alias("nb"))
-        fitting = pairs.where(F.col("a") != F.col("b")).distinct().join(one, "a").join(two, "b").where(_fits("na", "nb", least))
-        return texts.verified(fitting.select("a", "b"), least)
-
-    def components(links: DataFrame) -> DataFrame:
-        return cut(connected_components(nodes, links, "node", "a", "b").withColumnRenamed("component", "part"))
-
-    links = compared(members.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    drawn = classes.select("node", "n", F.posexplode("sk").alias("slot", "bucket"))
+    shared = drawn.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("first"), F.max("node").alias("last"))
+    shared = shared.where(F.col("first.node") < F.col("last")).select("bucket", F.col("first.node").alias("first"), F.col("first.n").alias("first_n"))
+    members = scratch.keep(drawn.join(shared, "bucket"), "members")
+    verifier = _Verifier(docs, classes, scratch, least)
+
+    def parts(links: DataFrame) -> DataFrame:
+        """(node, part) of the nodes that have a link."""
+        ends = links.select(F.explode(F.array("a", "b")).alias("node"))
+        return scratch.keep(connected_components(ends, links, "node", "a", "b").withColumnRenamed("component", "part"), "parts")
+
+    def across(pairs: DataFrame, part: DataFrame) -> DataFrame:
+        """Pairs whose ends are not in one component yet."""
+        one = part.select(F.col("node").alias("a"), F.col("part").alias("pa"))
+        two = part.select(F.col("node").alias("b"), F.col("part").alias("pb"))
+        both = pairs.join(one, "a", "left").join(two, "b", "left")
+        return both.where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
+
+    def fitting(pairs: DataFrame) -> DataFrame:
+        return pairs.where((F.col("a") != F.col("b")) & _fits("na", "nb", least)).select("a", "b").distinct()
+
+    firsts = scratch.keep(fitting(members.select(F.col("first").alias("a"), F.col("first_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))), "firsts")
+    links = verifier.verified(firsts.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = cut(links.unionByName(verifier.verified(across(firsts, parts(links)))))
     # members outside the component of their bucket's first member, against one of them: another in each bucket
-    outside = _placed(members, components(links)).where("outer").select("bucket", "node")
-    second = cut(outside.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", "bucket")).alias("a")))
-    links = cut(links.unionByName(compared(outside.join(second, "bucket").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))))
+    outside = _placed(members, parts(links), scratch).where("outer").select("bucket", "node", "n")
+    second = outside.groupBy("bucket").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", "bucket")).alias("s"))
+    met = outside.join(second, "bucket").select(F.least("s.node", "node").alias("a"), F.greatest("s.node", "node").alias("b"), F.col("s.n").alias("na"), F.col("n").alias("nb"))
+    links = cut(links.unionByName(verifier.verified(fitting(met))))
     # what is left: pairs across components, one of them outside the first member's component
-    placed = _placed(members, components(links))
+    placed = _placed(members, parts(links), scratch)
     counts = placed.groupBy("bucket").agg(F.count_if("outer").alias("n_outer"), F.count_if(~F.col("outer")).alias("n_inner"))
-    counts = cut(counts.where("n_outer > 0"))
-    left = cut(placed.join(counts, "bucket"))
+    left = scratch.keep(placed.join(counts.where("n_outer > 0"), "bucket"), "left")
     few = left.where(F.col("n_outer") + F.col("n_inner") <= LARGE)
-    mate = few.where("outer").select("bucket", F.col("node").alias("mate"), F.col("part").alias("mate_part"))
-    pairs = few.join(mate, "bucket").where(F.col("part") != F.col("mate_part")).select(F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b"))
-    return cut(links.unionByName(compared(pairs)).unionByName(_compared_in_blocks(left.where(F.col("n_outer") + F.col("n_inner") > LARGE), classes, texts, least)))
+    mate = few.where("outer").select("bucket", F.col("node").alias("mate"), F.col("n").alias("mate_n"), F.col("part").alias("mate_part"))
+    met = few.join(mate, "bucket").where(F.col("part") != F.col("mate_part"))
+    met = met.select(F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b"), F.col("n").alias("na"), F.col("mate_n").alias("nb"))
+    links = cut(links.unionByName(verifier.verified(fitting(met))))
+    return cut(links.unionByName(_compared_in_blocks(left.where(F.col("n_outer") + F.col("n_inner") > LARGE), verifier)))
 
 
-def _placed(members: DataFrame, part: DataFrame) -> DataFrame:
+def _placed(members: DataFrame, part: DataFrame, scratch: Scratch) -> DataFrame:
     """Members with their component, and whether it is another than the bucket's first member's."""
     first = part.select(F.col("node").alias("first"), F.col("part").alias("first_part"))
-    found = members.join(part, "node").join(first, "first")
-    return cut(found.select("bucket", "slot", "node", "part", (F.col("part") != F.col("first_part")).alias("outer")))
+    found = members.join(part, "node", "left").join(first, "first", "left")
+    found = found.withColumns({"part": F.coalesce("part", "node"), "first_part": F.coalesce("first_part", "first")})
+    return scratch.keep(found.select("bucket", "slot", "node", "n", "part", (F.col("part") != F.col("first_part")).alias("outer")), "placed")
 
 
-def _compared_in_blocks(left: DataFrame, classes: DataFrame, texts: _Texts, least: float) -> DataFrame:
+def _compared_in_blocks(left: DataFrame, verifier: _Verifier) -> DataFrame:
     """Links across components in large buckets: blocks of ``BLOCK`` members against each other.
 
-    A task holds two blocks and returns links only, one for each two components that it
-    finds to be alike, so nothing grows with the pairs but the comparisons themselves.
+    A task holds two blocks. By their histograms it returns the members that may have a
+    partner; only these members' texts are dealt to the same tasks, which return links,
+    one for each two components found to be alike. Nothing grows with the pairs but the
+    comparisons themselves.
     """
+    least = verifier.least
     outer_blocks, inner_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_outer", "n_inner"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("outer"), outer_blocks).otherwise(inner_blocks)).cast("int")
     task = lambda x, y, inner: F.struct(x.alias("x"), y.alias("y"), F.lit(inner).alias("inner"))
@@ -300,27 +374,62 @@ def _compared_in_blocks(left: DataFrame, classes: DataFrame, texts: _Texts, leas
     of_outer = F.concat(among, F.coalesce(with_inner, F.array().cast("array<struct<x:int,y:int,inner:boolean>>")))
     tasks = F.when(F.col("outer"), of_outer).otherwise(F.transform(ks, lambda k: task(k, F.col("own"), True)))
     rows = left.withColumn("own", own).select("bucket", "slot", "node", "part", "outer", "own", F.explode(tasks).alias("t"))
-    rows = rows.join(classes.select("node", "n", "sk"), "node").join(texts.df, "node")
-    grouped = rows.select("bucket", "slot", "node", "part", "outer", "own", "t.x", "t.y", "t.inner", "n", "sk", "text").groupBy("bucket", "x", "y", "inner")
-    return grouped.applyInPandas(_block_links(least), "a long, b long")
+    rows = rows.select("bucket", "slot", "node", "part", "outer", "own", "t.x", "t.y", "t.inner")
+    by = ["bucket", "x", "y", "inner"]
+    known = rows.join(verifier.classes.select("node", "n", "sk", "hist"), "node")
+    may = cut(known.groupBy(*by).applyInPandas(_may_have_partners(least), "bucket long, x int, y int, inner boolean, node long"))
+    texts = verifier.scratch.keep(verifier.texts(may.select("node")).withColumnRenamed("x", "text"), "texts")
+    asked = rows.join(may, [*by, "node"]).join(verifier.classes.select("node", "n", "sk"), "node").join(texts, "node")
+    return asked.groupBy(*by).applyInPandas(_block_links(least), "a long, b long")
+
+
+def _allowed(rows: pd.DataFrame, least: float) -> np.ndarray:
+    """Pairs that a task has to compare: across components and sides, of fitting lengths, not met in an earlier sketch."""
+    x, y, inner, slot = (rows[c].iloc[0] for c in ("x", "y", "inner", "slot"))
+    n, part, outer, own = (rows[c].to_numpy() for c in ("n", "part", "outer", "own"))
+    allowed = np.triu(np.ones((len(rows), len(rows)), bool), 1) & (part[:, None] != part[None, :])
+    if inner:
+        allowed &= outer[:, None] != outer[None, :]
+    elif x != y:
+        allowed &= own[:, None] != own[None, :]
+    allowed &= np.minimum(n[:, None], n[None, :]) >= least * np.maximum(n[:, None], n[None, :])
+    # a pair that agrees in an earlier sketch is compared in that bucket
+    sk = np.stack([np.asarray(v, np.int64) for v in rows["sk"]])
+    for j in range(int(slot)):
+        allowed &= sk[:, None, j] != sk[None, :, j]
+    return allowed
+
+
+def _may_have_partners(least: float):
+    names = ["bucket", "x", "y", "inner", "node"]
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        allowed = _allowed(rows, least)
+        n = rows["n"].to_numpy()
+        held = [_counters(h, k) for h, k in zip(rows["hist"], n)]
+        sizes = np.array([len(h) for h in held])
+        may = np.zeros(len(rows), bool)
+        for size in np.unique(sizes):  # texts with fewer counters set the measure
+            # all texts folded to that size once; each of that size against all with as many or more
+            at = np.flatnonzero(sizes >= size)
+            folded = np.stack([held[i].reshape(-1, size).sum(axis=0) for i in at])
+            for i in np.flatnonzero(sizes == size):
+                pairs = allowed[i, at] | allowed[at, i]
+                if pairs.any():
+                    most = np.minimum(folded[pairs], held[i]).sum(axis=1)
+                    hit = at[pairs][most >= least * np.maximum(n[i], n[at[pairs]])]
+                    if len(hit):
+                        may[i] = True
+                        may[hit] = True
+        return rows.loc[may, names]
+
+    return run
 
 
 def _block_links(least: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        x, y, inner, slot = (rows[c].iloc[0] for c in ("x", "y", "inner", "slot"))
-        n = rows["n"].to_numpy()
-        part, outer, own, node = (rows[c].to_numpy() for c in ("part", "outer", "own", "node"))
-        size = len(rows)
-        allowed = np.triu(np.ones((size, size), bool), 1) & (part[:, None] != part[None, :])
-        if inner:
-            allowed &= outer[:, None] != outer[None, :]
-        elif x != y:
-            allowed &= own[:, None] != own[None, :]
-        allowed &= np.minimum(n[:, None], n[None, :]) >= least * np.maximum(n[:, None], n[None, :])
-        # a pair that agrees in an earlier sketch is compared in that bucket
-        sk = np.stack([np.asarray(v, np.int64) for v in rows["sk"]])
-        for j in range(int(slot)):
-            allowed &= sk[:, None, j] != sk[None, :, j]
+        n, part, node = (rows[c].to_numpy() for c in ("n", "part", "node"))
+        allowed = _allowed(rows, least)
         if not allowed.any():
             return pd.DataFrame({"a": [], "b": []}).astype("int64")
         said = [words(t) for t in rows["text"]]
@@ -365,24 +474,28 @@ def near_duplicate_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFra
     group; the kept document has doc_id ``class_id`` and text ``keep_key``.
     """
     keyed = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("key"))
-    classes = text_classes(keyed, least)
-    links = find_links(keyed, classes, least)
-    linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    classes = text_classes(keyed, least, scratch)
+    links = find_links(keyed, classes, least, scratch)
+    linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     parts = cut(connected_components(linked, links, "node", "a", "b"))
     names = classes.select("node", "key", "rep")
     best = names.join(parts, "node").groupBy("component").agg(F.min(F.struct(F.col("rep").isNull(), "rep", "key")).alias("best"))
     grouped = parts.join(best, "component").select("node", F.col("best.rep").alias("keep_id"), F.col("best.key").alias("keep_key"))
-    return names.join(grouped, "node", "left").select(
+    found = names.join(grouped, "node", "left").select(
         "key",
         F.col("rep").alias("text_class"),
         F.when(F.col("keep_key").isNull(), F.col("rep")).otherwise(F.col("keep_id")).alias("class_id"),
         F.coalesce("keep_key", "key").alias("keep_key"),
     )
+    found = cut(found)
+    scratch.clear()  # nothing that is returned reads the tables in between
+    return found
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, class_id, text_class, kept (for all rows of the kept document)."""
-    groups = cut(near_duplicate_groups(docs, least).withColumnRenamed("key", "k"))
+    groups = near_duplicate_groups(docs, least).withColumnRenamed("key", "k")
     rows = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("key"))
     joined = rows.join(groups, rows["key"] == groups["k"], "left")
     alone = F.col("key").isNull()
@@ -397,7 +510,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each group; same columns."""
     typed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    groups = cut(near_duplicate_groups(typed, least).withColumnRenamed("key", "k"))
+    groups = near_duplicate_groups(typed, least).withColumnRenamed("key", "k")
     key, gone_key, gone_id = (fresh(docs, c) for c in ("text_key", "gone_key", "gone_id"))
     digest = F.md5(F.col("text").cast("binary"))
     rows = typed.select("doc_id", digest.alias("key")).where(F.col("key").isNotNull()).groupBy("doc_id", "key").count()
