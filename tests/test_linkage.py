@@ -123,6 +123,7 @@ def components_of(nodes, edges):
 
 def test_star_centres_are_spread(spark, monkeypatch):
     monkeypatch.setattr(graph, "LEAST_CENTRE", 5)
+    monkeypatch.setattr(graph, "MANY_EDGES", 10)
     dice = random.Random(1)
     edges = [(1000, i) for i in range(200)] + [(2000 + i, 1999) for i in range(50)] + [(dice.randrange(300), dice.randrange(300)) for _ in range(100)]
     nodes = sorted({n for e in edges for n in e})

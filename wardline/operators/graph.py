@@ -19,12 +19,14 @@ from wardline.session import checkpoint_dir
 EDGES_PER_TASK = 50_000
 
 
-#: a node with more edges than this, and than a thousandth of all, is a centre
-LEAST_CENTRE = 1_000
+#: rounds of more edges look for centres; a centre has more edges than this, and than a thousandth of all
+MANY_EDGES, LEAST_CENTRE = 1_000_000, 1_000
 
 
 def _with_least(edges: DataFrame, least: DataFrame, rows: int) -> DataFrame:
     """``edges`` (u, v) with ``m``, the smallest node around u, from ``least`` (u, m, degree)."""
+    if rows <= MANY_EDGES:
+        return edges.join(least.select("u", "m"), "u")
     # their degrees add up to twice the edges at most: this bounds what is broadcast
     centre = F.col("degree") > max(LEAST_CENTRE, rows // 1000)
     centres = least.filter(centre).select(F.col("u").alias("_c"), F.col("m").alias("_m"))
