@@ -22,9 +22,8 @@ words that they share, so a pair that falls short of the threshold there can't r
 For what is left, a text goes once to each block of ``BESIDE`` partners, not once per pair.
 
 A bucket (documents that agree in one sketch) is never expanded into all its pairs:
-1. every member is compared with the bucket's first member, over all buckets at once
-   (with the first of its firsts, then with those of other components); links merge
-   members into components;
+1. every member is compared with the bucket's first member, over all buckets at once;
+   links merge members into components;
 2. in buckets that still hold several components, the members outside the first one's
    component are compared with one of them, another in each bucket;
 3. what is left are pairs of members from different components. Buckets with up to
@@ -318,19 +317,10 @@ def find_links(docs: DataFrame, classes: DataFrame, least: float, scratch: Scrat
         ends = links.select(F.explode(F.array("a", "b")).alias("node"))
         return scratch.keep(connected_components(ends, links, "node", "a", "b").withColumnRenamed("component", "part"), "parts")
 
-    def across(pairs: DataFrame, part: DataFrame) -> DataFrame:
-        """Pairs whose ends are not in one component yet."""
-        one = part.select(F.col("node").alias("a"), F.col("part").alias("pa"))
-        two = part.select(F.col("node").alias("b"), F.col("part").alias("pb"))
-        both = pairs.join(one, "a", "left").join(two, "b", "left")
-        return both.where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b")
-
     def fitting(pairs: DataFrame) -> DataFrame:
         return pairs.where((F.col("a") != F.col("b")) & _fits("na", "nb", least)).select("a", "b").distinct()
 
-    firsts = scratch.keep(fitting(members.select(F.col("first").alias("a"), F.col("first_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))), "firsts")
-    links = verifier.verified(firsts.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = cut(links.unionByName(verifier.verified(across(firsts, parts(links)))))
+    links = verifier.verified(fitting(members.select(F.col("first").alias("a"), F.col("first_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))))
     # members outside the component of their bucket's first member, against one of them: another in each bucket
     outside = _placed(members, parts(links), scratch).where("outer").select("bucket", "node", "n")
     second = outside.groupBy("bucket").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", "bucket")).alias("s"))
