@@ -40,17 +40,35 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def write_new(spark: SparkSession, path: str, text: str) -> bool:
     """Write a small text file that nobody has written yet; False if it is there already.
 
-    The text goes to a sibling first, which is then renamed: a reader sees the whole file
-    or none. Nothing is ever deleted or replaced.
+    The file is created under its own name without overwriting, which only one writer can do
+    on any file system; nothing is ever deleted or replaced. Readers must expect a file whose
+    text is not there yet.
     """
-    fs, p, jvm = _fs(spark, path)
-    if fs.exists(p):
-        return False
-    tmp = jvm.org.apache.hadoop.fs.Path(path + f".tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
+    fs, p, _ = _fs(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # the gateway wraps the Java exception
+        if "exist" in str(e):
+            return False
+        raise
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    return bool(fs.rename(tmp, p))
+    return True
+
+
+def list_status(spark: SparkSession, path: str) -> list[tuple[str, bool, int]]:
+    """(name, is a folder, modification time in ms) of what a folder holds: one call to the file system."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted((str(s.getPath().getName()), bool(s.isDirectory()), int(s.getModificationTime())) for s in fs.listStatus(p))
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder a name that nothing has yet."""
+    fs, p, jvm = _fs(spark, source)
+    if not fs.rename(p, jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
 
 
 def claim(spark: SparkSession, path: str) -> bool:

@@ -48,8 +48,9 @@ def stream_load(
         dates = [dt.date.fromisoformat(r["_date"]) for r in batch.select("_date").distinct().collect() if r["_date"]]
         if not dates:
             return
-        report = load(spark, landing_root, target_root, spec, dates).withColumn("epoch_id", F.lit(epoch_id))
-        report.write.mode("append").parquet(reports)
+        # a batch that is run again after a failure finds its commit and replaces its own report
+        report = load(spark, landing_root, target_root, spec, dates, key=checkpoint, epoch=epoch_id)
+        report.write.mode("overwrite").parquet(f"{reports}/epoch_id={epoch_id}")
 
     q = src.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
