@@ -131,8 +131,24 @@ def _pairs_sql() -> str:
     return f"pairs AS (SELECT id1, id2, min(rule) AS rule FROM ({rules}) GROUP BY id1, id2)"
 
 
+def _similarity_sql(x: str, y: str) -> str:
+    """The textbook's Jaro-Winkler similarity. DuckDB's own counts transpositions in another way
+    where letters repeat; its score is taken where it is far below all thresholds."""
+    reach = f"greatest(greatest(length({x}), length({y})) // 2 - 1, 0)"
+    free = f"list_min(list_filter(range(greatest(1, e.i - {reach}), least(length({y}), e.i + {reach}) + 1), lambda j: substr({y}, j, 1) = substr({x}, e.i, 1) AND NOT list_contains(s.used, j)))"
+    none = "CAST([] AS BIGINT[])"
+    # places in y of the matched characters, in the order of x
+    used = f"""list_reduce(list_transform(range(0, length({x}) + 1), lambda i: struct_pack(i := i, used := {none})),
+      lambda s, e: struct_pack(i := e.i, used := CASE WHEN {free} IS NULL THEN s.used ELSE list_append(s.used, {free}) END)).used"""
+    half = f"len(list_filter(range(1, len(u) + 1), lambda k: substr({y}, u[k], 1) <> substr({y}, list_sort(u)[k], 1))) / 2"
+    jaro = f"CASE WHEN len(u) = 0 THEN 0.0 ELSE (len(u)::DOUBLE / length({x}) + len(u)::DOUBLE / length({y}) + (len(u) - {half})::DOUBLE / len(u)) / 3.0 END"
+    prefix = "CASE " + " ".join(f"WHEN substr({x}, 1, {n}) = substr({y}, 1, {n}) THEN {n}" for n in (4, 3, 2, 1)) + " ELSE 0 END"
+    exact = f"list_transform(list_transform([{used}], lambda u: {jaro}), lambda v: CASE WHEN v > 0.7 THEN v + {prefix} * 0.1 * (1 - v) ELSE v END)[1]"
+    return f"CASE WHEN jaro_winkler_similarity({x}, {y}) < 0.8 THEN jaro_winkler_similarity({x}, {y}) ELSE {exact} END"
+
+
 def _text_gamma(c: str) -> str:
-    sim = f"jaro_winkler_similarity(a.{c}, b.{c})"
+    sim = f"({_similarity_sql(f'a.{c}', f'b.{c}')})"
     return f"CASE WHEN a.{c} IS NULL OR b.{c} IS NULL THEN -1 WHEN a.{c} = b.{c} THEN 3 WHEN {sim} >= 0.92 THEN 2 WHEN {sim} >= 0.85 THEN 1 ELSE 0 END AS gamma_{c}"
 
 
@@ -140,15 +156,15 @@ def _same_gamma(c: str) -> str:
     return f"CASE WHEN a.{c} IS NULL OR b.{c} IS NULL THEN -1 WHEN a.{c} = b.{c} THEN 1 ELSE 0 END AS gamma_{c}"
 
 
-def _gamma_sql(length_window: int = 10) -> str:
-    return f"""gam AS (
+def _gamma_sql(length_window: int = 10, name: str = "gam", pairs: str = "pairs") -> str:
+    return f"""{name} AS (
   SELECT p.id1, p.id2, p.rule, {_text_gamma('opening')}, {_text_gamma('closing')},
          CASE WHEN a.n_words = b.n_words THEN 2 WHEN abs(a.n_words - b.n_words) <= {length_window} THEN 1 ELSE 0 END AS gamma_n_words,
          {_same_gamma('lang')}, {_same_gamma('source')},
          CASE WHEN a.mail_local IS NULL OR a.mail_domain IS NULL OR b.mail_local IS NULL OR b.mail_domain IS NULL THEN 2
               WHEN a.mail_local = b.mail_local AND a.mail_domain = b.mail_domain THEN 1 ELSE 0 END AS gamma_mail,
          a.source AS source_l, a.signature IS NOT DISTINCT FROM b.signature AS is_true
-  FROM pairs p JOIN pop a ON p.id1 = a.id JOIN pop b ON p.id2 = b.id)"""
+  FROM {pairs} p JOIN pop a ON p.id1 = a.id JOIN pop b ON p.id2 = b.id)"""
 
 
 def _weight_sql(comps: list) -> str:
@@ -419,14 +435,16 @@ def lkd12_clusters_fixed(spark, sf_dir):
     return run.clusters(scored)
 
 
-@query(
-    "lkd13_threshold_sweep_fixed",
-    sql=_with(*SCORED)
-    + f"""SELECT CAST(t AS DOUBLE) AS threshold, tp, fp, tr - tp AS fn, round(tp::DOUBLE / NULLIF(tp + fp, 0), 6) AS precision,
+SWEEP_SQL = f"""SELECT CAST(t AS DOUBLE) AS threshold, tp, fp, tr - tp AS fn, round(tp::DOUBLE / NULLIF(tp + fp, 0), 6) AS precision,
   round(tp::DOUBLE / NULLIF(tr, 0), 6) AS recall, round(2.0 * tp / NULLIF(tp + fp + tr, 0), 6) AS f_score
 FROM (SELECT t, COUNT(*) FILTER (WHERE probability >= t AND is_true) AS tp, COUNT(*) FILTER (WHERE probability >= t AND NOT is_true) AS fp,
              (SELECT CAST(SUM(n * (n - 1) / 2) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM pop WHERE signature IS NOT NULL GROUP BY signature)) AS tr
-      FROM (SELECT unnest([{', '.join(map(str, GRID))}]) AS t) g LEFT JOIN scored ON TRUE GROUP BY t)""",
+      FROM (SELECT unnest([{', '.join(map(str, GRID))}]) AS t) g LEFT JOIN scored ON TRUE GROUP BY t)"""
+
+
+@query(
+    "lkd13_threshold_sweep_fixed",
+    sql=_with(*SCORED) + SWEEP_SQL,
     ops=("LK-13", "LK-14", "IN-37", "IN-39"),
 )
 def lkd13_threshold_sweep_fixed(spark, sf_dir):
@@ -541,7 +559,81 @@ def lkd20_lost_true_pairs(spark, sf_dir):
     return run.record_pairs(lost).select("id1", "id2", *GAMMAS, F.col("match_weight").alias("weight_full"), "weight_variant").orderBy("id1", "id2").limit(10)
 
 
-@query("lk9_model_parameters", sql=None, ops=("LK-8", "LK-9", "LK-19", "LK-22"))
+# ---------------------------------------------------------------- the fitted model in SQL
+
+
+def _fit_sql(comps: list, tag: str, length_window: int = 10) -> list[str]:
+    """CTEs that repeat ``Run.fit``: u of all pairs, EM per session as an iterated one-row query, and
+    ``m{tag}`` (comparison, gamma, m, u, prior) as the mean of the sessions that train a comparison.
+
+    m and u are lists over the levels of all comparisons; a pattern is its places in them.
+    """
+    levels = [(c.name, lv) for c in comps for lv in c.gamma_values if lv != -1]
+    place = {x: i + 1 for i, x in enumerate(levels)}
+    group = [[i for i, (n, _) in enumerate(levels, 1) if n == name] for name, _ in levels]
+    start = [L.start_values(comps)[n][lv] for n, lv in levels]
+    # gammas of all pairs of records (up to L.RANDOM_PAIRS of them: all, on the tables that SQL is run on)
+    out = [
+        f"every{tag} AS (SELECT a.id AS id1, b.id AS id2, 0 AS rule FROM pop a JOIN pop b ON a.id < b.id)",
+        _gamma_sql(length_window, f"rnd{tag}", f"every{tag}"),
+        f"seen{tag} AS (" + " UNION ALL ".join(f"SELECT {place[n, lv]} AS j, 0.5 + count(*) FILTER (WHERE gamma_{n} = {lv}) AS c, '{n}' AS comparison, {lv} AS gamma FROM rnd{tag}" for n, lv in levels) + ")",
+        f"u{tag} AS (SELECT list(c / t ORDER BY j) AS u FROM (SELECT j, c, sum(c) OVER (PARTITION BY comparison) AS t FROM seen{tag}))",
+        f"""pri{tag} AS (SELECT d / {ASSUMED_RECALL} / (n * (n - 1) / 2.0) AS prior, n FROM (SELECT count(*) AS n FROM pop),
+  (SELECT sum(b * (b - 1) / 2) AS d FROM (SELECT count(*) AS b FROM pop WHERE {' AND '.join(k + ' IS NOT NULL' for k in DETERMINISTIC_KEYS)} GROUP BY {', '.join(DETERMINISTIC_KEYS)})))""",
+    ]
+    for k, (rule, blocked) in enumerate(SESSIONS):
+        train = [c.name for c in comps if c.name not in blocked]
+        ix = ", ".join("CASE gamma_" + n + " " + " ".join(f"WHEN {lv} THEN {place[x, lv]}" for x, lv in levels if x == n) + " END" for n in train)
+        same = " AND ".join(f"a.{key} = b.{key}" for key in RULES[rule])
+        mine = [j for j, (n, _) in enumerate(levels, 1) if n in train]
+        out += [
+            f"""pat{tag}{k} AS (SELECT list(struct_pack(ix := ix, cnt := cnt) ORDER BY ix) AS ps, sum(cnt) AS total FROM (
+  SELECT list_filter([{ix}], lambda x: x IS NOT NULL) AS ix, CAST(count(*) AS DOUBLE) AS cnt
+  FROM gam{tag} g JOIN pop a ON g.id1 = a.id JOIN pop b ON g.id2 = b.id WHERE {same} GROUP BY 1))""",
+            f"""em{tag}{k}(it, lam, m, delta) AS (
+  SELECT 0, prior * n * (n - 1) / 2 / (prior * n * (n - 1) / 2 + total), CAST({start} AS DOUBLE[]), CAST(1e9 AS DOUBLE) FROM pri{tag}, pat{tag}{k}
+  UNION ALL
+  SELECT it + 1, (list_sum(wp) + 0.01) / (total + 0.02), new, list_max(list_transform(range(1, {len(levels) + 1}), lambda j: abs(new[j] - m[j]))) FROM (
+    SELECT it, m, wp, total, list_transform(range(1, {len(levels) + 1}), lambda j: CASE WHEN list_contains({mine}, j)
+             THEN acc[j] / list_sum(list_transform({group}[j], lambda i: acc[i])) ELSE m[j] END) AS new FROM (
+      SELECT *, list_transform(range(1, {len(levels) + 1}), lambda j: 0.01 + list_sum(list_transform(range(1, len(ps) + 1),
+               lambda q: CASE WHEN list_contains(ps[q].ix, j) THEN wp[q] ELSE 0.0 END))) AS acc FROM (
+        SELECT it, lam, m, ps, total, list_transform(ps, lambda p: p.cnt * list_reduce(list_prepend(lam, list_transform(p.ix, lambda i: m[i])), lambda x, y: x * y)
+                 / (list_reduce(list_prepend(lam, list_transform(p.ix, lambda i: m[i])), lambda x, y: x * y)
+                    + list_reduce(list_prepend(1 - lam, list_transform(p.ix, lambda i: u[i])), lambda x, y: x * y))) AS wp
+        FROM em{tag}{k}, pat{tag}{k}, u{tag} WHERE it < 25 AND delta >= 1e-4))))""",
+            f"fin{tag}{k} AS (SELECT m FROM em{tag}{k} ORDER BY it DESC LIMIT 1)",
+        ]
+    rows = []
+    for n, lv in levels:
+        by = [k for k, (_, blocked) in enumerate(SESSIONS) if n not in blocked]
+        rows.append(f"SELECT '{n}' AS comparison, {lv} AS gamma, ({' + '.join(f'(SELECT m[{place[n, lv]}] FROM fin{tag}{k})' for k in by)}) / {len(by)} AS m, (SELECT u[{place[n, lv]}] FROM u{tag}) AS u")
+    out.append(f"m{tag} AS (" + " UNION ALL ".join(rows) + ")")
+    return out
+
+
+def _fitted_scored_sql(comps: list, tag: str) -> str:
+    """``scored{tag}``: the pairs under the fitted model, as ``_scored_sql`` has them under the fixed one."""
+    at = lambda c, lv: f"(SELECT log2(m / u) FROM m{tag} WHERE comparison = '{c.name}' AND gamma = {lv})"
+    terms = [f"(SELECT log2(prior / (1 - prior)) FROM pri{tag})"]
+    for c in comps:
+        terms.append(f"CASE gamma_{c.name} " + " ".join(f"WHEN {lv} THEN {at(c, lv)}" for lv in c.gamma_values if lv != -1) + " ELSE 0 END")
+        if c.tf:
+            terms.append(f"CASE WHEN gamma_{c.name} = {c.top} AND tf IS NOT NULL THEN log2((SELECT u FROM m{tag} WHERE comparison = '{c.name}' AND gamma = {c.top}) / tf) ELSE 0 END")
+    return f"""scored{tag} AS (SELECT *, round(1 / (1 + pow(2, -match_weight)), 9) AS probability
+  FROM (SELECT g.*, round({' + '.join(terms)}, 9) AS match_weight FROM gam{tag} g LEFT JOIN tf ON g.source_l = tf.tf_source))"""
+
+
+TF_SQL = "tf AS (SELECT source AS tf_source, COUNT(*)::DOUBLE / SUM(COUNT(*)) OVER () AS tf FROM pop WHERE source IS NOT NULL GROUP BY source)"
+FIT = [*BASE, TF_SQL, *_fit_sql(comparisons(), "")]
+FITTED = [*FIT, _fitted_scored_sql(comparisons(), "")]
+
+
+@query(
+    "lk9_model_parameters",
+    sql=_with(*FIT, recursive=True) + "SELECT comparison, gamma, m, u, TRUE AS trained, (SELECT prior FROM pri) AS prior FROM m",
+    ops=("LK-8", "LK-9", "LK-19", "LK-22"),
+)
 def lk9_model_parameters(spark, sf_dir):
     """m and u per level of the fitted model, as reloaded from its file."""
     run = Run(Tables(spark, sf_dir))
@@ -585,28 +677,41 @@ def fitted_run(spark, sf_dir, patterns: bool = False) -> tuple[Run, DataFrame]:
     return run, run.scored(run.fit(), run.patterns if listed is None else listed).checkpoint()
 
 
-@query("lk11_scored_pairs", sql=None, ops=("LK-10", "LK-11", "FN-22"), bench=True)
+@query(
+    "lk11_scored_pairs",
+    sql=_with(*FITTED, recursive=True) + f"SELECT id1, id2, rule, {', '.join(GAMMAS)}, match_weight, probability, is_true FROM scored",
+    ops=("LK-10", "LK-11", "FN-22"),
+    bench=True,
+)
 def lk11_scored_pairs(spark, sf_dir):
     """Weights and probabilities under the fitted model."""
     run, scored = fitted_run(spark, sf_dir)
     return run.record_pairs(scored).select("id1", "id2", "rule", *GAMMAS, "match_weight", "probability", "is_true")
 
 
-@query("lk12_clusters", sql=None, ops=("LK-12", "LK-15"))
+@query(
+    "lk12_clusters",
+    sql=_with(*FITTED, _clusters_sql([THRESHOLD]), recursive=True) + f"SELECT id, cluster_id, cluster_size, CAST({THRESHOLD} AS DOUBLE) AS threshold FROM clu",
+    ops=("LK-12", "LK-15"),
+)
 def lk12_clusters(spark, sf_dir):
     """Clusters under the fitted model at the applied threshold."""
     run, scored = fitted_run(spark, sf_dir)
     return run.clusters(scored).withColumn("threshold", F.lit(THRESHOLD))
 
 
-@query("lk13_threshold_sweep", sql=None, ops=("LK-13", "LK-14", "IN-39", "IN-37"))
+@query("lk13_threshold_sweep", sql=_with(*FITTED, recursive=True) + SWEEP_SQL, ops=("LK-13", "LK-14", "IN-39", "IN-37"))
 def lk13_threshold_sweep(spark, sf_dir):
     """Pair metrics of the fitted model per threshold."""
     run, scored = fitted_run(spark, sf_dir, patterns=True)
     return L.threshold_sweep(scored, "is_true", F.lit(run.truth_pairs()), GRID)
 
 
-@query("lk15_cluster_metrics", sql=None, ops=("LK-15", "LK-16", "IN-54"))
+@query(
+    "lk15_cluster_metrics",
+    sql=_with(*FITTED, _clusters_sql([THRESHOLD]), recursive=True).rstrip() + ",\n" + METRICS_SQL,
+    ops=("LK-15", "LK-16", "IN-54"),
+)
 def lk15_cluster_metrics(spark, sf_dir):
     """Cluster metrics of the fitted model at the applied threshold."""
     run, scored = fitted_run(spark, sf_dir)
