@@ -29,8 +29,8 @@ A bucket (documents that agree in one sketch) is never expanded into all its pai
 3. what is left are pairs of members from different components. Buckets with up to
    ``LARGE`` members are compared pair by pair; in larger ones (much text that unlike
    documents share) blocks of members are compared with each other, in tasks of two
-   blocks: by histograms first, which leave the members that may have a partner, whose
-   texts are then compared in the same way; tasks return links only.
+   blocks: by histograms in blocks of ``WIDE`` first, which leave the members that may
+   have a partner; their texts in blocks of ``BLOCK``, in tasks that return links only.
 Pairs within one component are not needed: the group is the result. No candidate is
 dropped at any size.
 
@@ -62,7 +62,7 @@ SIMILARITY = 0.8
 PAIR_PICKS = 2
 MISSED = 0.02
 LARGE = 32
-BLOCK = 512
+WIDE, BLOCK = 4096, 512
 BESIDE = 256
 COUNTERS = 64, 4096
 BROADCAST_ROWS = 200_000
@@ -328,14 +328,14 @@ def find_links(docs: DataFrame, classes: DataFrame, least: float, scratch: Scrat
     links = cut(links.unionByName(verifier.verified(fitting(met))))
     # what is left: pairs across components, one of them outside the first member's component
     placed = _placed(members, parts(links), scratch)
-    counts = placed.groupBy("bucket").agg(F.count_if("outer").alias("n_outer"), F.count_if(~F.col("outer")).alias("n_inner"))
-    left = scratch.keep(placed.join(counts.where("n_outer > 0"), "bucket"), "left")
-    few = left.where(F.col("n_outer") + F.col("n_inner") <= LARGE)
+    counts = placed.groupBy("bucket").agg(F.count_if("outer").alias("n_outer"), F.count(F.lit(1)).alias("in_bucket"))
+    left = scratch.keep(placed.join(counts.where("n_outer > 0").drop("n_outer"), "bucket"), "left")
+    few = left.where(F.col("in_bucket") <= LARGE)
     mate = few.where("outer").select("bucket", F.col("node").alias("mate"), F.col("n").alias("mate_n"), F.col("part").alias("mate_part"))
     met = few.join(mate, "bucket").where(F.col("part") != F.col("mate_part"))
     met = met.select(F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b"), F.col("n").alias("na"), F.col("mate_n").alias("nb"))
     links = cut(links.unionByName(verifier.verified(fitting(met))))
-    return cut(links.unionByName(_compared_in_blocks(left.where(F.col("n_outer") + F.col("n_inner") > LARGE), verifier)))
+    return cut(links.unionByName(_compared_in_blocks(left.where(F.col("in_bucket") > LARGE), verifier)))
 
 
 def _placed(members: DataFrame, part: DataFrame, scratch: Scratch) -> DataFrame:
@@ -346,16 +346,17 @@ def _placed(members: DataFrame, part: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(found.select("bucket", "slot", "node", "n", "part", (F.col("part") != F.col("first_part")).alias("outer")), "placed")
 
 
-def _compared_in_blocks(left: DataFrame, verifier: _Verifier) -> DataFrame:
-    """Links across components in large buckets: blocks of ``BLOCK`` members against each other.
+_TASK = ["bucket", "x", "y", "inner"]
+
+
+def _dealt(left: DataFrame, block: int) -> DataFrame:
+    """Members of each bucket in blocks, as rows of the tasks that compare two blocks (or one with itself).
 
-    A task holds two blocks. By their histograms it returns the members that may have a
-    partner; only these members' texts are dealt to the same tasks, which return links,
-    one for each two components found to be alike. Nothing grows with the pairs but the
-    comparisons themselves.
+    Members outside the first one's component meet each other and those inside it.
     """
-    least = verifier.least
-    outer_blocks, inner_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_outer", "n_inner"))
+    sides = left.groupBy("bucket").agg(F.count_if("outer").alias("n_outer"), F.count_if(~F.col("outer")).alias("n_inner"))
+    left = left.join(sides.where("n_outer > 0"), "bucket")
+    outer_blocks, inner_blocks = (F.ceil(F.col(c) / block).cast("int") for c in ("n_outer", "n_inner"))
     own = F.pmod(F.xxhash64("node"), F.when(F.col("outer"), outer_blocks).otherwise(inner_blocks)).cast("int")
     task = lambda x, y, inner: F.struct(x.alias("x"), y.alias("y"), F.lit(inner).alias("inner"))
     ks = F.sequence(F.lit(0), outer_blocks - 1)
@@ -364,13 +365,24 @@ def _compared_in_blocks(left: DataFrame, verifier: _Verifier) -> DataFrame:
     of_outer = F.concat(among, F.coalesce(with_inner, F.array().cast("array<struct<x:int,y:int,inner:boolean>>")))
     tasks = F.when(F.col("outer"), of_outer).otherwise(F.transform(ks, lambda k: task(k, F.col("own"), True)))
     rows = left.withColumn("own", own).select("bucket", "slot", "node", "part", "outer", "own", F.explode(tasks).alias("t"))
-    rows = rows.select("bucket", "slot", "node", "part", "outer", "own", "t.x", "t.y", "t.inner")
-    by = ["bucket", "x", "y", "inner"]
-    known = rows.join(verifier.classes.select("node", "n", "sk", "hist"), "node")
-    may = cut(known.groupBy(*by).applyInPandas(_may_have_partners(least), "bucket long, x int, y int, inner boolean, node long"))
+    return rows.select("bucket", "slot", "node", "part", "outer", "own", "t.x", "t.y", "t.inner")
+
+
+def _compared_in_blocks(left: DataFrame, verifier: _Verifier) -> DataFrame:
+    """Links across components in large buckets: blocks of members against each other.
+
+    By their histograms, tasks of two blocks of ``WIDE`` return the members that may have a
+    partner; only these members' texts are dealt to tasks of two blocks of ``BLOCK``, which
+    return links, one for each two components found to be alike. Nothing grows with the pairs
+    but the comparisons themselves.
+    """
+    least = verifier.least
+    members = left.select("bucket", "slot", "node", "part", "outer")
+    known = _dealt(members, WIDE).join(verifier.classes.select("node", "n", "sk", "hist"), "node")
+    may = cut(known.groupBy(*_TASK).applyInPandas(_may_have_partners(least), "bucket long, node long").distinct())
     texts = verifier.scratch.keep(verifier.texts(may.select("node")).withColumnRenamed("x", "text"), "texts")
-    asked = rows.join(may, [*by, "node"]).join(verifier.classes.select("node", "n", "sk"), "node").join(texts, "node")
-    return asked.groupBy(*by).applyInPandas(_block_links(least), "a long, b long")
+    asked = _dealt(members.join(may, ["bucket", "node"]), BLOCK).join(verifier.classes.select("node", "n", "sk"), "node").join(texts, "node")
+    return asked.groupBy(*_TASK).applyInPandas(_block_links(least), "a long, b long")
 
 
 def _allowed(rows: pd.DataFrame, least: float) -> np.ndarray:
@@ -391,27 +403,34 @@ def _allowed(rows: pd.DataFrame, least: float) -> np.ndarray:
 
 
 def _may_have_partners(least: float):
-    names = ["bucket", "x", "y", "inner", "node"]
-
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        allowed = _allowed(rows, least)
-        n = rows["n"].to_numpy()
-        held = [_counters(h, k) for h, k in zip(rows["hist"], n)]
-        sizes = np.array([len(h) for h in held])
+        rows = rows.sort_values("n", kind="stable", ignore_index=True)
+        x, y, inner, slot = (rows[c].iloc[0] for c in ("x", "y", "inner", "slot"))
+        n, part, outer, own = (rows[c].to_numpy() for c in ("n", "part", "outer", "own"))
+        side = outer if inner else own if x != y else None
+        held = [_counters(h, k).astype(np.int32) for h, k in zip(rows["hist"], n)]
+        sizes = np.array([len(h) for h in held])  # in order: longer texts have as many counters or more
+        earlier = np.stack([np.asarray(v, np.int64)[: int(slot)] for v in rows["sk"]])
+        ends = np.searchsorted(n, n / least + 1e-9, "right")
         may = np.zeros(len(rows), bool)
-        for size in np.unique(sizes):  # texts with fewer counters set the measure
-            # all texts folded to that size once; each of that size against all with as many or more
-            at = np.flatnonzero(sizes >= size)
-            folded = np.stack([held[i].reshape(-1, size).sum(axis=0) for i in at])
-            for i in np.flatnonzero(sizes == size):
-                pairs = allowed[i, at] | allowed[at, i]
-                if pairs.any():
-                    most = np.minimum(folded[pairs], held[i]).sum(axis=1)
-                    hit = at[pairs][most >= least * np.maximum(n[i], n[at[pairs]])]
-                    if len(hit):
-                        may[i] = True
-                        may[hit] = True
-        return rows.loc[may, names]
+        for size in np.unique(sizes):
+            first, last = np.searchsorted(sizes, size), np.searchsorted(sizes, size, "right")
+            folded = np.stack([h.reshape(-1, size).sum(axis=0, dtype=np.int32) for h in held[first : max(ends[last - 1], last)]])
+            for i in range(first, last):
+                at = np.arange(i + 1, ends[i])
+                fits = part[at] != part[i]
+                if side is not None:
+                    fits &= side[at] != side[i]
+                if may[i]:
+                    fits &= ~may[at]
+                at = at[fits]
+                # a pair that agrees in an earlier sketch is compared in that bucket
+                at = at[~(earlier[at] == earlier[i]).any(axis=1)]
+                hit = at[np.minimum(folded[at - first], folded[i - first]).sum(axis=1) >= least * n[at]]
+                if len(hit):
+                    may[i] = True
+                    may[hit] = True
+        return rows.loc[may, ["bucket", "node"]]
 
     return run
 
