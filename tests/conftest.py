@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -20,7 +19,5 @@ def spark():
         extra={"spark.ui.showConsoleProgress": "false"},
     )
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wardline-test-ckpt-"))
     yield s
     s.stop()

@@ -58,11 +58,8 @@ def build_session(
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the SQL settings to a session created elsewhere (e.g. the driver's)."""
     for key, value in BASE_CONF.items():
-        if key.startswith("spark.sql."):
-            try:
-                spark.conf.set(key, value)
-            except Exception:  # static conf on some deployments
-                pass
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     # Python workers import this package by name, wherever the driver was started
     environment = spark.sparkContext.environment
     if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
@@ -72,20 +69,26 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session; it is shared by all executors, so
     lineage cuts survive the loss of one. Where it is unset, only a local run (one
-    machine) may use a scratch folder of its own; a cluster job is refused.
+    machine) gets a scratch folder of its own; a cluster job is refused.
     """
+    context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        if context.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="wardline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="wardline-ckpt-")
+        path = _LOCAL[context.applicationId]
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(path)
     return path
 
 
