@@ -80,14 +80,6 @@ def test_counts_are_read_back():
     assert (lm.Filter(segments, 4).counts(other) > 0).mean() < 0.05
 
 
-def test_small_filters_leave_out_the_rarest_first():
-    keys = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    counts = np.where(np.arange(1000) < 100, 1000, 1)
-    bits = 100 * int(lm.levels(np.array([1000]))[0]) * lm.LEAST_BITS + 64
-    found = lm.Filter({0: lm.build_segment(keys, counts, bits).tobytes()}, 1).counts(keys)
-    assert (found[:100] > 0).all()
-
-
 def test_empty_table_and_long_text(spark):
     assert lm.score_texts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     docs = [(1, "word " * 200_000, 1), (2, None, 1)]

@@ -42,9 +42,8 @@ from pyspark.sql import functions as F
 from wardline.llm.common import cut, text_or_empty
 
 BASE = 1.5
-HASHES = 4
+HASHES = 5
 BITS = 10
-LEAST_BITS = 5  # of the former cutoff of rare n-grams; nothing here reads it
 MAX_FILTER_BYTES = 96 << 20  # of a broadcast filter
 MOST_BITS = 1 << 31  # of a segment: positions are hashes of 32 bits
 BUCKET_BYTES = 8 << 20  # text per bucket
