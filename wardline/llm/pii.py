@@ -2,14 +2,16 @@
 
 1. Seeds: the base kinds (email, ip, card, phone) are found in every whole text, leftmost
    and non-overlapping per kind, and validated.
-2. Lexical patterns: the word, and the two words, in front of a seed. A pattern counts
-   once it has preceded ``MIN_SEEDS`` different seeds.
-3. All occurrences of these patterns in the corpus are counted, whatever follows, so a
-   pattern's confidence is the share of its occurrences that an identifier follows.
+2. Lexical patterns: the word, and the two words, in front of an identifier-like string. A
+   pattern counts once it has preceded ``MIN_SEEDS`` different identifiers: seeds, or strings
+   accepted in an earlier round, so that what is discovered induces patterns of its own.
+3. All occurrences in the corpus of the patterns that can ever count are counted, whatever
+   follows, so a pattern's confidence is the share of its occurrences that an identifier follows.
 4. Pattern-instance graph: instances are the identifier-like strings (seeds and
    candidates) that follow a pattern. Rounds alternate: a pattern's confidence is the
    summed score of its instances over its occurrences; a candidate's score is the
-   noisy-or of its patterns' confidences; seeds keep score 1.
+   noisy-or of its patterns' confidences; seeds keep score 1. Scores only rise from round to
+   round; the last round is the one in which none rises by more than ``SETTLED``.
 5. Candidates that end at ``ACCEPT`` or more are unseen identifiers: every occurrence of
    one becomes a span of kind ``context``, unless it overlaps a base span.
 
@@ -30,14 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import cut, text_or_empty
+from wardline.sinks.scratch import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_SEEDS = 3
-ROUNDS = 3
+SETTLED = 0.001
 ACCEPT = 0.8
 #: a pattern table up to so many rows (a hash and a count each) is broadcast, a larger one is shuffled
 BROADCAST_PATTERNS = 200_000
-CONTEXT_CHARS = 120  # how far back the two words in front of an instance may begin
+NEAR_CHARS = 120  # where the two words in front of an instance are looked for first
 
 # ---- fixed values: the base kinds, in linear-time form ----
 _EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -140,10 +143,13 @@ def instances(docs: DataFrame) -> DataFrame:
     """Identifier-like strings with their two preceding words: (doc_id, h, s, e, v, kind, patterns)."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(_located(F.col("text"), _INSTANCE)).alias("i", "x"))
     before = F.col("x.before")
-    words = _chunks(F.substring(before, -CONTEXT_CHARS, CONTEXT_CHARS))
-    # the first word is dropped where it may be the rest of one; a word that runs into the instance is no pattern
-    torn = (F.length(before) >= CONTEXT_CHARS) | ((F.col("i") > 0) & ~before.rlike(r"^[\x20\x09-\x0D]"))
+    near = _chunks(F.substring(before, -NEAR_CHARS, NEAR_CHARS))
+    # three words near by: the last two are whole. Otherwise the text is read back to the instance
+    # before, whose rest the first word may be; a word that runs into the instance is no pattern
+    words = _chunks(before)
+    torn = (F.col("i") > 0) & ~before.rlike(r"^[\x20\x09-\x0D]")
     words = F.when(torn, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
+    words = F.when((F.length(before) > NEAR_CHARS) & (F.size(near) >= 3), near).otherwise(words)
     words = F.when(before.rlike(r"[\x20\x09-\x0D=:]$"), words).otherwise(F.array().cast("array<string>"))
     one = F.element_at(F.col("w"), -1)
     two = F.element_at(F.col("w"), -2)
@@ -160,33 +166,45 @@ def _identifier_like(v: Column) -> Column:
     return (F.length(v) >= 6) & ((F.length(_digits(v)) >= 3) | v.rlike(r"[^@]@[^@]"))
 
 
-def score_graph(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(v) of candidates whose final score reaches ``ACCEPT``."""
-    links = found.select("v", "kind", F.explode("patterns").alias("p"))
-    seeded = links.where(F.col("kind").isNotNull()).groupBy("p").agg(F.countDistinct("v").alias("seeds"))
-    patterns = cut(seeded.where(F.col("seeds") >= MIN_SEEDS).select("p"))
-    # every occurrence of a pattern in the corpus, whatever follows it; words of seeds included
+def pattern_occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(p, occurs): how often each pattern stands in the corpus, whatever follows it; words of seeds included."""
     words = _chunks(F.col("text"))
     nth = lambda w, i: F.get(w, i)
     keys = F.flatten(
         F.transform(F.col("w"), lambda x, i: F.array(_pattern(1, x), F.when(i > 0, _pattern(2, nth(F.col("w"), i - 1), x))))
     )
     said = docs.select(words.alias("w")).select(F.explode(keys).alias("p"))
-    small = F.broadcast(patterns) if patterns.count() <= BROADCAST_PATTERNS else patterns
-    occurs = said.join(small, "p").groupBy("p").agg(F.count(F.lit(1)).alias("occurs"))
-    edges = links.where(F.col("kind").isNotNull() | _identifier_like(F.col("v"))).join(patterns, "p")
-    edges = edges.groupBy("p", "v").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("kind").isNotNull()).alias("seed"))
-    per = edges.groupBy("p").agg(F.sum("n").alias("linked"))
-    totals = per.join(occurs, "p", "left").select("p", F.greatest("linked", F.coalesce("occurs", F.lit(0))).alias("total"))
-    edges = cut(edges.join(totals, "p"))
-    scored = edges.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(0.0))
-    for _ in range(ROUNDS):
-        conf = scored.groupBy("p").agg((F.sum(F.col("n") * F.col("score")) / F.first("total")).alias("conf"))
+    if patterns.count() <= BROADCAST_PATTERNS:
+        return said.join(F.broadcast(patterns), "p").groupBy("p").agg(F.count(F.lit(1)).alias("occurs"))
+    # summed before anything is shuffled by pattern, so that a frequent word is one row a task
+    return said.groupBy("p").agg(F.count(F.lit(1)).alias("occurs")).join(patterns, "p")
+
+
+def score_graph(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(v) of candidates whose final score reaches ``ACCEPT``."""
+    links = found.where(F.col("kind").isNotNull() | _identifier_like(F.col("v"))).select("v", "kind", F.explode("patterns").alias("p"))
+    links = cut(links.groupBy("p", "v").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("kind").isNotNull()).alias("seed")))
+    # whatever is accepted later, no other pattern can come to precede MIN_SEEDS identifiers
+    able = links.groupBy("p").agg(F.count(F.lit(1)).alias("strings"), F.sum("n").alias("linked")).where(F.col("strings") >= MIN_SEEDS)
+    able = cut(able.select("p", "linked"))
+    occurs = pattern_occurrences(docs, able.select("p"))
+    totals = able.join(occurs, "p", "left").select("p", F.greatest("linked", F.coalesce("occurs", F.lit(0))).alias("total"))
+    edges = cut(links.join(totals, "p"))
+    scratch = Scratch(docs.sparkSession, "pii-scores")
+    values = scratch.keep(edges.where(~F.col("seed")).select("v").distinct().withColumns({"value": F.lit(0.0), "rise": F.lit(0.0)}), "values")
+    rise = 1.0
+    while rise > SETTLED:
+        score = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("value", F.lit(0.0)))
+        scored = edges.join(values, "v", "left").select("p", "n", "total", score.alias("score"))
+        conf = scored.groupBy("p").agg((F.sum(F.col("n") * F.col("score")) / F.first("total")).alias("conf"), F.count_if(F.col("score") >= ACCEPT).alias("known"))
+        conf = conf.where(F.col("known") >= MIN_SEEDS)
         # noisy-or; a confidence of 1 is kept just below it so that the product stays defined
         miss = F.log(1.0 - F.least(F.col("conf"), F.lit(1.0 - 1e-9)))
-        value = edges.where(~F.col("seed")).join(conf, "p").groupBy("v").agg((1.0 - F.exp(F.sum(miss))).alias("value"))
-        scored = edges.join(value, "v", "left").select("p", "v", "n", "seed", "total", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("value", F.lit(0.0))).alias("score"))
-    return scored.where(~F.col("seed") & (F.col("score") >= ACCEPT)).select("v").distinct()
+        value = edges.where(~F.col("seed")).join(conf, "p").groupBy("v").agg(F.round(1.0 - F.exp(F.sum(miss)), 9).alias("now"))
+        after = values.join(value, "v", "left").select("v", F.coalesce("now", F.lit(0.0)).alias("value"), (F.coalesce("now", F.lit(0.0)) - F.col("value")).alias("rise"))
+        values = scratch.keep(after, "values")
+        rise = values.agg(F.max("rise")).first()[0] or 0.0
+    return values.where(F.col("value") >= ACCEPT).select("v")
 
 
 def extract(docs: DataFrame) -> DataFrame:
