@@ -22,6 +22,8 @@ class Query:
     sql: str | None
     ops: tuple[str, ...]
     bench: bool = False
+    #: layer of the result as a table of the warehouse; tables with a layer are published
+    layer: str | None = None
 
 
 _REGISTRY: dict[str, Query] = {}
@@ -29,13 +31,13 @@ _REGISTRY: dict[str, Query] = {}
 PLAN_MODULES = ("quality_plans", "history", "dimensions", "marts", "indicators", "linkage_plans", "document_linkage", "given_truth", "selection", "sets_and_samples", "checks", "loading", "confrontation")
 
 
-def query(name: str, sql: str | None = None, ops: tuple[str, ...] | list[str] = (), bench: bool = False):
+def query(name: str, sql: str | None = None, ops: tuple[str, ...] | list[str] = (), bench: bool = False, layer: str | None = None):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
 
     def deco(fn: Builder) -> Builder:
         if name in _REGISTRY:
             raise ValueError(f"duplicate query name {name!r}")
-        _REGISTRY[name] = Query(name, fn, sql, tuple(ops), bench)
+        _REGISTRY[name] = Query(name, fn, sql, tuple(ops), bench, layer)
         return fn
 
     return deco

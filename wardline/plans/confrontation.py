@@ -270,7 +270,7 @@ FROM lab GROUP BY provenance"""
     )
 
 
-@query("mrt8_provenance_split", sql=_provenance_sql(), ops=("MRT-8", "IN-36", "FN-15", "WN-4"))
+@query("mrt8_provenance_split", sql=_provenance_sql(), ops=("MRT-8", "IN-36", "FN-15", "WN-4"), layer="mart")
 def mrt8_provenance_split(spark, sf_dir):
     """Columns by provenance label (captured from the column comment) with their share,
     and how many non-blank values the extracts hold in those columns."""

@@ -97,8 +97,9 @@ dim_date AS (
 )"""
 
 
-@query("dim2_date", sql="WITH " + date_dimension_sql() + "\nSELECT * FROM dim_date", ops=("DIM-2", "GEN-1", "GEN-2", "GEN-3", "FN-6", "AG-7", "JN-11", "SRC-6"))
+@query("dim2_date", sql="WITH " + date_dimension_sql() + "\nSELECT * FROM dim_date", ops=("DIM-2", "GEN-1", "GEN-2", "GEN-3", "FN-6", "AG-7", "JN-11", "SRC-6"), layer="dimension")
 def dim2_date(spark, sf_dir):
+    """Calendar, one row per day, with holidays and Ramadan."""
     return date_dimension(Tables(spark, sf_dir))
 
 
@@ -189,8 +190,10 @@ SELECT c.code_type, c.code, l.label IS NOT NULL AS is_documented,
        CASE WHEN l.label IS NOT NULL THEN c.code || ' - ' || l.label ELSE c.code END AS display
 FROM codes c LEFT JOIN labels l ON c.code_type = l.code_type AND c.code = l.code""",
     ops=("DIM-3", "DIM-4", "DIM-5", "DIM-6", "ST-2", "AG-11", "FN-23"),
+    layer="dimension",
 )
 def dim_codes_labelled(spark, sf_dir):
+    """Every code of the data with its label, or the code itself where it has none."""
     codes = data_codes(Tables(spark, sf_dir))
     labels = F.broadcast(labels_df(spark))  # fixed register, a few rows
     j = codes.join(labels, ["code_type", "code"], "left")

@@ -417,6 +417,7 @@ def lkd2_candidate_pairs(spark, sf_dir):
     "lkd11_scored_pairs_fixed",
     sql=_with(*SCORED) + f"SELECT id1, id2, rule, {', '.join(GAMMAS)}, match_weight, probability, is_true FROM scored",
     ops=("LK-10", "LK-11", "FN-22", "IN-37"),
+    layer="linkage",
 )
 def lkd11_scored_pairs_fixed(spark, sf_dir):
     """Weights (with term frequencies) and probabilities under the fixed model."""
@@ -428,6 +429,7 @@ def lkd11_scored_pairs_fixed(spark, sf_dir):
     "lkd12_clusters_fixed",
     sql=_with(*SCORED, _clusters_sql([THRESHOLD]), recursive=True) + "SELECT id, cluster_id, cluster_size FROM clu",
     ops=("LK-12", "LK-15"),
+    layer="linkage",
 )
 def lkd12_clusters_fixed(spark, sf_dir):
     """Clusters at the applied threshold."""
@@ -446,6 +448,7 @@ FROM (SELECT t, COUNT(*) FILTER (WHERE probability >= t AND is_true) AS tp, COUN
     "lkd13_threshold_sweep_fixed",
     sql=_with(*SCORED) + SWEEP_SQL,
     ops=("LK-13", "LK-14", "IN-37", "IN-39"),
+    layer="linkage",
 )
 def lkd13_threshold_sweep_fixed(spark, sf_dir):
     """True and false pairs, precision, recall and F at the thresholds 0.50 to 0.99."""

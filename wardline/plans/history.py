@@ -18,8 +18,10 @@ VERSIONED_SQL = with_sql(*derived.VERSION_CTES)
     "dim1_customer_versions",
     sql=VERSIONED_SQL + "\nSELECT * FROM versions",
     ops=("DIM-1", "WN-1"),
+    layer="dimension",
 )
 def dim1_customer_versions(spark, sf_dir):
+    """Versions of a customer, one row per change, with the days between which each holds."""
     return derived.customer_versions(Tables(spark, sf_dir))
 
 

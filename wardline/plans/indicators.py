@@ -312,8 +312,10 @@ SELECT triage_level, COUNT(*) AS n_visits,
        round(quantile_cont(delay_to_care_min, 0.9), 6) AS p90_delay_min
 FROM emergency GROUP BY triage_level""",
     ops=("IN-14", "IN-15", "IN-18", "IN-49"),
+    layer="indicator",
 )
 def in15_delay_by_level(spark, sf_dir):
+    """Visits and delays by triage level."""
     e = emergency_facts(Tables(spark, sf_dir))
     g = e.groupBy("triage_level").agg(
         F.count(F.lit(1)).alias("n_visits"),
@@ -565,8 +567,10 @@ SELECT COALESCE(CASE WHEN age_days <= 30 THEN '0-30d' WHEN age_days <= 60 THEN '
        COUNT(*) AS n_receivables, CAST(SUM(outstanding) AS DECIMAL(18,2)) AS outstanding
 FROM aged GROUP BY 1""",
     ops=("IN-29", "FN-24", "JN-17", "WN-3"),
+    layer="receivables",
 )
 def in29_receivable_aging(spark, sf_dir):
+    """Open receivables and their amounts by age."""
     a = _aged(Tables(spark, sf_dir))
     b = F.coalesce(bucket_label("age_days", (30, 60, 90, 180)), F.lit("no_snapshot"))
     return a.groupBy(b.alias("aging_bucket")).agg(

@@ -304,8 +304,10 @@ SELECT visit_day, triage_level, COUNT(*) AS n_visits, COUNT(DISTINCT user_id) AS
        COUNT(*) FILTER (WHERE exit_orientation = 'purchase') AS n_admitted
 FROM emergency GROUP BY visit_day, triage_level""",
     ops=("MRT-4", "AG-2", "AG-3", "AG-4"),
+    layer="mart",
 )
 def mrt4_emergency_daily(spark, sf_dir):
+    """Emergency visits by day and triage level."""
     e = emergency_facts(Tables(spark, sf_dir))
     return e.groupBy("visit_day", "triage_level").agg(
         F.count(F.lit(1)).alias("n_visits"),
@@ -368,8 +370,10 @@ def daily_activity(t: Tables) -> DataFrame:
 SELECT day, family, service, COUNT(*) AS n_events, COUNT(DISTINCT patient) AS n_patients
 FROM activity GROUP BY day, family, service""",
     ops=("MRT-1", "ST-1", "AG-3", "FN-14", "IN-1", "IN-2"),
+    layer="mart",
 )
 def mrt1_daily_activity(spark, sf_dir):
+    """Events and patients by day, family of activity and service."""
     return daily_activity(Tables(spark, sf_dir))
 
 
@@ -407,8 +411,9 @@ SELECT o_orderpriority, COUNT(*) AS n_lines,
 FROM lead_facts GROUP BY o_orderpriority"""
 
 
-@query("mrt3_absence_by_priority", sql=with_sql(*LEAD_CTES) + ABSENCE_SQL, ops=("MRT-3", "AG-2", "AG-4", "FN-12", "IN-9", "IN-10"))
+@query("mrt3_absence_by_priority", sql=with_sql(*LEAD_CTES) + ABSENCE_SQL, ops=("MRT-3", "AG-2", "AG-4", "FN-12", "IN-9", "IN-10"), layer="mart")
 def mrt3_absence_by_priority(spark, sf_dir):
+    """Honoured, absent and cancelled lines by priority, with their rates."""
     return absence_mart(lead_time_facts(Tables(spark, sf_dir)))
 
 
@@ -512,8 +517,10 @@ SELECT debtor_type, COUNT(*) AS n_receivables, CAST(SUM(due) AS DECIMAL(18,2)) A
              / NULLIF(COUNT(*) FILTER (WHERE n_reminders > 0), 0), 6) AS reminder_success_rate
 FROM recv GROUP BY debtor_type""",
     ops=("MRT-5", "WN-2", "WN-3", "JN-1", "JN-2", "AG-12", "IN-27", "IN-30"),
+    layer="mart",
 )
 def mrt5_recovery_by_debtor(spark, sf_dir):
+    """Amounts due and recovered by kind of debtor."""
     r = receivables(Tables(spark, sf_dir))
     reminded = F.col("n_reminders") > 0
     return r.groupBy("debtor_type").agg(
@@ -545,6 +552,7 @@ FROM (SELECT {', '.join(cols)}, COUNT(*) AS n FROM {table} GROUP BY ALL HAVING C
         for name, (table, cols) in COLLISION_CRITERIA.items()
     ),
     ops=("MRT-6", "AG-9", "AG-4", "IN-34", "LK-17"),
+    layer="mart",
 )
 def mrt6_exact_collisions(spark, sf_dir):
     """Groups of identical values per criterion; pairs are counted, never listed."""
@@ -612,8 +620,9 @@ def _completeness_sql() -> str:
     return with_sql(*ctes) + "\n" + "\nUNION ALL\n".join(selects)
 
 
-@query("mrt7_completeness", sql=_completeness_sql(), ops=("MRT-7", "JN-15", "IN-32", "IN-33"))
+@query("mrt7_completeness", sql=_completeness_sql(), ops=("MRT-7", "JN-15", "IN-32", "IN-33"), layer="mart")
 def mrt7_completeness(spark, sf_dir):
+    """Share of filled values by table and column, with the share of rows in quarantine."""
     return completeness(Tables(spark, sf_dir))
 
 

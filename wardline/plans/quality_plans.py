@@ -97,8 +97,10 @@ FROM lead_facts GROUP BY {group_col}"""
     sql=_lead_mart_sql("o_orderpriority"),
     ops=("MRT-2", "FCT-1", "PRJ-1", "FN-2", "FN-4", "JN-3", "AG-2", "AG-4", "AG-5"),
     bench=True,
+    layer="mart",
 )
 def mrt2_lead_time_by_priority(spark, sf_dir):
+    """Lead time from order to shipment by priority, same-day lines apart."""
     return lead_time_mart(lead_time_facts(Tables(spark, sf_dir)), "o_orderpriority")
 
 
