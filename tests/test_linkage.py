@@ -9,6 +9,7 @@ from wardline.operators import graph
 from wardline.operators import linkage as L
 from wardline.operators.forest import partitions_along, spanning_forest
 from wardline.operators.graph import connected_components
+from wardline.sinks import files
 
 COMPS = [
     L.TextComparison("name", "name"),
@@ -171,3 +172,41 @@ def test_random_pairs_are_different_and_spread(spark):
     assert len({(r.id_l, r.id_r) for r in pairs}) == 500 and all(r.id_l < r.id_r and r.v_l == r.id_l // 10 % 3 for r in pairs)
     comps = [L.Comparison("v", "v", ((1, "exact", L.exact),))]
     assert abs(L.estimate_u(pop, "id", comps)["v"][1] - 1617 / 4950) < 1e-3  # all pairs: 34, 33 and 33 records agree
+
+
+def test_record_pairs_of_cut_profiles_are_all_pairs(spark, monkeypatch):
+    members = spark.createDataFrame([(i, 0) for i in range(40)] + [(100 + i, 100) for i in range(7)], "id long, pid long")
+    pairs = spark.createDataFrame([(0, 0, 780), (0, 100, 280)], "pid_l long, pid_r long, w long")
+    monkeypatch.setattr(L, "PAIRS_PER_TASK", 100)
+    listed = L.record_pairs(pairs, members, per_list=8)
+    assert listed.rdd.getNumPartitions() == 11  # tasks follow the pairs that are listed, not the two rows they come from
+    want = [*itertools.combinations(range(40), 2), *itertools.product(range(40), range(100, 107))]
+    assert sorted((r["id1"], r["id2"]) for r in listed.collect()) == sorted(want)
+
+
+def _parts(spark, rows) -> str:
+    folder = files.fresh_dir(spark, "parts")
+    df = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    df.write.parquet(f"{folder}/part.parquet")
+    return folder
+
+
+def test_components_of_records_without_listing_their_pairs(spark, monkeypatch):
+    from wardline.plans import linkage_plans as P
+
+    monkeypatch.setattr(L, "record_pairs", None)
+    rows = [(i, "red cup", "b1", "t", 5, 1.0) for i in range(1, 6)]  # copies of one part
+    rows += [(10, "red cup", "b1", "t", 7, 1.0), (10, "tin", "b3", "t", 9, 1.0), (11, "tin", "b3", "t", 9, 2.0)]  # a key that comes twice ties two groups
+    rows += [(20, "mug", None, "t", 3, 1.0), (21, "mug", None, "t", 3, 1.0), (30, "pan", "b2", "t", 4, 1.0), (30, "pan", "b2", "t", 4, 1.0)]
+    got = P.lk12_components_exact_edges(spark, _parts(spark, rows)).collect()
+    assert sorted((r["id"], r["component"]) for r in got) == [*((i, 1) for i in range(1, 6)), (10, 1), (11, 1), (20, 20), (21, 21), (30, 30)]
+
+
+def test_blocking_counts_candidates(spark):
+    from wardline.plans.checks import dq46_blocking_completeness as query
+
+    copies = [(i, "red cup", "b1", "t", 5, 1.0) for i in range(1, 6)] + [(10, "red cup", "b1", "t", 7, 1.0)]
+    got = query(spark, _parts(spark, copies)).first()
+    assert (got["n_disjunctive_join"], got["n_union_by_counts"]) == (15, 15)
+    got = query(spark, _parts(spark, [(1, "cup", "b1", "t", 5, 1.0), (2, "pan", "b2", "u", 6, 1.0)])).first()
+    assert (got["n_disjunctive_join"], got["n_union_by_counts"]) == (0, 0)
