@@ -78,3 +78,39 @@ def test_components_of_a_long_chain(spark):
     nodes = spark.range(1000).withColumnRenamed("id", "node")
     edges = spark.range(999).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     assert connected_components(nodes, edges).agg(F.countDistinct("component")).first()[0] == 1
+
+
+def test_variants_form_their_pairs_once(planted, monkeypatch):
+    run = D.Run(planted[0])
+    named = {"full": run.comps, "no_tf": D.comparisons(use_tf=False), "window": D.comparisons(length_window=25)}
+    apart = {}
+    for name, comps in named.items():
+        one = run.variant(comps)
+        apart[name] = (one.fit(), sorted(map(tuple, one.patterns.select(*sorted(one.patterns.columns)).collect()), key=repr))
+    calls = []
+    monkeypatch.setattr(L, "sided_pairs", lambda *a, made=L.sided_pairs, **k: calls.append("pairs") or made(*a, **k))
+    monkeypatch.setattr(L, "random_pairs", lambda *a, made=L.random_pairs, **k: calls.append("random") or made(*a, **k))
+    for name, one in run.variants(named).items():
+        model, patterns = apart[name]
+        assert sorted(map(tuple, one.patterns.select(*sorted(one.patterns.columns)).collect()), key=repr) == patterns
+        fitted = one.fit()
+        assert all(abs(fitted.m[c][g] - p) < 1e-9 for c, levels in model.m.items() for g, p in levels.items())
+        assert all(abs(fitted.u[c][g] - p) < 1e-9 for c, levels in model.u.items() for g, p in levels.items())
+    assert sorted(calls) == ["pairs", "random"]
+
+
+def test_shared_runs_last_as_long_as_they_are_asked_for(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(D, "Run", lambda t: made.append(t) or type("R", (), {"comps": [], "patterns": None, "scored": lambda self, m, of=None: spark.range(1)})())
+    monkeypatch.setattr(D, "fixed_model", lambda comps: None)
+    from wardline.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    with D.shared_runs():
+        D.fixed_run(spark, "one")
+        D.fixed_run(spark, "one", patterns=True)
+        D.fixed_run(spark, "other")
+    assert len(made) == 2
+    D.fixed_run(spark, "one")
+    D.fixed_run(spark, "one")
+    assert len(made) == 4

@@ -210,3 +210,11 @@ def test_blocking_counts_candidates(spark):
     assert (got["n_disjunctive_join"], got["n_union_by_counts"]) == (15, 15)
     got = query(spark, _parts(spark, [(1, "cup", "b1", "t", 5, 1.0), (2, "pan", "b2", "u", 6, 1.0)])).first()
     assert (got["n_disjunctive_join"], got["n_union_by_counts"]) == (0, 0)
+
+
+def test_profiles_without_partner_stay_where_they_are(spark):
+    prof = spark.createDataFrame([(i, 1, f"k{i // 2 if i < 6 else i}") for i in range(30)], "pid long, n long, key string")
+    pairs = L.sided_pairs(prof, [["key"]])
+    assert sorted((r["pid_l"], r["pid_r"]) for r in pairs.collect()) == [(0, 1), (2, 3), (4, 5)]
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "Join LeftOuter" not in plan

@@ -155,3 +155,15 @@ def test_rfc_quotes_and_line_breaks_survive(spark):
     assert rep["state"] == "loaded" and rep["n_read"] == 27 and rep["n_rejected"] == 0
     keys = {r["k"] for r in read_source(spark, target, SPEC).collect()}
     assert 'q"1' in keys and "line\nbreak" in keys
+
+
+def test_a_load_leaves_no_scratch(spark):
+    from wardline.session import checkpoint_dir
+
+    root, target = files.fresh_dir(spark, "t-land"), files.fresh_dir(spark, "t-target")
+    write_landing(frame(spark, good(D1) + good(D2)), root, SPEC)
+    base = checkpoint_dir(spark)
+    held = lambda: {os.path.join(d, f) for d, _, names in os.walk(base) if not d.startswith(target) for f in names}
+    before = held()
+    load(spark, root, target, SPEC)
+    assert held() == before

@@ -129,3 +129,24 @@ def test_many_identical_copies_are_chunked(spark):
     flags = uniqueness_flags(many, SPEC.key, ["path_date"], chunk=5).groupBy("n_line", "_dup").count().collect()
     got = {(r["n_line"], r["_dup"]): r["count"] for r in flags}
     assert got == {("1", False): 1, ("1", True): 31, ("2", False): 1}
+
+
+def test_only_rows_of_repeated_keys_move(spark):
+    from wardline.operators.quality import uniqueness_flags
+
+    df = rows(spark, *[{"n_visit": f"W{i}"} for i in range(50)], {"n_visit": "W7", "amount": "1.00"}, {"n_visit": ""}, {"n_visit": ""})
+    flags = uniqueness_flags(df, SPEC.key, ["path_date"])
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    at = next(k for k, line in enumerate(lines) if "LeftAnti" in line)
+    assert "BroadcastHashJoin" in lines[at]  # rows of other keys are not shuffled
+    got = {(r["n_visit"], r["amount"]): (bool(r["_empty"]), r["_dup"]) for r in flags.collect()}
+    assert flags.count() == 53 and got["W7", "1.00"] == (False, False) and got["W7", "12.50"] == (False, True)
+    assert got["", "12.50"] == (True, False) and got["W8", "12.50"] == (False, False)
+
+
+def test_outcome_keeps_rejected_rows_whole(spark):
+    checked = Q.check_rows(rows(spark, {}, {"amount": "x"}), SPEC)
+    kept = {r["amount"]: r for r in Q.outcome(checked).collect()}
+    assert set(kept) == {None, "x"} and kept["x"]["n_visit"] == "V1" and kept[None][Q.REASONS] == []
+    assert set(kept["x"].asDict()) == set(checked.columns)
