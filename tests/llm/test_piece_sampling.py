@@ -2,6 +2,7 @@
 
 import collections
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -41,6 +42,20 @@ def test_rows_do_not_depend_on_their_batch(sampler, monkeypatch):
     assert any(not np.array_equal(a, b) for a, b in zip(other, sampler.encode([ODD[4]] * 50, list(range(50)), seed=1)))
 
 
+def test_memory_of_a_large_batch(sampler):
+    """Two million characters of different words take the memory of one chunk, beside their ids."""
+    texts = [" ".join(f"word{i * 100 + k:x} other{k}" for k in range(100)) for i in range(1100)]
+    assert 1_700_000 < sum(map(len, texts)) < 2_500_000
+    tracemalloc.start()
+    try:
+        ids = sampler.encode(texts, list(range(len(texts))))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sampler.decode(ids[7].tolist()) == texts[7]
+    assert most < 160e6, most
+
+
 @pytest.mark.parametrize("unit", [" hello", "thereof", "étés", "a丁\U0001f600"])
 def test_segmentations_come_in_proportion(vocabulary, sampler, unit):
     """Against an enumeration of all segmentations."""

@@ -37,7 +37,8 @@ from wardline.llm.common import fresh, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
-CHUNK = 2_000_000
+#: characters that are filtered and sampled in one go: bounds a worker's memory, changes no result
+CHUNK = 500_000
 MAX_UNIT = 65_536
 SPACE = "▁"
 
