@@ -126,6 +126,28 @@ def test_forgetting_units_changes_nothing(monkeypatch):
         assert [x.tolist() for x in aligner.a.encode(texts)] == want
 
 
+def test_common_units_stay_when_others_are_forgotten(monkeypatch):
+    monkeypatch.setattr(ta, "MAX_UNITS", 40)
+    encoder, asked = ta.Aligner().b, Counter()
+    encode = encoder.model.encode
+    monkeypatch.setattr(encoder.model, "encode", lambda units: asked.update(units) or encode(units))
+    for k in range(20):
+        encoder.encode([" often again often again " + " ".join(f"u{k}x{i}" for i in range(10))])
+        assert len(encoder.number) <= 40 + 13
+    assert asked[" often"] == asked[" again"] == 1 and asked[" u0x0"] == 1
+
+
+def test_units_that_do_not_come_back_whole():
+    """Known by unit: a text with U+2581 beside exact ones, in one call and of more than one byte a character."""
+    texts = [" é plain", " ▁ é", " plain", " x▁"]
+    for encoder in (ta.Aligner().a, ta.Aligner().b):
+        ids, n, exact = encoder.encode(texts)
+        alone = [encoder.encode([t]) for t in texts]
+        assert ids.tolist() == [i for one in alone for i in one[0].tolist()]
+        assert exact.tolist() == [one[2].item() for one in alone]
+    assert exact.tolist() == [True, False, True, False]
+
+
 def test_intervals_with_gaps():
     a = np.array([[0, 2], [2, 5], [7, 9], [9, 12]])
     b = np.array([[0, 1], [1, 6], [8, 9], [11, 14]])

@@ -11,7 +11,8 @@ texts is laid end to end and coalesced at once.
 Tokens of both sides come from the tokenizers themselves, once per different unit: a unit is
 what A's own splitting rule yields (for texts of characters below U+0250, whose classes are
 the same everywhere; other texts are one unit), and for B a run that no piece crosses
-(checked when the model is read). Units are kept from chunk to chunk, up to ``MAX_UNITS``.
+(checked when the model is read). Units are kept from chunk to chunk; beyond ``MAX_UNITS``
+those met most often stay, half as many at most.
 
 Corpus-wide counts: a task cuts its documents into segments of ``SEGMENT`` characters and
 writes, per document, its different (A id, B id) pairs with their times, and per segment how
@@ -33,6 +34,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -65,6 +67,12 @@ _UNIT_B = re.compile(r" *[^ \n\t]+| +|[\n\t]")
 _BEYOND = re.compile(f"[^\\u0000-\\u{_TOP - 1:04x}]")
 
 
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids in a row, ids per unit)."""
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
+
+
 class ByteLevel:
     """Tokenizer A: units, their ids, and each id's bytes."""
 
@@ -85,8 +93,8 @@ class ByteLevel:
     def split(self, text: str) -> list[str]:
         return _UNIT_A.findall(text) if _BEYOND.search(text) is None else [text]
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(units, add_special_tokens=False)]
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in self.model.encode_batch_fast(units, add_special_tokens=False)])
 
 
 class Pieces:
@@ -110,9 +118,20 @@ class Pieces:
     def split(self, text: str) -> list[str]:
         return _UNIT_B.findall(text)
 
-    def encode(self, units: list[str]) -> list[list[int]]:
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         skip = len(self.lead)
-        return [ids[skip:] for ids in self.model.encode(["\n" + u for u in units], num_threads=1)]
+        ids, counts = _flat(self.model.encode(["\n" + u for u in units], num_threads=1))
+        own = np.ones(len(ids), bool)
+        own[((np.cumsum(counts) - counts)[:, None] + np.arange(skip)).ravel()] = False
+        return ids[own], counts - skip
+
+
+class _Numbers(dict):
+    """Units and their numbers, in the order in which they were first asked for."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
 
 
 class Encoder:
@@ -121,40 +140,53 @@ class Encoder:
     def __init__(self, model: ByteLevel | Pieces):
         self.model = model
         self.widths = np.array([len(t) for t in model.texts], np.int64)
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids, self.counts, self.exact = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
-
-    def _learn(self, units: list[str]) -> None:
-        new = [u for u in dict.fromkeys(units) if u not in self.number]
-        if not new:
-            return
-        found = self.model.encode(new)
-        texts = self.model.texts
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.int32)])
-        self.counts = np.concatenate([self.counts, np.fromiter(map(len, found), np.int64, len(new))])
-        self.exact = np.concatenate([self.exact, np.fromiter((b"".join([texts[i] for i in f]) == u.encode() for u, f in zip(new, found)), bool, len(new))])
+        self.number = _Numbers()
+        self.ids, self.counts, self.exact, self.met = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Units met most often since they came stay, ``MAX_UNITS`` / 2 at most; those met once go."""
+        often = np.argsort(-self.met, kind="stable")[: MAX_UNITS // 2]
+        stay = np.sort(often[self.met[often] > 1])
+        units = list(self.number)
+        self.number = _Numbers(zip(map(units.__getitem__, stay.tolist()), range(len(stay))))
+        self.ids = self.ids[self._places(stay)]
+        self.counts, self.exact, self.met = self.counts[stay], self.exact[stay], self.met[stay] // 2
+
+    def _places(self, which: np.ndarray) -> np.ndarray:
+        """Where the ids of these units lie."""
+        counts, starts = self.counts[which], np.cumsum(self.counts) - self.counts
+        return np.arange(int(counts.sum())) + np.repeat(starts[which] - np.cumsum(counts) + counts, counts)
+
+    def _learn(self, new: list[str]) -> None:
+        ids, counts = self.model.encode(new)
+        ends, wide = np.cumsum(counts), np.concatenate([[0], np.cumsum(self.widths[ids])])
+        tails = wide[ends]
+        joined, whole = b"".join(map(self.model.texts.__getitem__, ids.tolist())), "".join(new).encode()
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        if len(whole) != sizes.sum():
+            sizes = np.fromiter((len(u.encode()) for u in new), np.int64, len(new))
+        exact = np.ones(len(new), bool)
+        if joined != whole or (tails != np.cumsum(sizes)).any():
+            heads = wide[ends - counts].tolist()
+            exact[:] = [joined[i:j] == u.encode() for i, j, u in zip(heads, tails.tolist(), new)]
+        self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+        self.exact, self.met = np.concatenate([self.exact, exact]), np.concatenate([self.met, np.zeros(len(new), np.int64)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts in a row, tokens per text, whether the joined bytes are the text's)."""
         if len(self.number) > MAX_UNITS:
-            self.clear()
+            self._forget()
         split = [self.model.split(t) for t in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
-        flat = [u for units in split for u in units]
-        self._learn(flat)
-        which = np.fromiter(map(self.number.__getitem__, flat), np.int64, len(flat))
+        known = len(self.number)
+        which = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if len(self.number) > known:
+            self._learn(list(islice(self.number, known, None)))
+        self.met += np.bincount(which, minlength=len(self.met))
         owner = np.repeat(np.arange(len(texts)), sizes)
-        counts = self.counts[which]
-        starts = np.cumsum(self.counts) - self.counts
-        total = int(counts.sum())
-        place = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts[which], counts)
-        per_text = np.bincount(owner, counts, len(texts)).astype(np.int64)
+        per_text = np.bincount(owner, self.counts[which], len(texts)).astype(np.int64)
         exact = np.bincount(owner, ~self.exact[which], len(texts)) == 0
-        return self.ids[place], per_text, exact
+        return self.ids[self._places(which)], per_text, exact
 
 
 def coalesce(start_a: np.ndarray, end_a: np.ndarray, start_b: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
