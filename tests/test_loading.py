@@ -167,3 +167,19 @@ def test_a_load_leaves_no_scratch(spark):
     before = held()
     load(spark, root, target, SPEC)
     assert held() == before
+
+
+def test_anchored_series_share_their_facts(spark, monkeypatch):
+    """The versions are looked up once for both marts; alone, each mart has facts of its own."""
+    from wardline.plans import quality_plans
+    from wardline.plans.catalog import load_all
+
+    registry, asked = load_all(), []
+    looked_up = quality_plans.version_in_force
+    monkeypatch.setattr(quality_plans, "version_in_force", lambda *a, **k: asked.append(1) or looked_up(*a, **k))
+    rows = registry["dq33_series_anchors"].build(spark, "/root/testdata/sf0.001").collect()
+    assert len(asked) == 1
+    assert len(rows) == 2 and all(r["anchor_ok"] and r["same_digest"] for r in rows)
+    for name in ("mrt2_lead_time_by_priority", "mrt3_absence_by_priority"):
+        registry[name].build(spark, "/root/testdata/sf0.001")
+    assert len(asked) == 3

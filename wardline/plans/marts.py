@@ -18,7 +18,7 @@ from wardline.operators.history import version_in_force
 from wardline.plans import derived, landing, sqlgen
 from wardline.plans.catalog import query
 from wardline.plans.landing import with_sql
-from wardline.plans.quality_plans import LEAD_CTES, SPECS, lead_time_facts
+from wardline.plans.quality_plans import LEAD_CTES, SPECS, lead_time_facts, mart_facts
 from wardline.sources.tables import Tables
 
 
@@ -414,7 +414,7 @@ FROM lead_facts GROUP BY o_orderpriority"""
 @query("mrt3_absence_by_priority", sql=with_sql(*LEAD_CTES) + ABSENCE_SQL, ops=("MRT-3", "AG-2", "AG-4", "FN-12", "IN-9", "IN-10"), layer="mart")
 def mrt3_absence_by_priority(spark, sf_dir):
     """Honoured, absent and cancelled lines by priority, with their rates."""
-    return absence_mart(lead_time_facts(Tables(spark, sf_dir)))
+    return absence_mart(mart_facts(spark, sf_dir))
 
 
 @query(
