@@ -106,3 +106,19 @@ def test_segments_keep_once_seen_ngrams():
     keys = np.unique(np.random.default_rng(4).integers(0, 2**63, 50_000).astype(np.uint64))
     segment = lm.build_segment(keys, np.ones(len(keys), np.int64), 1 << 17)  # far fewer bits than entries need
     assert (lm.Filter({0: segment.tobytes()}, 1).counts(keys) > 0).all()
+
+
+def test_frequent_ngrams_are_probed_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    keys, counts = np.sort(rng.integers(1, 2**63, 3000).astype(np.uint64)), rng.integers(1, 200, 3000)
+    f = lm.Filter({0: lm.build_segment(keys, counts).tobytes()}, 1)
+    asked = np.concatenate([keys[::-1], rng.integers(1, 2**63, 500).astype(np.uint64)])
+    first = f.levels(asked)
+    assert (first[:3000] >= lm.levels(counts)[::-1]).all()
+    frequent, sizes, probed = int((first >= lm.KEPT_LEVEL).sum()), [], lm.Filter._probed
+    monkeypatch.setattr(lm.Filter, "_probed", lambda self, k: sizes.append(len(k)) or probed(self, k))
+    assert (f.levels(asked) == first).all()
+    assert frequent > 0 and sizes == [len(asked) - frequent]
+    monkeypatch.setattr(lm, "KEPT", 10)  # a full store keeps what it has, and answers stay the same
+    g = lm.Filter({0: f.data.tobytes()}, 1)
+    assert (g.levels(asked) == first).all() and (g.levels(asked) == first).all() and len(g.kept[0]) == 0

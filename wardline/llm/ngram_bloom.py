@@ -31,8 +31,10 @@ counted one by one); an empty table gives an empty result; extra columns are not
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -49,6 +51,7 @@ MOST_BITS = 1 << 31  # of a segment: positions are hashes of 32 bits
 BUCKET_BYTES = 8 << 20  # text per bucket
 FREQUENT = 1 << 20
 CHUNK = 1_500_000  # tokens
+KEPT, KEPT_LEVEL = 1 << 20, 8  # n-grams of this level on whose levels a worker keeps, once probed
 GRID = tuple(float(10**k) for k in range(1, 9))
 ADD = 0.1
 
@@ -104,15 +107,17 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int, Tokens]]:
             flat += ws
             sizes.append(len(ws))
             till += 1
-        known = list(dict.fromkeys(flat))
-        number = dict(zip(known, range(len(known))))
-        distinct = np.array([*(xxhash.xxh64_intdigest(w) for w in known), _END, _START], np.uint64)
+        known: defaultdict[bytes, int] = defaultdict(count().__next__)  # a new word gets the next number
+        numbers = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        distinct = np.empty(len(known) + 2, np.uint64)
+        distinct[:-2] = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
+        distinct[-2:] = _END, _START
         n = np.asarray(sizes, np.int64)
         at = np.full(len(flat) + len(n), len(known), np.int64)
         ends = np.cumsum(n + 1) - 1
         inner = np.ones(len(at), bool)
         inner[ends] = False
-        at[inner] = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        at[inner] = numbers
         before = np.empty_like(at)
         before[1:] = at[:-1]
         before[0] = len(known) + 1
@@ -223,6 +228,7 @@ class Filter:
         self.bits = np.maximum(sizes * 8, 1)
         self.empty = sizes == 0
         self.data = np.frombuffer(b"".join(segments.get(b, b"") for b in range(buckets)), np.uint8)
+        self.kept = np.zeros(0, np.uint64), np.zeros(0, np.uint8)  # hashes in order, their levels
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Estimated counts of distinct keys."""
@@ -232,11 +238,30 @@ class Filter:
         """Levels of distinct keys, by probing level after level.
 
         Keys are probed in the order of their hash, one segment after the other, so that the
-        part of the filter in use stays in the processor's cache.
+        part of the filter in use stays in the processor's cache. Frequent n-grams come with
+        every chunk and take the most probes: up to ``KEPT`` of them are probed once.
         """
         order = np.argsort(keys)
         keys = keys[order]
         level = np.zeros(len(keys), np.int64)
+        kept, kept_levels = self.kept
+        new = np.ones(len(keys), bool)
+        if len(kept):
+            where = np.minimum(np.searchsorted(kept, keys), len(kept) - 1)
+            new = kept[where] != keys
+            level[~new] = kept_levels[where[~new]]
+        level[new] = self._probed(keys[new])
+        frequent = new & (level >= KEPT_LEVEL)
+        if 0 < np.count_nonzero(frequent) <= KEPT - len(kept):
+            at = np.searchsorted(kept, keys[frequent])
+            self.kept = np.insert(kept, at, keys[frequent]), np.insert(kept_levels, at, level[frequent])
+        out = np.empty(len(keys), np.int64)
+        out[order] = level
+        return out
+
+    def _probed(self, keys: np.ndarray) -> np.ndarray:
+        """Levels of distinct keys in the order of their hash."""
+        level = np.zeros(len(keys), np.int64)
         bucket = _bucket_of(keys, self.buckets)
         at = np.flatnonzero(~self.empty[bucket])
         key, offset, bits = keys[at], self.offset[bucket[at]], self.bits[bucket[at]].astype(np.uint64)
@@ -247,12 +272,11 @@ class Filter:
                 position = _position(one, two, j, bits)
                 byte = self.data[offset + (position >> 3)]
                 hit = np.flatnonzero((byte >> (7 - (position & 7)).astype(np.uint8)) & 1)
-                at, key, offset, bits, one, two = at[hit], key[hit], offset[hit], bits[hit], one[hit], two[hit]
+                if len(hit) < len(at):
+                    at, key, offset, bits, one, two = at[hit], key[hit], offset[hit], bits[hit], one[hit], two[hit]
             level[at] = q
             q += 1
-        out = np.empty(len(keys), np.int64)
-        out[order] = level
-        return out
+        return level
 
 
 @dataclass
