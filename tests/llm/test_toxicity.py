@@ -65,3 +65,13 @@ def test_the_fit_uses_the_whole_bound(spark, monkeypatch):
     labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
     toxicity.train_chain(docs, labels)
     assert max(sizes) == (12_000, 12_000)
+
+
+def test_fitting_gives_its_memory_back(spark, monkeypatch):
+    """The driver goes on with the next stage: what fitting took is not kept."""
+    given = []
+    monkeypatch.setattr(toxicity, "give_back", lambda: given.append(1))
+    docs = spark.createDataFrame([(i, "good words here" if i % 2 else "bad bad words") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 1 - i % 2) for i in range(20)], "doc_id long, quality int, toxic int")
+    assert toxicity.drop_toxic(docs, labels).count() > 0
+    assert given == [1]

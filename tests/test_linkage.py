@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardline.operators import graph
 from wardline.operators import linkage as L
 from wardline.operators.forest import partitions_along, spanning_forest
-from wardline.operators.graph import connected_components
+from wardline.operators.graph import _large_star, _small_star, connected_components, packed
 from wardline.sinks import files
 
 COMPS = [
@@ -218,3 +218,13 @@ def test_profiles_without_partner_stay_where_they_are(spark):
     assert sorted((r["pid_l"], r["pid_r"]) for r in pairs.collect()) == [(0, 1), (2, 3), (4, 5)]
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" in plan and "Join LeftOuter" not in plan
+
+
+def test_rounds_that_fit_one_task_do_not_shuffle(spark, capsys):
+    edges = packed(spark.createDataFrame([(2, 1), (3, 2), (5, 4), (6, 5), (6, 3)], "u long, v long"), 5)
+    stars = _small_star(packed(_large_star(edges, 5), 5), 5)
+    stars.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    assert sorted(map(tuple, stars.collect())) == [(2, 1), (3, 1), (4, 2), (5, 4), (6, 2)]
+    many = 10**6  # the same round for edges in many tasks
+    assert sorted(map(tuple, _small_star(_large_star(edges, many), many).collect())) == [(2, 1), (3, 1), (4, 2), (5, 4), (6, 2)]

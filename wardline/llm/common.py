@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,15 +51,21 @@ def tidy(run: Callable[[Iterator[Batch]], Iterator[Batch]]) -> Callable[[Iterato
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library: nothing to do
-                pass
+            give_back()
 
     return tidied
 
 
+def give_back() -> None:
+    """Memory that this process no longer uses goes back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to do
+        pass
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import cut, text_or_empty, tidy
+from wardline.llm.common import cut, give_back, text_or_empty, tidy
 
 SAMPLE = 12_000
 TOKENS = 600
@@ -262,6 +262,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without toxic documents; same columns."""
     chain = train_chain(docs, labels)
+    give_back()  # what fitting took: the driver lives on through the stages that follow
     model = docs.sparkSession.sparkContext.broadcast(chain)
 
     def clean(batches):
