@@ -136,3 +136,16 @@ def test_scattered_edits_up_to_the_threshold(spark):
     found = collections.Counter(share for share, d in pairs if rows[d + 1] == d)
     assert found[0.1] == 80 and found[0.15] >= 79 and found[0.2] >= 75
     assert om.pair_sketches(0.7) > om.pair_sketches(0.8) > om.pair_sketches(0.9)
+
+
+def test_few_pairs_are_compared_in_few_tasks(spark):
+    """Tasks follow the pairs, not the number of shuffle partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = spark.createDataFrame([(i % 7, 100 + i) for i in range(600)], "a long, b long")
+        nodes = spark.createDataFrame([(i, f"t{i}") for i in range(700)], "node long, x string")
+        met = om._beside(pairs, nodes)
+        assert met.rdd.getNumPartitions() == 2
+        assert sorted(map(tuple, met.select("a", "b", "xa", "xb").collect())) == sorted((i % 7, 100 + i, f"t{i % 7}", f"t{100 + i}") for i in range(600))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -64,6 +64,7 @@ MISSED = 0.02
 LARGE = 32
 WIDE, BLOCK = 4096, 512
 BESIDE = 256
+PAIRS_PER_TASK = 500  # at least, of those that Python compares
 COUNTERS = 64, 4096
 BROADCAST_ROWS = 200_000
 
@@ -262,13 +263,14 @@ def _light(df: DataFrame) -> DataFrame:
 def _beside(pairs: DataFrame, table: DataFrame) -> DataFrame:
     """Pairs (a, b) with the other columns of ``table`` (node, ...) for both ends, as <column>a and <column>b.
 
-    What belongs to a goes once to each block of its partners.
+    What belongs to a goes once to each block of its partners. Few pairs are met in few tasks.
     """
     named = lambda end: table.select(F.col("node").alias(end), *[F.col(c).alias(c + end) for c in table.columns if c != "node"])
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(BESIDE)).alias("parts"))
     placed = cut(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("block")))
     once = placed.select("a", "block").distinct().join(named("a"), "a")
-    return placed.join(named("b"), "b").join(once, ["a", "block"]).drop("block")
+    met = placed.join(named("b"), "b").join(once, ["a", "block"]).drop("block")
+    return met.coalesce(max(1, -(-placed.count() // PAIRS_PER_TASK)))
 
 
 class _Verifier:
