@@ -6,7 +6,10 @@ import random
 import numpy as np
 import xxhash
 
+from pyspark.sql import functions as F
+
 from wardline.llm import order_minhash as om
+from wardline.sinks.scratch import Scratch
 
 SF = "/root/testdata/sf0.01"
 
@@ -149,3 +152,25 @@ def test_few_pairs_are_compared_in_few_tasks(spark):
         assert sorted(map(tuple, met.select("a", "b", "xa", "xb").collect())) == sorted((i % 7, 100 + i, f"t{i % 7}", f"t{100 + i}") for i in range(600))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_links_follow_members_not_shared_sketches(spark):
+    """A large group of near copies, amid unlike documents that share a passage with it: about one link to a member."""
+    rnd = random.Random(4)
+    word = lambda: f"w{rnd.randrange(50_000)}"
+    passage = [word() for _ in range(40)]
+    base = [word() for _ in range(60)] + passage + [word() for _ in range(60)]
+    docs = [(i, edited(base, rnd, 0.06)) for i in range(400)]
+    docs += [(1000 + i, " ".join([word() for _ in range(50)] + passage + [word() for _ in range(50)])) for i in range(300)]
+    keyed = spark.createDataFrame(docs, "doc_id long, text string").withColumn("key", F.md5(F.col("text").cast("binary")))
+    scratch = Scratch(spark, "test-links")
+    classes = om.text_classes(keyed, om.SIMILARITY, scratch)
+    name = {r["node"]: r["rep"] for r in classes.select("node", "rep").collect()}
+    links = [(name[r["a"]], name[r["b"]]) for r in om.find_links(keyed, classes, om.SIMILARITY, scratch).collect()]
+    scratch.clear()
+    texts = dict(docs)
+    assert all(om.similarity(texts[a], texts[b]) >= om.SIMILARITY for a, b in links)
+    assert {d for link in links for d in link} == set(range(400))
+    assert 399 <= len(links) <= 600
+    rows = {r["doc_id"]: r["class_id"] for r in om.near_duplicates(keyed.select("doc_id", "text")).collect()}
+    assert all(rows[d] == (0 if d < 400 else d) for d in rows)

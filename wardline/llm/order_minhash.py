@@ -22,17 +22,19 @@ words that they share, so a pair that falls short of the threshold there can't r
 For what is left, a text goes once to each block of ``BESIDE`` partners, not once per pair.
 
 A bucket (documents that agree in one sketch) is never expanded into all its pairs:
-1. every member is compared with the bucket's first member, over all buckets at once;
-   links merge members into components;
+1. every member is compared with the bucket's first member, over all buckets at once: by
+   histograms all of them, by texts first with one of its first members, then with those of
+   another component only. Links merge members into components;
 2. in buckets that still hold several components, the members outside the first one's
-   component are compared with one of them, another in each bucket;
+   component are compared with one of them, another in each bucket, unless both are in one
+   component already;
 3. what is left are pairs of members from different components. Buckets with up to
    ``LARGE`` members are compared pair by pair; in larger ones (much text that unlike
    documents share) blocks of members are compared with each other, in tasks of two
    blocks: by histograms in blocks of ``WIDE`` first, which leave the members that may
    have a partner; their texts in blocks of ``BLOCK``, in tasks that return links only.
-Pairs within one component are not needed: the group is the result. No candidate is
-dropped at any size.
+Pairs within one component are not needed: the group is the result. So the links of a group
+follow its members, not the sketches that they share. No candidate is dropped at any size.
 
 Cases: a null text is no text and is its own group; empty texts are equal texts; texts
 without words only group with equal texts; ties are broken by the smallest document (doc_id, then text hash); rows
@@ -285,14 +287,21 @@ class _Verifier:
         rows = self.docs.join(wanted, (self.docs["key"] == wanted["k"]) & self.docs["doc_id"].eqNullSafe(wanted["r"]))
         return rows.select("node", F.col("text").alias("x")).dropDuplicates(["node"])
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b), whose lengths fit, that align."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b), whose lengths fit, that their histograms do not rule out."""
         made = _beside(pairs, self.classes.select("node", "n", F.col("hist").alias("x")))
-        likely = cut(made.mapInPandas(tidy(_likely_batches(self.least)), "a long, b long"))
+        return cut(made.mapInPandas(tidy(_likely_batches(self.least)), "a long, b long"))
+
+    def aligned(self, likely: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose texts align."""
         texts = self.scratch.keep(self.texts(likely.select(F.explode(F.array("a", "b")).alias("node"))), "texts")
         found = _beside(likely, texts).select("a", "b", "xa", "xb").mapInPandas(tidy(_verify_batches(self.least)), "a long, b long")
         return cut(found)
 
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b), whose lengths fit, that align."""
+        return self.aligned(self.likely(pairs))
+
 
 def _fits(x: str, y: str, least: float):
     return F.least(x, y) >= F.greatest(x, y) * F.lit(least)
@@ -322,11 +331,15 @@ def find_links(docs: DataFrame, classes: DataFrame, least: float, scratch: Scrat
     def fitting(pairs: DataFrame) -> DataFrame:
         return pairs.where((F.col("a") != F.col("b")) & _fits("na", "nb", least)).select("a", "b").distinct()
 
-    links = verifier.verified(fitting(members.select(F.col("first").alias("a"), F.col("first_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))))
+    likely = verifier.likely(fitting(members.select(F.col("first").alias("a"), F.col("first_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))))
+    # one first member for each node, then the others that are not in its component by that
+    links = verifier.aligned(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = cut(links.unionByName(verifier.aligned(_apart(likely, parts(links)))))
     # members outside the component of their bucket's first member, against one of them: another in each bucket
-    outside = _placed(members, parts(links), scratch).where("outer").select("bucket", "node", "n")
-    second = outside.groupBy("bucket").agg(F.min_by(F.struct("node", "n"), F.xxhash64("node", "bucket")).alias("s"))
-    met = outside.join(second, "bucket").select(F.least("s.node", "node").alias("a"), F.greatest("s.node", "node").alias("b"), F.col("s.n").alias("na"), F.col("n").alias("nb"))
+    outside = _placed(members, parts(links), scratch).where("outer").select("bucket", "node", "n", "part")
+    second = outside.groupBy("bucket").agg(F.min_by(F.struct("node", "n", "part"), F.xxhash64("node", "bucket")).alias("s"))
+    met = outside.join(second, "bucket").where(F.col("part") != F.col("s.part"))
+    met = met.select(F.least("s.node", "node").alias("a"), F.greatest("s.node", "node").alias("b"), F.col("s.n").alias("na"), F.col("n").alias("nb"))
     links = cut(links.unionByName(verifier.verified(fitting(met))))
     # what is left: pairs across components, one of them outside the first member's component
     placed = _placed(members, parts(links), scratch)
@@ -340,6 +353,13 @@ def find_links(docs: DataFrame, classes: DataFrame, least: float, scratch: Scrat
     return cut(links.unionByName(_compared_in_blocks(left.where(F.col("in_bucket") > LARGE), verifier)))
 
 
+def _apart(pairs: DataFrame, part: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one component."""
+    of = lambda end: part.select(F.col("node").alias(end), F.col("part").alias("part_" + end))
+    found = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return found.where(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select("a", "b")
+
+
 def _placed(members: DataFrame, part: DataFrame, scratch: Scratch) -> DataFrame:
     """Members with their component, and whether it is another than the bucket's first member's."""
     first = part.select(F.col("node").alias("first"), F.col("part").alias("first_part"))
