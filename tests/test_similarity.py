@@ -4,7 +4,7 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from wardline.functions import similarity
-from wardline.functions.similarity import damerau_levenshtein, damerau_levenshtein_pairs, jaro_winkler, jaro_winkler_col, jaro_winkler_pairs, v1, v2
+from wardline.functions.similarity import damerau_levenshtein, damerau_levenshtein_pairs, edits_unsettled, edits_within, jaro_winkler, jaro_winkler_col, jaro_winkler_pairs, jaro_winkler_reaching, v1, v2
 
 
 def plain_jaro_winkler(s, t):
@@ -74,6 +74,35 @@ def test_columns_of_distances_equal_the_textbook(monkeypatch):
     assert damerau_levenshtein_pairs(a, b).tolist() == want
 
 
+def test_similarities_that_cannot_reach_a_level_are_not_measured(spark, monkeypatch):
+    pairs = [*random_pairs(3000, 12, 4), *random_pairs(200, 90, 5), ("", ""), ("a", ""), ("abcd", "abcdx"), ("martha", "marhta")]
+    a, b = [p[0] for p in pairs], [p[1] for p in pairs]
+    want = jaro_winkler_pairs(a, b)
+    for least in (0.85, 0.6):
+        got = jaro_winkler_reaching(a, b, least)
+        assert [x if x >= least else None for x in got] == [x if x >= least else None for x in want]
+    measured = []
+    monkeypatch.setattr(similarity, "jaro_winkler_pairs", lambda x, y: measured.extend(zip(x, y)) or jaro_winkler_pairs(x, y))
+    jaro_winkler_reaching(["red ring", "red ring", "red ring"], ["hot bolt", "red rign", "red ring"], 0.85)
+    assert measured == [("red ring", "red rign"), ("red ring", "red ring")]
+    rows = spark.createDataFrame([("red ring", "red rign"), ("red ring", "hot bolt"), (None, "x")], "a string, b string")
+    got = [r[0] for r in rows.select(jaro_winkler_col(F.col("a"), F.col("b"), 0.85)).collect()]
+    assert got[0] == jaro_winkler("red ring", "red rign") and got[1] < 0.85 and got[2] is None
+
+
+def test_few_edits_are_told_without_measuring(spark):
+    pairs = [*random_pairs(800, 9, 6), ("", ""), ("a", ""), ("ca", "abc"), ("912.30", "912.03"), ("ab", "ba"), (None, "a"), ("a", None)]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    a, b = F.col("a"), F.col("b")
+    for most in (0, 1, 2, 3):
+        got = rows.select("i", edits_within(a, b, most).alias("x"), edits_unsettled(a, b, most).alias("open"), edits_within(a, b, most, settled=True).alias("s")).orderBy("i").collect()
+        want = [None if None in p else damerau_levenshtein(*p) <= most for p in pairs]
+        assert [r["x"] for r in got] == want
+        assert all(r["open"] or r["s"] == w for r, w in zip(got, want))  # what is not open needs no measure
+    prices = spark.createDataFrame([("912.30", f"9{i:02}.{j}0") for i in range(100) for j in range(10)], "a string, b string")
+    assert prices.filter(edits_unsettled(a, b, 1)).count() < 10  # of 1,000; all of them were measured before
+
+
 def test_missing_sides_and_empty_batches(spark):
     rows = spark.createDataFrame([("a", None), (None, None), ("ab", "ab"), ("ab", "ba")], "a string, b string")
     got = [r[0] for r in rows.repartition(4).select("a", "b", jaro_winkler_col(F.col("a"), F.col("b")).alias("s")).orderBy("a", "b").select("s").collect()]
