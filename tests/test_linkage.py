@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardline.operators import graph
 from wardline.operators import linkage as L
 from wardline.operators.forest import partitions_along, spanning_forest
-from wardline.operators.graph import _large_star, _small_star, connected_components, packed
+from wardline.operators.graph import _large_star, _small_star, connected_components, packed, thinned
 from wardline.sinks import files
 
 COMPS = [
@@ -228,3 +228,41 @@ def test_rounds_that_fit_one_task_do_not_shuffle(spark, capsys):
     assert sorted(map(tuple, stars.collect())) == [(2, 1), (3, 1), (4, 2), (5, 4), (6, 2)]
     many = 10**6  # the same round for edges in many tasks
     assert sorted(map(tuple, _small_star(_large_star(edges, many), many).collect())) == [(2, 1), (3, 1), (4, 2), (5, 4), (6, 2)]
+
+
+def test_pairs_of_parts_are_formed_where_they_are_used(spark, monkeypatch):
+    """Pairs grow with the square of a block: none is kept, settled ones are not sent to Python, single records meet without lists."""
+    from pyspark.sql import DataFrame
+
+    from wardline.plans import linkage_plans as P
+
+    dice = random.Random(9)
+    rows = [(i, dice.choice(["red cup", "red cop", "tin pan", None]), dice.choice(["b1", "b2"]), dice.choice(["t", "u"]), dice.randrange(4), 900 + dice.randrange(40) / 10) for i in range(60)]
+    rows += [(70 + i, *rows[0][1:]) for i in range(3)] + [(5, "red cup", "b1", "t", 1, 900.0), (5, "tin pan", "b2", "u", 1, 901.0)]  # copies, and a key of three parts
+    folder = _parts(spark, rows)
+    kept = []
+    checkpoint = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda df, *a: kept.append(df.columns) or checkpoint(df, *a))
+    lk = P.Linkage(P.Tables(spark, folder))
+    assert not any("pid_l" in c for c in kept)
+    # as it was: every pair of profiles compared and listed by its members
+    pairs = L.gammas(L.sided_pairs(lk.prof, P.RULES, L.compared_columns(lk.comps)), lk.comps).select("pid_l", "pid_r", "rule", "w", *P.GAMMA_COLS).checkpoint()
+    ids = lk.members.select(F.col("pid").alias("p"), "id")
+    listed = pairs.join(ids.select(F.col("p").alias("pid_l"), F.col("id").alias("a")), "pid_l").join(ids.select(F.col("p").alias("pid_r"), F.col("id").alias("b")), "pid_r")
+    listed = listed.filter("pid_l != pid_r or a < b").select(F.least("a", "b").alias("id1"), F.greatest("a", "b").alias("id2"), "rule", *P.GAMMA_COLS)
+    got = P.lk2_candidate_pairs(spark, folder)
+    assert sorted(map(str, got.collect())) == sorted(map(str, listed.collect()))
+    assert got.count() == lk.record_pairs().count() > 500
+    monkeypatch.setattr(L, "MAX_REPEATED", 0)
+    assert sorted(map(str, P.lk2_candidate_pairs(spark, folder).collect())) == sorted(map(str, listed.collect()))
+
+
+def test_thinned_edges_keep_the_components(spark):
+    dice = random.Random(3)
+    edges = [(dice.randrange(400), dice.randrange(400)) for _ in range(300)] + [(a, b) for a in range(500, 540) for b in range(500, 540)] + [(900, 900), (None, 3)]
+    nodes = sorted({n for e in edges for n in e if n is not None})
+    few = thinned(spark.createDataFrame(edges, "src long, dst long").coalesce(1)).collect()
+    assert len(few) < len(nodes) and {n for e in few for n in e} == set(nodes)
+    assert components_of(nodes, few) == components_of(nodes, [e for e in edges if None not in e])
+    words = thinned(spark.createDataFrame([("b", "a"), ("c", "b"), ("z", "z")], "src string, dst string").coalesce(1)).collect()
+    assert sorted(map(tuple, words)) == [("a", "b"), ("a", "c"), ("z", "z")]
