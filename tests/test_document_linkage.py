@@ -114,3 +114,25 @@ def test_shared_runs_last_as_long_as_they_are_asked_for(spark, monkeypatch):
     D.fixed_run(spark, "one")
     D.fixed_run(spark, "one")
     assert len(made) == 4
+
+
+def test_linkage_tables_are_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def noted(x):
+        made.add(1)
+        return x
+
+    levels = [F.lit(1).alias(g) for g in D.GAMMAS]
+    scored = spark.range(4).select(*[F.col("id").alias(c) for c in ("pid_l", "id1", "id2")], F.lit(0).alias("rule"), *levels, F.lit(1.0).alias("match_weight"), F.lit(0.7).alias("probability"), F.lit(1).alias("w"), F.lit(True).alias("is_true"))
+
+    class Made:
+        record_pairs = staticmethod(lambda pairs: pairs.withColumn("id1", noted.asNondeterministic()("id1")))
+        clusters = staticmethod(lambda pairs: pairs.select(F.col("pid_l").alias("id")))
+        truth_pairs = staticmethod(lambda: 4)
+
+    monkeypatch.setattr(D, "fitted_run", lambda *a: (Made, scored))
+    found = {r["table_name"]: (r["n_rows"], r["n_rows_of_run"]) for r in D.snk15_linkage_tables(spark, "any").collect()}
+    assert found == {"pairs": (4, 4), "clusters": (4, 4), "evaluation": (len(D.GRID), len(D.GRID))}
+    assert made.value == 4  # not once more for every time the table is written
